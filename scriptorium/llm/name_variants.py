@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scriptorium.operators.graph import components
+from scriptorium.operators.lineage import cut
 
 # Given names with their usual short forms.
 SHORT_FORMS = {
@@ -115,12 +115,29 @@ def near_tokens(tokens: DataFrame, long_from: int = 10, short_from: int = 5) ->
     return pairs.mapInPandas(verify, "a string, b string, dist int")
 
 
+def hubs(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, hub): each node with the centre of the star it stands in.
+
+    nodes: (node, n), n its copies; edges: (a, b).  A node hangs under the
+    neighbour with most neighbours, then most copies, if that goes before it
+    itself; a spelling thus falls to the form that its variants have in common.
+    Two jumps along these pointers reach the top of a chain of up to four.
+    """
+    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct()
+    both = cut(both)
+    degree = both.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("deg"))
+    ranked = cut(nodes.join(degree, "node").select("node", F.struct("deg", "n", "node").alias("r")))
+    best = both.join(ranked.select(F.col("node").alias("b"), F.col("r").alias("rb")), "b").groupBy(F.col("a").alias("node")).agg(F.max("rb").alias("rb"))
+    up = cut(ranked.join(best, "node").select("node", F.when(F.col("rb") > F.col("r"), F.col("rb.node")).otherwise(F.col("node")).alias("hub")))
+    for _ in range(2):
+        top = up.select(F.col("node").alias("hub"), F.col("hub").alias("higher"))
+        up = up.join(top, "hub").select("node", F.col("higher").alias("hub"))
+    return nodes.join(up, "node", "left").select("node", F.coalesce("hub", "node").alias("hub"))
+
+
 def canonical(tokens: DataFrame, near: DataFrame) -> DataFrame:
-    """(token, canon): each token (columns token, n) with the commonest of those linked to it."""
-    comp = components(near)
-    own = tokens.join(comp.withColumnRenamed("node", "token"), "token", "left").withColumn("comp", F.coalesce("comp", "token"))
-    best = own.groupBy("comp").agg(F.max_by("token", F.struct("n", "token")).alias("canon"))
-    return own.join(best, "comp").select("token", "canon")
+    """(token, canon): each token (columns token, n) with the form it is a variant of."""
+    return hubs(tokens.withColumnRenamed("token", "node"), near).select(F.col("node").alias("token"), F.col("hub").alias("canon"))
 
 
 # --- species -----------------------------------------------------------------
@@ -172,9 +189,10 @@ def species_entities(pages: DataFrame) -> DataFrame:
 
     cols = "id long, gtok string, abbr boolean, epi string, word string, gcol string, auth string, fam string, common array<string>"
     parsed = pages.filter("page_id is not null").select("page_id", "name", "authority", "genus", "family", "vernacular").mapInPandas(parse, cols)
+    parsed = cut(parsed)
     typed = parsed.filter("gtok is not null and not abbr").select(F.col("gtok").alias("token")).unionAll(parsed.filter("gcol is not null").select(F.col("gcol").alias("token")))
-    genera = typed.groupBy("token").agg(F.count("*").alias("n"))
-    canon = canonical(genera, near_tokens(genera, long_from=99)).persist()
+    genera = cut(typed.groupBy("token").agg(F.count("*").alias("n")))
+    canon = cut(canonical(genera, near_tokens(genera, long_from=99)))
     prefixes = F.transform(F.sequence(F.lit(5), F.least(F.lit(18), F.length("word") - 4)), lambda n: F.substring("word", F.lit(1), n))
     glued = (
         parsed.filter("word is not null and gcol is null and length(word) >= 12")
@@ -199,25 +217,25 @@ def species_entities(pages: DataFrame) -> DataFrame:
             F.coalesce("c1", "gglued", F.when(~F.col("abbr"), F.col("c2"))).alias("g"),
             F.when(F.col("c1").isNull() & F.col("abbr"), F.col("gtok")).alias("abbr"),
         )
-        .persist()
     )
+    named = cut(named)
     latin = named.filter("epi is not null").withColumn("node", F.when(F.col("g").isNotNull(), F.concat_ws("|", F.lit("g"), "g", "epi")).otherwise(F.concat_ws("|", F.lit("a"), F.coalesce("abbr", F.lit("")), F.coalesce("fam", F.lit("-")), F.coalesce("auth", F.lit("-")), "epi")))
-    nodes = latin.groupBy("node", "g", "epi").agg(F.first("abbr").alias("abbr"), F.max("fam").alias("fam"), F.max("auth").alias("auth"), F.count("*").alias("n")).persist()
-    pairs = near_tokens(nodes.select(F.col("epi").alias("token")))
+    nodes = cut(latin.groupBy("node", "g", "epi").agg(F.first("abbr").alias("abbr"), F.max("fam").alias("fam"), F.max("auth").alias("auth"), F.count("*").alias("n")))
+    pairs = cut(near_tokens(nodes.select(F.col("epi").alias("token"))))
     same = nodes.select(F.col("epi").alias("a"), F.col("epi").alias("b"), F.lit(0).alias("dist")).distinct()
     near = pairs.unionByName(same).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "dist"))
     x = nodes.select(*[F.col(c).alias(f"x_{c}") for c in nodes.columns])
     y = nodes.select(*[F.col(c).alias(f"y_{c}") for c in nodes.columns])
     both = x.join(near, x.x_epi == near.a).join(y, F.col("b") == F.col("y_epi")).filter("x_node <> y_node")
     tail = F.expr("right(x_epi, 3) = right(y_epi, 3)")
+    both = cut(both)
     full = both.filter((F.col("x_g") == F.col("y_g")) & ((F.col("dist") <= 1) | tail))
     short = both.filter(F.col("x_g").isNull() & (F.col("dist") <= 1) & _agree("x_fam", "y_fam") & _agree("x_auth", "y_auth"))
     fits = F.when(F.col("y_g").isNotNull(), F.col("x_abbr").isNull() | F.expr("startswith(y_g, x_abbr)")).otherwise(F.col("x_abbr").eqNullSafe(F.col("y_abbr")))
     order = Window.partitionBy("x_node").orderBy(F.col("y_g").isNull(), "dist", F.desc("y_n"), "y_node")
     short = short.filter(fits).withColumn("r", F.row_number().over(order)).filter("r = 1")
     links = full.select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).union(short.select("x_node", "y_node"))
-    comp = components(links)
-    latin = latin.join(comp, "node", "left").withColumn("ent", F.coalesce("comp", "node"))
+    latin = cut(latin.join(hubs(nodes.select("node", "n"), links), "node").withColumnRenamed("hub", "ent"))
     offered = latin.select("ent", "g", "fam", "auth", F.explode("common").alias("word")).groupBy("ent", "word").agg(F.max("g").alias("og"), F.max("fam").alias("ofam"), F.max("auth").alias("oauth"), F.count("*").alias("n"))
     single = named.filter("epi is null and word is not null")
     best = Window.partitionBy("id").orderBy((F.col("og") == F.col("g")).desc_nulls_last(), (F.col("oauth") == F.col("auth")).desc_nulls_last(), F.desc("n"), "ent")
@@ -370,10 +388,13 @@ def collector_entities(figures: DataFrame) -> DataFrame:
                     rows.append((text, n, f"{particle} {surname}".strip(), " ".join(given), kind, short, particle))
             yield pd.DataFrame(rows, columns=["credit", "n", "token", "given", "kind", "short", "particle"])
 
-    named = figures.filter("fig_id is not null").select("fig_id", "caption").mapInPandas(credits, "id long, credit string").distinct().persist()
-    forms = named.groupBy("credit").agg(F.count("*").alias("n")).mapInPandas(parse, "credit string, n long, token string, given string, kind string, short boolean, particle string").persist()
+    named = figures.filter("fig_id is not null").select("fig_id", "caption").mapInPandas(credits, "id long, credit string").distinct()
+    named = cut(named)
+    forms = named.groupBy("credit").agg(F.count("*").alias("n")).mapInPandas(parse, "credit string, n long, token string, given string, kind string, short boolean, particle string")
+    forms = cut(forms)
     whole = forms.filter(~F.col("short")).groupBy("token").agg(F.sum("n").alias("n"))
-    canon = canonical(whole, near_tokens(whole, long_from=99)).persist()
+    whole = cut(whole)
+    canon = cut(canonical(whole, near_tokens(whole, long_from=99)))
     # an abbreviated surname stands for the surname that begins so, of the same initial where several do
     givens = forms.filter(~F.col("short")).join(canon, "token").groupBy("canon", F.substring("given", 1, 1).alias("initial")).agg(F.sum("n").alias("m"))
     starts = canon.select("canon").distinct().select("canon", F.explode(F.transform(F.sequence(F.lit(3), F.greatest(F.lit(3), F.length("canon"))), lambda n: F.substring("canon", F.lit(1), n))).alias("token"))
@@ -394,6 +415,7 @@ def collector_entities(figures: DataFrame) -> DataFrame:
         name = pdf["canon"].iloc[0]
         return pd.DataFrame([(c, f"{name}|{e}") for c, e in merged.items()], columns=["credit", "ent"])
 
+    placed = cut(placed)
     # one row per distinct (given, kind) under a surname goes on, so a group is as large as the ways to write given names
     spelt = placed.groupBy("canon", "given", "kind").agg(F.sum("n").alias("n")).withColumn("credit", F.concat_ws("\u0001", "given", "kind"))
     decided = spelt.groupBy("canon").applyInPandas(lambda pdf: decide(pdf).assign(canon=pdf["canon"].iloc[0]), "credit string, ent string, canon string")
