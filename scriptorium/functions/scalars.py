@@ -196,7 +196,7 @@ def mixed_case(text: Column) -> Column:
 
 def joined(items: Column) -> Column:
     """Trimmed items that are not empty, joined by one blank."""
-    return F.array_join(F.filter(F.transform(items, F.trim), lambda t: t != ""), " ")
+    return F.array_join(F.filter(F.transform(items, lambda t: F.trim(t)), lambda t: t != ""), " ")
 
 
 def garbage_score(text: Column) -> Column:
