@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple[str, ...] = ("scalars",)
+MODULES: tuple[str, ...] = ("scalars", "documents")
 
 
 def _modules() -> list:
