@@ -124,8 +124,8 @@ PTEXT = f"(SELECT doc_id, page, string_agg(line, chr(10) ORDER BY line_no) AS pa
 _q("a_concat", lambda s, d: _PT(s, d).groupBy("doc_id").agg(F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "page_text"))), lambda x: x["page_text"]), "\n\n---\n\n")).alias("joined")), f"SELECT doc_id, md5(string_agg(page_text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY page)) AS joined FROM {PTEXT} GROUP BY doc_id")
 _q("a_grouplist", lambda s, d: table(s, d, "figures").groupBy("doc_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("fig_idx", "fig_id"))), lambda x: x["fig_id"].cast("string")), ",").alias("figs")), "SELECT doc_id, page, string_agg(CAST(fig_id AS VARCHAR), ',' ORDER BY fig_idx, fig_id) AS figs FROM figures GROUP BY doc_id, page")
 _q("a_any", lambda s, d: lines(s, d).groupBy("doc_id").agg(F.bool_or(F.col("line").rlike(V.COUPLET.replace("\\s", "(?:\\s|$)"))).alias("has_key"), F.bool_or(F.col("line").rlike(V.DASH_COUPLET)).alias("is_dash")), f"SELECT doc_id, bool_or(regexp_matches(line, '^[0-9]{{1,2}}(''|\"|[’′])*\\.(\\s|$)')) AS has_key, bool_or(regexp_matches(line, '^[0-9]{{1,2}}\\.\\s+-\\s+')) AS is_dash FROM {LINES} GROUP BY doc_id")
-_q("a_mean", lambda s, d: D.running_mean(table(s, d, "run_metadata").distinct().filter("elapsed_seconds is not null"), "engine", F.to_date("completed_at"), ["completed_at", "doc_id", "elapsed_seconds", "loaded_at"], "elapsed_seconds", "m").select("doc_id", "elapsed_seconds", F.round("m", 4).alias("mean_so_far")),
-   "SELECT doc_id, elapsed_seconds, round(avg(elapsed_seconds) OVER (PARTITION BY engine ORDER BY completed_at, doc_id, elapsed_seconds, loaded_at ROWS UNBOUNDED PRECEDING), 4) AS mean_so_far FROM (SELECT DISTINCT * FROM run_metadata) WHERE elapsed_seconds IS NOT NULL")
+_q("a_mean", lambda s, d: D.running_mean(table(s, d, "run_metadata").distinct().filter("elapsed_seconds is not null"), "engine", F.to_date("completed_at"), ["completed_at", "doc_id", "elapsed_seconds", "loaded_at"], "elapsed_seconds", "m").select("doc_id", "elapsed_seconds", F.floor(F.col("m") * 100 + 0.000001).alias("mean_cents")),
+   "SELECT doc_id, elapsed_seconds, CAST(floor(avg(elapsed_seconds) OVER (PARTITION BY engine ORDER BY completed_at, doc_id, elapsed_seconds, loaded_at ROWS UNBOUNDED PRECEDING) * 100 + 0.000001) AS BIGINT) AS mean_cents FROM (SELECT DISTINCT * FROM run_metadata) WHERE elapsed_seconds IS NOT NULL")
 _q("g_chunk", lambda s, d: D.packed_paragraphs(table(s, d, "documents"), 1200).select("doc_id", "chunk_no", F.length("text").alias("n_chars"), F.md5("text").alias("digest")),
    "WITH RECURSIVE p AS (SELECT doc_id, string_split(text, chr(10) || chr(10)) AS ps FROM documents WHERE text IS NOT NULL), r AS (SELECT doc_id, ps, 1 AS i, 1 AS chunk_no, length(ps[1]) + 2 AS used FROM p UNION ALL SELECT doc_id, ps, i + 1, CASE WHEN used + length(ps[i + 1]) + 2 > 1200 THEN chunk_no + 1 ELSE chunk_no END, CASE WHEN used + length(ps[i + 1]) + 2 > 1200 THEN length(ps[i + 1]) + 2 ELSE used + length(ps[i + 1]) + 2 END FROM r WHERE i < len(ps)), t AS (SELECT doc_id, chunk_no, string_agg(ps[i], chr(10) || chr(10) ORDER BY i) AS txt FROM r GROUP BY doc_id, chunk_no) SELECT doc_id, chunk_no, CAST(length(txt) AS INTEGER) AS n_chars, md5(txt) AS digest FROM t")
 _SC = "(SELECT source, count(*) AS n, count_if(score >= 10) AS bad FROM documents JOIN (" + "{}" + ") USING (doc_id) GROUP BY source)"
