@@ -410,16 +410,20 @@ def collector_entities(figures: DataFrame) -> DataFrame:
     )
     placed = forms.join(short, "credit", "left").withColumnRenamed("canon", "c1").join(canon, "token", "left").withColumn("canon", F.when(F.col("short"), F.coalesce("c1", "token")).otherwise(F.coalesce("canon", "token")))
 
-    def decide(pdf: pd.DataFrame) -> pd.DataFrame:
-        merged = resolve([(c, tuple(g.split()), k, int(n)) for c, g, k, n in zip(pdf["credit"], pdf["given"], pdf["kind"], pdf["n"])])
-        name = pdf["canon"].iloc[0]
-        return pd.DataFrame([(c, f"{name}|{e}") for c, e in merged.items()], columns=["credit", "ent"])
+    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for name, ways in zip(pdf["canon"], pdf["ways"]):
+                merged = resolve([(f"{w['given']}\u0001{w['kind']}", tuple(w["given"].split()), w["kind"], int(w["n"])) for w in ways])
+                rows += [(way, f"{name}|{e}", name) for way, e in merged.items()]
+            yield pd.DataFrame(rows, columns=["way", "ent", "canon"])
 
     placed = cut(placed)
-    # one row per distinct (given, kind) under a surname goes on, so a group is as large as the ways to write given names
-    spelt = placed.groupBy("canon", "given", "kind").agg(F.sum("n").alias("n")).withColumn("credit", F.concat_ws("\u0001", "given", "kind"))
-    decided = spelt.groupBy("canon").applyInPandas(lambda pdf: decide(pdf).assign(canon=pdf["canon"].iloc[0]), "credit string, ent string, canon string")
-    ents = placed.withColumn("way", F.concat_ws("\u0001", "given", "kind")).join(decided.withColumnRenamed("credit", "way"), ["canon", "way"]).select("credit", "ent")
+    # one entry per distinct (given, kind) under a surname: a group is as large as the ways to write given names
+    spelt = placed.groupBy("canon", "given", "kind").agg(F.sum("n").alias("n"))
+    grouped = spelt.groupBy("canon").agg(F.collect_list(F.struct("given", "kind", "n")).alias("ways"))
+    decided = grouped.mapInPandas(decide, "way string, ent string, canon string")
+    ents = placed.withColumn("way", F.concat_ws("\u0001", "given", "kind")).join(decided, ["canon", "way"]).select("credit", "ent")
     return named.join(ents, "credit").select("id", "ent")
 
 
