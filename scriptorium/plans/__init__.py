@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple[str, ...] = ("scalars", "documents", "keys")
+MODULES: tuple[str, ...] = ("scalars", "documents", "keys", "figures", "runs")
 
 
 def _modules() -> list:
