@@ -1,8 +1,8 @@
 """Writing results: documents, figure lists, metadata, taxa, keys, failures.
 
-A folder is complete when its _SUCCESS mark is there, which Spark writes last;
-readers look for that and not for single files.  Partitions follow volume and
-family, so a later run of one family replaces only its own folder.
+Partitions follow volume and family, so a later run of one family replaces only
+its own folder; what is complete is listed in a small table beside them, which
+is written last.
 """
 
 from __future__ import annotations
@@ -14,8 +14,9 @@ METADATA = "vol_label string, family string, engine string, pdf string, dpi int,
 
 
 def write_documents(docs: DataFrame, folder: str, mode: str = "overwrite") -> None:
-    """Texts by volume and family; only the partitions at hand are replaced."""
+    """Texts by volume and family; only the partitions at hand are replaced, and listed as complete in <folder>/_complete afterwards."""
     docs.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("volume", "family").parquet(folder)
+    docs.select("volume", "family").distinct().write.mode("append").parquet(f"{folder}/_complete")
 
 
 def write_images(figures: DataFrame, folder: str) -> None:
