@@ -19,3 +19,17 @@ def cut(df: DataFrame) -> DataFrame:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
         sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "scriptorium-checkpoints"))
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The same rows over enough partitions to keep every core busy with work that costs much more than moving them.
+
+    Input of few or large row groups would leave cores idle in a Python stage;
+    it is dealt out by a hash of unique keys.  Input that already comes in two
+    partitions a core or more is left where it is, so no shuffle grows with it.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= 2 * cores:
+        return df
+    return df.repartition(max(3 * cores, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
