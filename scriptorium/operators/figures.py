@@ -41,22 +41,54 @@ def overlaid(low: DataFrame, high: DataFrame, key: str) -> DataFrame:
     return low.withColumnRenamed("path", "lo").join(high.withColumnRenamed("path", "hi"), key, "full_outer").select(key, F.coalesce("hi", "lo").alias("path"))
 
 
+def _most_deleted(n: int, cutoff: float) -> int:
+    """The most letters that a name of n letters can have beside what it shares with one no longer than itself at a ratio of cutoff."""
+    best = 0
+    for shorter in range(n + 1):
+        apart = int((1 - cutoff) * (n + shorter) + 1e-9)  # letters of either that are not shared
+        over = n - shorter
+        if apart >= over:
+            best = max(best, (apart + over) // 2)
+    return best
+
+
+def _similarity_keys(name: str, cutoff: float, short: int = 20) -> set[str]:
+    """Keys of which two names share one if their ratio is at least cutoff (0.88 or more).
+
+    Up to short letters: what is left without so many letters as may differ, so
+    a key is nearly a whole name and none is hot.  From 16 letters on also runs
+    of four: a longer pair of that ratio shares one, as the letters that differ
+    leave too few pieces for all runs to be shorter.
+    """
+    keys = set()
+    if len(name) <= short:
+        level = {name}
+        keys |= level
+        for _ in range(_most_deleted(len(name), cutoff)):
+            level = {t[:i] + t[i + 1 :] for t in level for i in range(len(t))}
+            keys |= level
+    if len(name) >= 16:
+        keys |= {"\u0001" + name[i : i + 4] for i in range(len(name) - 3)}
+    return keys
+
+
 def similar_names(queries: DataFrame, names: DataFrame, cutoff: float = V.CUTOFF) -> DataFrame:
     """(query, match, ratio): for each query the most similar name by matching blocks, at least cutoff; ties go to the greater name.
 
-    Two strings that share a ratio of c or more have lengths within a factor and
-    share a run: candidates meet on runs of three letters of their padded forms,
-    found by an equi-join; the exact ratio decides.
+    Candidates meet on keys by an equi-join; the exact ratio decides.
     """
 
-    def grams(df: DataFrame, col: str) -> DataFrame:
-        padded = F.concat(F.lit("^"), F.col(col), F.lit("$"))
-        return df.select(col).filter(F.length(col) > 0).distinct().select(col, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - 2, F.lit(1))), lambda i: F.substring(padded, i, F.lit(3))))).alias("gram"))
+    def keyed(df: DataFrame, col: str) -> DataFrame:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                rows = [(k, n) for n in pdf[col] for k in _similarity_keys(n, cutoff)]
+                for at in range(0, max(1, len(rows)), 100_000):
+                    yield pd.DataFrame(rows[at : at + 100_000], columns=["k", col])
+
+        return df.select(col).filter(F.length(col) > 0).distinct().mapInPandas(run, f"k string, {col} string")
 
-    shared = grams(queries, "query").join(grams(names, "name"), "gram").groupBy("query", "name").agg(F.count("*").alias("n"))
-    # a ratio of c leaves at most (1 - c) / 2 of the letters apart; every edit spoils three runs at most
-    size = F.greatest(F.length("query"), F.length("name"))
-    likely = shared.filter((F.col("n") >= size - 6 * F.ceil(size * (1 - cutoff))) & (2 * F.least(F.length("query"), F.length("name")) >= cutoff * (F.length("query") + F.length("name"))))
+    likely = keyed(queries, "query").join(keyed(names, "name"), "k").select("query", "name").distinct()
+    likely = likely.filter(2 * F.least(F.length("query"), F.length("name")) >= cutoff * (F.length("query") + F.length("name")))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

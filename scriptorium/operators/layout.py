@@ -47,19 +47,19 @@ def page_markdown(items: DataFrame, heights: DataFrame) -> DataFrame:
     return runs.filter("not cap").select("page", "band", F.lit("text").alias("kind"), md.alias("md")).unionByName(caps.select("page", "band", F.lit("caption").alias("kind"), "md"))
 
 
-def block_markdown(blocks: DataFrame) -> DataFrame:
-    """(page_num, block_idx, md, fig_no) of layout blocks (page_num, block_idx, label, content): running heads, captions and unknown labels vanish, figures are numbered across pages from 0."""
+def block_markdown(blocks: DataFrame, *doc: str) -> DataFrame:
+    """(doc columns, page_num, block_idx, md, fig_no) of layout blocks (page_num, block_idx, label, content): running heads, captions and unknown labels vanish, figures are numbered across the pages of a document from 0."""
     own = F.lit(None).cast("string")
     for label, prefix in V.HEADING_PREFIX.items():
         own = F.when(F.col("label") == label, prefix).otherwise(own)
     known = F.col("label").isin(V.TEXT_LABELS + list(V.HEADING_PREFIX) + ["table"] + V.FIGURE_LABELS)
     is_figure = F.col("label").isin(V.FIGURE_LABELS)
     kept = blocks.filter(known & ~F.col("label").isin(V.IGNORE_LABELS) & (is_figure | (F.trim("content") != "")))
-    pages = kept.filter(is_figure).groupBy("page_num").agg(F.count("*").alias("n"))
+    pages = kept.filter(is_figure).groupBy(*doc, "page_num").agg(F.count("*").alias("n"))
     # numbers run on over the pages of a volume: counts by page first, then places inside a page
-    before = pages.withColumn("base", F.coalesce(F.sum("n").over(Window.orderBy("page_num").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    inside = F.row_number().over(Window.partitionBy("page_num", "is_fig").orderBy("block_idx")) - 1
-    numbered = kept.withColumn("is_fig", is_figure).withColumn("inside", inside).join(before, "page_num", "left").withColumn("fig_no", F.when(F.col("is_fig"), F.col("base") + F.col("inside")).cast("int"))
+    before = pages.withColumn("base", F.coalesce(F.sum("n").over(Window.partitionBy(*(doc or [F.lit(0)])).orderBy("page_num").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
+    inside = F.row_number().over(Window.partitionBy(*doc, "page_num", "is_fig").orderBy("block_idx")) - 1
+    numbered = kept.withColumn("is_fig", is_figure).withColumn("inside", inside).join(before, [*doc, "page_num"], "left").withColumn("fig_no", F.when(F.col("is_fig"), F.col("base") + F.col("inside")).cast("int"))
     taxon = F.when(F.length("content") <= 80, S.taxon_level(F.col("content")))
     md = F.when(F.col("is_fig"), S.placeholder(F.col("fig_no"), F.col("page_num") + 1)).when(F.col("label") == "table", F.col("content")).otherwise(F.concat(F.coalesce(taxon, own, F.lit("")), F.trim("content")))
-    return numbered.select("page_num", "block_idx", md.alias("md"), "fig_no")
+    return numbered.select(*doc, "page_num", "block_idx", md.alias("md"), "fig_no")

@@ -133,6 +133,20 @@ _q("k_en", lambda s, d: table(s, d, "bilingual_md").select("pair_id", F.md5(F.co
 _q("p_prov", lambda s, d: table(s, d, "bilingual_md").select("pair_id", sinks.provenance("model", F.lit("paddle")).alias("header")))
 _q("p_ts", lambda s, d: table(s, d, "run_metadata").filter("completed_at is not null").select("doc_id", F.date_format("completed_at", "yyyy-MM-dd'T'HH:mm:ss").alias("stamp")), "SELECT doc_id, strftime(completed_at, '%Y-%m-%dT%H:%M:%S') AS stamp FROM run_metadata WHERE completed_at IS NOT NULL")
 _q("f_dryrun", lambda s, d: D.paged(lines(s, d)).groupBy("engine").agg(F.count("*").alias("n_lines"), F.max("page").alias("last_page")), f"SELECT engine, count(*) AS n_lines, max(page) AS last_page FROM {PAGED} GROUP BY engine")
+def _cached(s: SparkSession, d: str) -> DataFrame:
+    """Raw results written to the shared folder and read again, as a run from the cache does."""
+    import os
+    import tempfile
+    import uuid
+
+    shared = s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.gettempdir()
+    place = os.path.join(shared, f"cache_{uuid.uuid4().hex}")
+    sinks.write_cache(table(s, d, "documents_md").select("doc_id", "engine", F.md5("text").alias("digest")), place)
+    return s.read.parquet(place)
+
+
+for _n in ("s_cache", "k_cache"):
+    _q(_n, _cached, "SELECT doc_id, engine, md5(text) AS digest FROM documents_md")
 _q("k_keyfmt", lambda s, d: _keyfmt(s, d), None)
 
 

@@ -66,3 +66,17 @@ def _identity(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 register("identity", _identity)
+
+
+def _absent(name: str, package: str) -> Engine:
+    """An engine that needs a package of its own: it says so when it is run without one registered in its place."""
+
+    def engine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        raise ImportError(f"engine {name} needs {package}; register an implementation under its name")
+        yield from batches
+
+    return engine
+
+
+for _name, _package in (("render", "a PDF rasteriser"), ("layout", "a layout parser"), ("pipeline", "a document pipeline"), ("converter", "a document converter"), ("diffusion", "a diffusion model"), ("vision", "a vision model")):
+    register(_name, _absent(_name, _package))

@@ -48,8 +48,19 @@ def test_nearest_ties_go_low(spark):
 def test_similar_names_against_brute_force(spark):
     import difflib
 
-    names = ["staudti", "guajava", "gilletii", "gillettii", "whytei", "whyteii", "ab", "x"]
-    queries = ["staudtii", "guajavva", "gilletti", "abc", "", "whytei"]
+    import random
+
+    rng = random.Random(5)
+    long = ["".join(rng.choice("abcde") for _ in range(rng.randint(12, 34))) for _ in range(40)]
+
+    def typo(w):
+        for _ in range(rng.randint(1, 4)):
+            i = rng.randrange(len(w))
+            w = rng.choice([w[:i] + w[i + 1 :], w[:i] + rng.choice("abcde") + w[i:], w[:i] + rng.choice("abcde") + w[i + 1 :]])
+        return w
+
+    names = ["staudti", "guajava", "gilletii", "gillettii", "whytei", "whyteii", "ab", "x", *long]
+    queries = ["staudtii", "guajavva", "gilletti", "abc", "", "whytei", *map(typo, long)]
     df = G.similar_names(spark.createDataFrame([(q,) for q in queries], "query string"), spark.createDataFrame([(n,) for n in names], "name string"))
     want = {}
     for q in queries:
