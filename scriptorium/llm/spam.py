@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scriptorium.operators.lineage import spread
+
 # Function words.
 FUNCTION = {
     "fr": frozenset("le la les l de des du d un une et en est sont à au aux par sur dans qui que se on y elle il ses sa son ce cette ne n pas qu nous ou pour avec plus dont vers sous a ont été être leur leurs comme entre sans mais où si très".split()),
@@ -173,6 +175,7 @@ def judge(text: str, lang: str | None, limits: dict[str, dict[str, float]]) -> t
 def scored(pages: DataFrame) -> DataFrame:
     """(doc_id, n_chars, spam_share, reasons) of pages (doc_id, text, lang)."""
     pages = pages.filter(F.col("doc_id").isNotNull() & (F.trim("text") != "")).select("doc_id", "text", "lang")
+    pages = spread(pages, "doc_id")
     limits = calibrate(pages)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
