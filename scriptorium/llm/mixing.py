@@ -67,7 +67,7 @@ def mix(docs: DataFrame, targets: DataFrame, budget: int | None = None, seed: in
 
 
 def cut_off(timed: DataFrame, budget: int, level: float) -> DataFrame:
-    """The rows first by (finish_time, source, doc_id, repeat_no) whose tokens together come nearest to the budget."""
+    """In order, the rows first by (finish_time, source, doc_id, repeat_no) whose tokens together come nearest to the budget."""
     parts = 4096
     step = max(level, 1e-9) / parts
     cut = timed.withColumn("part", F.least(F.floor(F.col("finish_time") / F.lit(step)), F.lit(4 * parts)).cast("long"))
@@ -80,7 +80,7 @@ def cut_off(timed: DataFrame, budget: int, level: float) -> DataFrame:
     order = Window.partitionBy("part").orderBy("finish_time", "source", "doc_id", "repeat_no").rowsBetween(Window.unboundedPreceding, 0)
     edge = placed.filter((F.col("before") < budget) & (F.col("before") + F.col("s") > budget)).withColumn("upto", F.col("before") + F.sum("n_tokens").over(order)).filter(F.col("upto") - F.col("n_tokens") / 2 <= budget)
     names = ["source", "doc_id", "repeat_no", "n_tokens", "finish_time"]
-    return whole.select(names).unionByName(edge.select(names))
+    return whole.select(names).unionByName(edge.select(names)).orderBy("finish_time", "source", "doc_id", "repeat_no")  # a range sort: the mix is read in this order
 
 
 def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
