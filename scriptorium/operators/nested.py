@@ -23,8 +23,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.operators.lineage import spread
-
 
 @dataclass(frozen=True)
 class Shape:
@@ -129,7 +127,7 @@ def flatten(records: DataFrame, id_col: str, json_col: str, shape: Shape) -> Dat
             yield pd.DataFrame(rows, columns=cols)
 
     whole = records.filter(F.col(id_col).isNotNull() & F.col(json_col).isNotNull()).select(F.col(id_col).cast("long").alias("rec"), F.col(json_col).alias("doc"))
-    return spread(whole, "rec").mapInPandas(run, TRIPLES)
+    return whole.mapInPandas(run, TRIPLES)
 
 
 def table(flat: DataFrame, name: str, fields: list[str]) -> DataFrame:
