@@ -75,7 +75,9 @@ def running_headers(lines: DataFrame, group: str, fraction: float = 0.03, least:
 def without_headers(lines: DataFrame, group: str) -> DataFrame:
     """Lines with action: keep, drop, or repair (the first occurrence of a family name, made whole), and the line that stays."""
     heads = running_headers(lines, group).drop("pages")
-    hit = lines.withColumn("header", F.trim("line")).join(heads.withColumn("is_head", F.lit(True)), [group, "header"], "left")
+    # only headings can be running heads: the other lines, nearly all, take no part in the join
+    marked = F.col("line").rlike(V.ANY_HEADING)
+    hit = lines.filter(marked).withColumn("header", F.trim("line")).join(heads.withColumn("is_head", F.lit(True)), [group, "header"], "left")
     name = F.trim(F.regexp_replace("header", "^#+", ""))
     whole = F.coalesce(S.stem_repaired(name), F.when(name.rlike("^[A-ZÀ-Ý]{4,}C[EÉ][AEÉ][ES]S?$"), name))
     ranked = hit.withColumn("whole", F.when(F.col("is_head"), whole))
@@ -83,7 +85,9 @@ def without_headers(lines: DataFrame, group: str) -> DataFrame:
     judged = ranked.join(first, [group, "header"], "left")
     action = F.when(F.col("is_head").isNull(), "keep").when(F.col("whole").isNotNull() & (F.col("at.doc_id") == F.col("doc_id")) & (F.col("at.line_no") == F.col("line_no")), "repair").otherwise("drop")
     out = judged.withColumn("action", action)
-    return out.withColumn("kept", F.when(F.col("action") == "keep", F.col("line")).when(F.col("action") == "repair", F.concat(F.regexp_extract("header", "^#+", 0), F.lit(" "), F.col("whole")))).drop("header", "is_head", "whole", "at")
+    out = out.withColumn("kept", F.when(F.col("action") == "keep", F.col("line")).when(F.col("action") == "repair", F.concat(F.regexp_extract("header", "^#+", 0), F.lit(" "), F.col("whole")))).drop("header", "is_head", "whole", "at")
+    rest = lines.filter(~marked).withColumn("action", F.lit("keep")).withColumn("kept", F.col("line"))
+    return out.unionByName(rest)
 
 
 FAMILY_HEAD = "^#{1,4}\\s+([A-ZÀ-Ý]{4,}C[EÉ][AEÉ][ES]S?|[A-Z][a-z]{3,}ceae|" + "|".join(V.NOM_CONS) + "|" + "|".join(x.capitalize() for x in V.NOM_CONS) + ")(?=\\s|\\(|\\)|$)"
