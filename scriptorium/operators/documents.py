@@ -36,6 +36,19 @@ def paged(lines: DataFrame) -> DataFrame:
     return lines.withColumn("page", F.coalesce(F.last(S.page_number(F.col("line")), ignorenulls=True).over(_upto()), F.lit(0)))
 
 
+def paged_lines(docs: DataFrame, *keep: str) -> DataFrame:
+    """The lines of documents with their page, without a shuffle: (keep columns, line_no, line, page).
+
+    The markers of a text are found once in its row and carried past the split;
+    a line's page is that of the last marker up to it.
+    """
+    ls = F.split("text", "\n")
+    found = F.filter(F.transform(ls, lambda x, i: F.struct(i.alias("i"), S.page_number(x).alias("p"))), lambda m: m["p"].isNotNull())
+    split = docs.filter("text is not null").select(*keep, ls.alias("ls_"), found.alias("marks_")).select(*keep, "marks_", F.posexplode("ls_").alias("pos_", "line"))
+    upto = F.filter("marks_", lambda m: m["i"] <= F.col("pos_"))
+    return split.select(*keep, (F.col("pos_") + 1).alias("line_no"), "line", F.coalesce(F.try_element_at(upto, F.lit(-1))["p"], F.lit(0)).alias("page"))
+
+
 def segments(lines: DataFrame) -> DataFrame:
     """(doc_id, seg_id, start_line, end_line exclusive, is_key); a heading on the first line opens no segment of its own, so it is no key."""
     head = F.col("line").rlike(V.ANY_HEADING) & (F.col("line_no") > 1)

@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scriptorium.operators.documents import paged_lines
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -45,6 +47,12 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.trim("volume").alias("volume"), "family", "engine", F.posexplode(F.split("text", "\n")).alias("p", "line")).select("doc_id", "volume", "family", "engine", (F.col("p") + 1).alias("line_no"), "line")
 
 
+def paged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines with the page they stand on."""
+    docs = table(spark, sf_dir, "documents_md").withColumn("volume", F.trim("volume"))
+    return paged_lines(docs, "doc_id", "volume", "family", "engine")
+
+
 #: The same lines in SQL.
 LINES = "(SELECT doc_id, trim(volume) AS volume, family, engine, CAST(unnest(range(1, len(ls) + 1)) AS INTEGER) AS line_no, unnest(ls) AS line FROM (SELECT *, string_split(text, chr(10)) AS ls FROM documents_md))"
 #: Lines with the page they stand on: 0 before the first marker.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from scriptorium.functions import scalars as S
 from scriptorium.functions import vocab as V
 from scriptorium.operators import documents as D
-from scriptorium.plans.base import FOLD_FROM, FOLD_TO, LINES, PAGED, Query, lines, sql_values, table, values
+from scriptorium.plans.base import FOLD_FROM, FOLD_TO, LINES, PAGED, Query, lines, paged, sql_values, table, values
 from scriptorium.plans.scalars import _rank_sql as RANK
 
 QUERIES: dict[str, Query] = {}
@@ -47,7 +47,7 @@ _q("s_text", lambda s, d: _docs(s, d).select("doc_id", F.length("text").alias("n
 _T = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x{85}\\x{2028}\\x{2029}]"
 _q("g_lines", lambda s, d: D.split_lines(table(s, d, "documents")).select("doc_id", "line_no", F.length("line").alias("text_len")),
    f"SELECT doc_id, CAST(i AS INTEGER) AS line_no, CAST(length(ls[i]) AS INTEGER) AS text_len FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1 - CASE WHEN ls[-1] = '' THEN 1 ELSE 0 END)) AS i FROM (SELECT doc_id, string_split_regex(text, '{_T}') AS ls FROM documents WHERE text IS NOT NULL))")
-_q("w_page", lambda s, d: D.paged(lines(s, d)).select("doc_id", "line_no", "page"), f"SELECT doc_id, line_no, page FROM {PAGED}")
+_q("w_page", lambda s, d: paged(s, d).select("doc_id", "line_no", "page"), f"SELECT doc_id, line_no, page FROM {PAGED}")
 _KEYH = "(?i)^#{1,6}\\s+(KEY(\\s|[^A-Za-zÀ-ÿ0-9_]|$)|CL[EÉé]S?([^A-Za-zÀ-ÿ0-9_]|$))"
 SEGS = f"(SELECT *, sum(CASE WHEN regexp_matches(line, '^#{{1,6}}\\s') AND line_no > 1 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS seg_id FROM {DECORATED})"
 _q("w_seg", lambda s, d: D.segments(decorated(s, d)), f"SELECT doc_id, CAST(seg_id AS BIGINT) AS seg_id, min(line_no) AS start_line, max(line_no) + 1 AS end_line, bool_or(line_no > 1 AND regexp_matches(line, '{_KEYH}')) AS is_key FROM {SEGS} GROUP BY doc_id, seg_id")
@@ -61,8 +61,8 @@ _q("a_rankcnt", lambda s, d: D.taxa(decorated(s, d)).join(_docs(s, d).select("do
 _q("a_changed", lambda s, d: D.ranked_headings(decorated(s, d)).groupBy("doc_id").agg(F.count_if(F.col("new_level").isNotNull() & (F.col("new_level") != F.col("level"))).alias("changed"), F.count_if(F.col("new_level").isNull() | (F.col("new_level") == F.col("level"))).alias("kept")),
    f"SELECT doc_id, count_if(nl IS NOT NULL AND nl <> lv) AS changed, count_if(nl IS NULL OR nl = lv) AS kept FROM (SELECT *, CASE r WHEN 'family' THEN 2 WHEN 'genus' THEN 3 WHEN 'species' THEN 4 WHEN 'infraspecific' THEN 5 END AS nl FROM (SELECT *, {RANK} AS r FROM (SELECT doc_id, length(regexp_extract(line, '^(#+)', 1)) AS lv, trim(regexp_replace(line, '^#+\\s+', ''), ' ') AS input FROM {DECORATED} WHERE regexp_matches(line, '^#{{1,6}}\\s+')))) GROUP BY doc_id")
 HEADS = f"(SELECT family, header, pages FROM (SELECT family, trim(line, ' ') AS header, count(DISTINCT (doc_id, page)) AS pages FROM {PAGED} WHERE regexp_matches(line, '^#{{1,6}}\\s') AND length(trim(line, ' ')) <= 80 GROUP BY ALL) JOIN (SELECT family, count(DISTINCT (doc_id, page)) + 1 AS n FROM {PAGED} WHERE family IS NOT NULL GROUP BY family) USING (family) WHERE n >= 3 AND pages >= greatest(5, floor(0.03::DOUBLE * n)))"
-_q("a_runhdr", lambda s, d: D.running_headers(D.paged(lines(s, d)), "family"), f"SELECT * FROM {HEADS}")
-_q("a_drophdr", lambda s, d: D.without_headers(D.paged(lines(s, d)), "family").groupBy("family").agg(*[F.count_if(F.col("action") == a).alias(a) for a in ("keep", "drop", "repair")], F.sum(F.length("kept")).alias("chars")),
+_q("a_runhdr", lambda s, d: D.running_headers(paged(s, d), "family"), f"SELECT * FROM {HEADS}")
+_q("a_drophdr", lambda s, d: D.without_headers(paged(s, d), "family").groupBy("family").agg(*[F.count_if(F.col("action") == a).alias(a) for a in ("keep", "drop", "repair")], F.sum(F.length("kept")).alias("chars")),
    f"""WITH h AS {HEADS}, l AS (SELECT p.*, h.header, CASE WHEN h.header IS NOT NULL AND regexp_matches(trim(ltrim(h.header, '#'), ' '), '^[A-ZÀ-Ý]{{4,}}(AC|ACE|ACEE|ACÉE|C[EÉ][AEÉ][ES]S?)$') THEN trim(ltrim(h.header, '#'), ' ') END AS nm FROM {PAGED} p LEFT JOIN h ON p.family = h.family AND trim(p.line, ' ') = h.header),
     a AS (SELECT *, CASE WHEN header IS NULL THEN 'keep' WHEN nm IS NOT NULL AND row_number() OVER (PARTITION BY family, header ORDER BY doc_id, line_no) = 1 THEN 'repair' ELSE 'drop' END AS action FROM l)
     SELECT family, count_if(action = 'keep') AS keep, count_if(action = 'drop') AS "drop", count_if(action = 'repair') AS repair,
@@ -81,7 +81,7 @@ for _m in ("front", "drop"):
 def _fampage(s: SparkSession, d: str) -> DataFrame:
     """At most one family for each page of a volume: the first heading that yields a name; then consecutive repetitions once."""
     name = S.family_front(S.letters(S.accents_folded(F.regexp_replace(F.regexp_replace("line", r"^#+\s*", ""), "(?i)C[EÉ][EÉ]S$", "ceae"))))
-    hits = D.paged(lines(s, d)).filter(F.col("line").rlike("^#{1,6} ")).withColumn("family_name", name).filter("family_name is not null and volume is not null")
+    hits = paged(s, d).filter(F.col("line").rlike("^#{1,6} ")).withColumn("family_name", name).filter("family_name is not null and volume is not null")
     first = hits.groupBy("volume", "doc_id", "page").agg(F.min_by("family_name", "line_no").alias("family_name"))
     w = Window.partitionBy("volume").orderBy("doc_id", "page")
     return first.withColumn("prev", F.lag("family_name").over(w)).filter("prev is null or prev <> family_name").drop("prev")
@@ -94,7 +94,7 @@ _q("w_firstpage", lambda s, d: _fampage(s, d).groupBy("volume").agg(F.count("*")
 
 
 def _asof(s: SparkSession, d: str) -> DataFrame:
-    pages = D.paged(lines(s, d)).filter("volume is not null").select("volume", F.concat_ws("#", "doc_id", F.lpad(F.col("page").cast("string"), 6, "0")).alias("at")).distinct()
+    pages = paged(s, d).filter("volume is not null").select("volume", F.concat_ws("#", "doc_id", F.lpad(F.col("page").cast("string"), 6, "0")).alias("at")).distinct()
     starts = _fampage(s, d).select("volume", F.concat_ws("#", "doc_id", F.lpad(F.col("page").cast("string"), 6, "0")).alias("start"), "family_name")
     return D.as_of(pages, starts, "volume", "at", "start", "family_name")
 
@@ -119,7 +119,7 @@ def _prefix(s: SparkSession, d: str) -> DataFrame:
 _q("j_prefix", _prefix, f"SELECT h, min(family) AS family FROM (SELECT DISTINCT lower(regexp_replace(translate(regexp_replace(line, '(?i)C[EÉ][EÉ]S$', 'ceae'), '{FOLD_FROM}', '{FOLD_TO}'), '[^A-Za-z]+', '', 'g')) AS h FROM {LINES} WHERE regexp_matches(line, '^#{{1,6}} ')) JOIN (SELECT DISTINCT family FROM key_index WHERE family IS NOT NULL) ON starts_with(h, lower(regexp_replace(family, '[^A-Za-z]+', '', 'g'))) WHERE h <> '' GROUP BY h")
 _q("a_famstats", lambda s, d: _docs(s, d).groupBy("family").agg(F.count("*").alias("docs"), F.sum(F.length("text")).alias("chars"), F.sum(F.size(F.regexp_extract_all("text", F.lit(V.PAGE), F.lit(1)))).alias("pages")).join(table(s, d, "figures").groupBy("family").agg(F.count("*").alias("figs")), "family", "left").na.fill(0, ["figs"]),
    "SELECT d.family, docs, chars, pages, coalesce(figs, 0) AS figs FROM (SELECT family, count(*) AS docs, CAST(sum(length(text)) AS BIGINT) AS chars, CAST(sum(len(regexp_extract_all(text, '<!--\\s*page\\s+([0-9]+)\\s*-->', 1))) AS BIGINT) AS pages FROM documents_md GROUP BY family) d LEFT JOIN (SELECT family, count(*) AS figs FROM figures GROUP BY family) f ON d.family = f.family")
-_PT = lambda s, d: D.paged(lines(s, d)).groupBy("doc_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("page_text"))
+_PT = lambda s, d: paged(s, d).groupBy("doc_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("page_text"))
 PTEXT = f"(SELECT doc_id, page, string_agg(line, chr(10) ORDER BY line_no) AS page_text FROM {PAGED} GROUP BY doc_id, page)"
 _q("a_concat", lambda s, d: _PT(s, d).groupBy("doc_id").agg(F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "page_text"))), lambda x: x["page_text"]), "\n\n---\n\n")).alias("joined")), f"SELECT doc_id, md5(string_agg(page_text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY page)) AS joined FROM {PTEXT} GROUP BY doc_id")
 _q("a_grouplist", lambda s, d: table(s, d, "figures").groupBy("doc_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("fig_idx", "fig_id"))), lambda x: x["fig_id"].cast("string")), ",").alias("figs")), "SELECT doc_id, page, string_agg(CAST(fig_id AS VARCHAR), ',' ORDER BY fig_idx, fig_id) AS figs FROM figures GROUP BY doc_id, page")
@@ -158,4 +158,4 @@ _q("a_batch", lambda s, d: _docs(s, d).join(table(s, d, "run_metadata").groupBy(
    "SELECT engine, CASE WHEN good IS NULL THEN 'no_source' WHEN good > 1 THEN 'skipped_done' WHEN good = 1 THEN 'processed' ELSE 'failed' END AS status, count(*) AS n FROM documents_md LEFT JOIN (SELECT doc_id, count_if(char_count IS NOT NULL) AS good FROM run_metadata GROUP BY doc_id) USING (doc_id) GROUP BY ALL")
 _q("w_inrange", lambda s, d: table(s, d, "run_metadata").filter(S.label_key(F.col("vol_label"))[0] >= 30).select("vol_label").distinct(), "SELECT DISTINCT vol_label FROM run_metadata WHERE coalesce(TRY_CAST(nullif(regexp_extract(vol_label, '^([0-9]+)(?:bis)?$', 1), '') AS BIGINT), 1000000000) >= 30")
 _q("f_empty", lambda s, d: lines(s, d).filter(F.trim("line") != "").groupBy("doc_id").agg(F.count("*").alias("n")), f"SELECT doc_id, count(*) AS n FROM {LINES} WHERE trim(line, ' ') <> '' GROUP BY doc_id")
-_q("o_limit", lambda s, d: D.paged(lines(s, d)).filter("page between 1 and 20").groupBy("doc_id").agg(F.count("*").alias("n"), F.max("page").alias("last_page")), f"SELECT doc_id, count(*) AS n, max(page) AS last_page FROM {PAGED} WHERE page BETWEEN 1 AND 20 GROUP BY doc_id")
+_q("o_limit", lambda s, d: paged(s, d).filter("page between 1 and 20").groupBy("doc_id").agg(F.count("*").alias("n"), F.max("page").alias("last_page")), f"SELECT doc_id, count(*) AS n, max(page) AS last_page FROM {PAGED} WHERE page BETWEEN 1 AND 20 GROUP BY doc_id")

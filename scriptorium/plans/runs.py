@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions import vocab as V
 from scriptorium.operators import documents as D
-from scriptorium.plans.base import PAGED, Query, lines, sql_values, table, values
+from scriptorium.plans.base import PAGED, Query, lines, paged, sql_values, table, values
 from scriptorium.plans.documents import TAXA, decorated
 from scriptorium.sources import engines, files, sinks
 from scriptorium.streaming import incremental, sessions
@@ -123,7 +123,7 @@ for _n in ("q_log", "t_log"):
        "SELECT a AS day, b AS kind, c AS title FROM (VALUES ('2026-03-01', 'ingest', 'Ebenaceae'), ('2026-03-04', 'refresh', 'index')) v(a, b, c)")
 
 # what the sinks write
-_q("k_text", lambda s, d: D.without_headers(D.paged(lines(s, d)), "family").filter("kept is not null").groupBy("doc_id").agg(F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "kept"))), lambda x: x["kept"]), "\n")).alias("text")))
+_q("k_text", lambda s, d: D.without_headers(paged(s, d), "family").filter("kept is not null").groupBy("doc_id").agg(F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "kept"))), lambda x: x["kept"]), "\n")).alias("text")))
 _q("k_meta", lambda s, d: sinks.unified_metadata(table(s, d, "run_metadata").filter("engine = 'paddle'").drop("figure_count"), table(s, d, "run_metadata").filter("engine <> 'paddle'").drop("dpi")).groupBy("engine").agg(F.count("*").alias("n"), F.count("dpi").alias("with_dpi"), F.count("figure_count").alias("with_figures"), F.round(F.sum("elapsed_seconds"), 2).alias("seconds")),
    "SELECT engine, count(*) AS n, count(CASE WHEN engine = 'paddle' THEN dpi END) AS with_dpi, count(CASE WHEN engine <> 'paddle' THEN figure_count END) AS with_figures, round(CAST(sum(CAST(elapsed_seconds AS DECIMAL(18, 2))) AS DOUBLE), 2) AS seconds FROM run_metadata WHERE engine IS NOT NULL GROUP BY engine")
 _q("k_taxa", lambda s, d: D.taxa(decorated(s, d)).select(F.concat_ws("\t", "rank", "name", "family", "genus", F.col("page").cast("string"), F.col("line_no").cast("string")).alias("tsv")), f"SELECT concat_ws(chr(9), rank, name, family, genus, page, line_no) AS tsv FROM {TAXA}")
@@ -132,7 +132,7 @@ _q("k_err", lambda s, d: table(s, d, "run_metadata").select("doc_id", F.when(F.c
 _q("k_en", lambda s, d: table(s, d, "bilingual_md").select("pair_id", F.md5(F.concat(F.lit("<!-- translated from paddle -->\n"), "text_en")).alias("doc")), "SELECT pair_id, md5(concat('<!-- translated from paddle -->', chr(10), text_en)) AS doc FROM bilingual_md WHERE text_en IS NOT NULL")
 _q("p_prov", lambda s, d: table(s, d, "bilingual_md").select("pair_id", sinks.provenance("model", F.lit("paddle")).alias("header")))
 _q("p_ts", lambda s, d: table(s, d, "run_metadata").filter("completed_at is not null").select("doc_id", F.date_format("completed_at", "yyyy-MM-dd'T'HH:mm:ss").alias("stamp")), "SELECT doc_id, strftime(completed_at, '%Y-%m-%dT%H:%M:%S') AS stamp FROM run_metadata WHERE completed_at IS NOT NULL")
-_q("f_dryrun", lambda s, d: D.paged(lines(s, d)).groupBy("engine").agg(F.count("*").alias("n_lines"), F.max("page").alias("last_page")), f"SELECT engine, count(*) AS n_lines, max(page) AS last_page FROM {PAGED} GROUP BY engine")
+_q("f_dryrun", lambda s, d: paged(s, d).groupBy("engine").agg(F.count("*").alias("n_lines"), F.max("page").alias("last_page")), f"SELECT engine, count(*) AS n_lines, max(page) AS last_page FROM {PAGED} GROUP BY engine")
 def _cached(s: SparkSession, d: str) -> DataFrame:
     """Raw results written to the shared folder and read again, as a run from the cache does."""
     import os
