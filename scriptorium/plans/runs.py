@@ -95,8 +95,8 @@ _q("s_conf", lambda s, d: values(s, "name string, pdf_dir string, pdf_glob strin
 _q("o_files", lambda s, d: table(s, d, "key_datasets").select("source").distinct().withColumn("pos", F.row_number().over(Window.partitionBy(F.regexp_extract("source", "^([^/]+)/", 1)).orderBy("source"))), "SELECT source, CAST(row_number() OVER (PARTITION BY regexp_extract(source, '^([^/]+)/', 1) ORDER BY source) AS INTEGER) AS pos FROM (SELECT DISTINCT source FROM key_datasets)")
 _LAYOUT = '{"height": 800.0, "textItems": [{"text": "a", "x": 1.0, "y": 2.0, "fontSize": 9.0}, {"text": "b", "x": 3.0, "y": 2.0, "fontSize": 11.0}]}'
 _q("s_layout", lambda s, d: values(s, "j string", [(_LAYOUT,)]).select(F.from_json("j", "height double, textItems array<struct<text:string,x:double,y:double,fontSize:double>>").alias("p")).select("p.height", F.posexplode("p.textItems").alias("ord", "i")).select("height", "ord", "i.text", "i.x", "i.fontSize"), "SELECT 800.0::DOUBLE AS height, CAST(a AS INTEGER) AS ord, b AS text, c::DOUBLE AS x, e::DOUBLE AS \"fontSize\" FROM (VALUES (0, 'a', 1.0, 9.0), (1, 'b', 3.0, 11.0)) v(a, b, c, e)")
-_YAML = [("Diospyros_x", "---\nname: Diospyros x\nauthority: \"Gosline\"\ngenus: Diospyros\nsynonyms:\n  - A b\n  - C d\nvol: 60\n---\nbody [[Diospyros]]")]
-_q("s_yaml", lambda s, d: files.front_matter(values(s, "page string, text string", _YAML)), "SELECT 'Diospyros_x' AS page, a AS field, CAST(b AS INTEGER) AS k, c AS value FROM (VALUES ('name', 0, 'Diospyros x'), ('authority', 1, 'Gosline'), ('genus', 2, 'Diospyros'), ('synonyms', 4, 'A b'), ('synonyms', 5, 'C d'), ('vol', 6, '60')) v(a, b, c)")
+_YAML = [("Diospyros_x", "---\nname: Diospyros x\nauthority: \"Nevo\"\ngenus: Diospyros\nsynonyms:\n  - A b\n  - C d\nvol: 60\n---\nbody [[Diospyros]]")]
+_q("s_yaml", lambda s, d: files.front_matter(values(s, "page string, text string", _YAML)), "SELECT 'Diospyros_x' AS page, a AS field, CAST(b AS INTEGER) AS k, c AS value FROM (VALUES ('name', 0, 'Diospyros x'), ('authority', 1, 'Nevo'), ('genus', 2, 'Diospyros'), ('synonyms', 4, 'A b'), ('synonyms', 5, 'C d'), ('vol', 6, '60')) v(a, b, c)")
 
 # species pages
 _sp = lambda s, d: table(s, d, "wiki_species")

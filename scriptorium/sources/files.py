@@ -27,7 +27,7 @@ class Corpus:
 def load_corpus(path: str) -> Corpus:
     """A corpus from a TOML file; relative folders are taken from the file's own; missing required keys are an error."""
     raw = tomllib.loads(Path(path).read_text(encoding="utf-8"))
-    own = raw.get("flora", raw.get("corpus", raw))
+    own = raw if "pdf_dir" in raw else next((v for v in raw.values() if isinstance(v, dict)), raw)
     missing = [k for k in ("pdf_dir", "output_dir", "vol_pattern") if k not in own]
     if missing:
         raise KeyError(f"missing: {', '.join(missing)}")
