@@ -19,6 +19,15 @@ def ship(spark: SparkSession) -> SparkSession:
     if str(ROOT) not in paths:
         sc.environment["PYTHONPATH"] = os.pathsep.join([str(ROOT), *filter(None, paths)])
         if not sc.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="scriptorium-")  # the driver's own; Spark copies the archive on from there
-            sc.addPyFile(shutil.make_archive(f"{folder}/scriptorium", "zip", ROOT, "scriptorium"))
+            sc.addPyFile(shutil.make_archive(f"{_folder(spark)}/scriptorium", "zip", ROOT, "scriptorium"))
     return spark
+
+
+def _folder(spark: SparkSession) -> str:
+    """A new folder for the archive: in the shared folder that the session names if that is a mounted path, else one of the driver, from which Spark serves the archive."""
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or ""
+    place = shared.removeprefix("file://").removeprefix("file:")
+    if place.startswith("/"):
+        os.makedirs(place, exist_ok=True)
+        return tempfile.mkdtemp(prefix="scriptorium-", dir=place)
+    return tempfile.mkdtemp(prefix="scriptorium-")
