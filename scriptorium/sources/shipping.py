@@ -18,7 +18,7 @@ def ship(spark: SparkSession) -> SparkSession:
     paths = sc.environment.get("PYTHONPATH", "").split(os.pathsep)
     if str(ROOT) not in paths:
         sc.environment["PYTHONPATH"] = os.pathsep.join([str(ROOT), *filter(None, paths)])
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             sc.addPyFile(shutil.make_archive(f"{_folder(spark)}/scriptorium", "zip", ROOT, "scriptorium"))
     return spark
 
