@@ -22,6 +22,15 @@ def test_best_fit_is_valid(sizes, most):
         assert sum(inside) <= 50 and len(inside) <= most and sum(s * s for s in inside) <= 2500
 
 
+def test_every_constraint_binds(spark):
+    rows = [(i, "x" * (19 + i % 7), "s") for i in range(200)]
+    windows = spark.createDataFrame([("a", 100)], "window_name string, capacity_tokens int")
+    few = P.pack(docs(spark, rows), windows, max_docs=2).groupBy("bin_id").count()
+    assert few.agg(F.max("count")).first()[0] == 2 and few.count() == 100
+    cheap = P.pack(docs(spark, rows), windows, cost_share=0.1).groupBy("bin_id").agg(F.sum(F.pow("n_tokens", F.lit(2))).alias("cost"), F.count("*").alias("n"))
+    assert cheap.filter("cost > 1000 and n > 1").count() == 0 and cheap.agg(F.sum("n")).first()[0] == 200
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 50), min_size=1, max_size=60))
 def test_best_fit_is_near_the_bound(sizes):
