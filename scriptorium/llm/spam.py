@@ -36,7 +36,7 @@ FUNCTION = {
 #: Share of a page's characters above which it is spam.
 PAGE_SHARE = 0.5
 #: Base thresholds; those named in CALIBRATED rise to MARGIN times the given quantile of sentence-like paragraphs.
-BASE = {"top1": 0.15, "top2": 0.14, "gram": 0.45, "lines": 0.5, "link": 0.5, "tags": 0.4, "chains": 0.12, "prices": 0.06, "stock": 0.35, "few": 0.06, "items": 0.72, "prose": 0.15}
+BASE = {"top1": 0.15, "top2": 0.14, "gram": 0.45, "lines": 0.5, "link": 0.5, "tags": 0.4, "chains": 0.12, "prices": 0.06, "stock": 0.35, "few": 0.06, "items": 0.72, "prose": 0.15, "speech": 0.2, "stuffed": 0.09, "dense": 1.6, "copied": 0.85}
 CALIBRATED, QUANTILE, MARGIN = ("top1", "top2", "gram"), 0.999, 1.25
 
 LINK = re.compile(r"\[[^\]\n]*\]\([^)\s]*\)|(?:https?://|www\.)\S+|(?<![\w.@])(?:[\w-]+\.)+(?:com|net|org|info|biz|shop|example|invalid|test|ru|cn|fr|de|uk|io)(?:/\S*)?(?!\w)")
@@ -44,6 +44,7 @@ WORD = re.compile(r"[^\W\d]+(?:['’-][^\W\d]+)*|\d+")
 TAG = re.compile(r"(?<!\w)#\w+|(?<![\w./])[^\W_]+_\w+")
 LABEL = re.compile(r"^\s*(?:tags?|keywords?|labels?|étiquettes?|mots[- ]clés?)\s*:", re.I)
 PRICE = re.compile(r"(?:\d+[.,]\d{2}\s*(?:EUR|€|USD|\$|GBP|£|CHF)|(?:€|\$|£)\s*\d+)|\b[A-Z]{2,4}-\d{2,}\b|★")
+SENTENCE_END = re.compile(r"[.!?](?:\s|$)")
 CHAIN = re.compile(r"\s(?:>|›|»>|→|::|»)\s")
 ITEM_BREAK = re.compile(r"\s*[;|•·\n]\s*|\s*,\s+")
 
@@ -84,6 +85,7 @@ def features(text: str, lang: str | None) -> dict[str, float]:
         "top2": 2 * max(pairs.values()) / n if pairs and n >= 12 and max(pairs.values()) > 2 else 0.0,
         "gram": sum(covered) / n if n >= 12 else 0.0,
         "lines": sum(v for v in repeated.values() if v > 1) / len(lines) if len(lines) > 3 else 0.0,
+        "dense": top[0][1] / max(1, len(SENTENCE_END.findall(plain))) if top else 0.0,
         "link": links / size,
         "tags": sum(m.end() - m.start() for m in TAG.finditer(text)) / size,
         "chains": len(CHAIN.findall(text)) / max(1, n),
@@ -98,18 +100,25 @@ def features(text: str, lang: str | None) -> dict[str, float]:
 def reasons(f: dict[str, float], limit: dict[str, float]) -> list[str]:
     """Why a paragraph is spam; none if it is not."""
     out = [k for k in ("link", "tags", "chains") if f[k] >= limit[k]]
-    if f["prices"] >= limit["prices"] and f["function"] < limit["few"]:
+    if f["prices"] >= limit["prices"] and f["function"] < limit["speech"]:
         out.append("prices")
     if f["label"] and f["function"] < limit["few"]:
         out.append("label")
     if f["numbers"] < 0.25:
-        if f["top1"] >= limit["top1"] or f["top2"] >= limit["top2"]:
+        # sentences of one pattern repeat a word once each, stuffed ones several times
+        if f["function"] >= limit["speech"]:
+            stuffed = f["top1"] >= limit["stuffed"] and f["dense"] >= limit["dense"]
+        else:
+            stuffed = (f["top1"] >= limit["top1"] or f["top2"] >= limit["top2"]) and (f["function"] < limit["few"] or f["dense"] >= limit["dense"])
+        if stuffed:
             out.append("words")
-        if f["gram"] >= limit["gram"] and f["function"] < limit["prose"]:
+        if f["gram"] >= limit["gram"] and f["function"] < limit["prose"] or f["gram"] >= limit["copied"]:
             out.append("grams")
         if f["lines"] >= limit["lines"] and f["function"] < limit["prose"]:
             out.append("lines")
-    if f["function"] < limit["few"] and f["numbers"] < 0.3 and (f["stock"] >= limit["stock"] or f["items"] < limit["items"] and f["short"] >= 0.6):
+    if f["function"] < limit["speech"] and f["numbers"] < 0.12 and f["stock"] >= limit["stock"]:
+        out.append("stock")
+    elif f["function"] < limit["few"] and f["numbers"] < 0.3 and (f["stock"] >= limit["stock"] or f["items"] < limit["items"] and f["short"] >= 0.6):
         out.append("stock")
     return out
 
