@@ -172,21 +172,24 @@ def patched(base: DataFrame, patches: DataFrame) -> DataFrame:
     return joined.select("key_id", "node_key", field("is_terminal", "boolean"), field("terminal_name", "string"), field("leads_to", "int"))
 
 
-def reached(graph: DataFrame, starts: DataFrame, rounds: int = 64) -> DataFrame:
+def reached(graph: DataFrame, starts: DataFrame) -> DataFrame:
     """(key_id, num, depth): statements that can be reached from the starts (key_id, num), with the least number of steps.
 
     Breadth first, one join on (key_id, num) for each level; statements seen
-    before are left out, so cycles end.  Key graphs are a few dozen levels deep.
+    before are left out, so cycles end, and levels go on until none is new.
+    Key graphs are a few dozen levels deep.
     """
     from scriptorium.operators.lineage import cut
 
     edges = graph.filter("leads_to is not null").select("key_id", "num", "leads_to").distinct()
     seen = starts.select("key_id", "num", F.lit(0).alias("depth")).distinct()
-    front = seen
-    for depth in range(1, rounds + 1):
+    front, depth = seen, 0
+    while True:
+        depth += 1
         nxt = front.join(edges, ["key_id", "num"]).select("key_id", F.col("leads_to").alias("num")).distinct()
         nxt = cut(nxt.join(seen, ["key_id", "num"], "left_anti").withColumn("depth", F.lit(depth)))
         if nxt.isEmpty():
-            break
+            return seen
         seen, front = seen.unionByName(nxt), nxt
-    return seen
+        if depth % 16 == 0:
+            seen = cut(seen.coalesce(graph.sparkSession.sparkContext.defaultParallelism))  # else the plan grows with every level

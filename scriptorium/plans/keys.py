@@ -107,14 +107,22 @@ _q("j_traverse", lambda s, d: K.reached(_graph(s), values(s, "key_id string, num
 
 
 def _walk_files(s: SparkSession, d: str) -> DataFrame:
-    """Reach of every key of the key files, from its first number: nodes, nodes reached, deepest step."""
-    t = nested.key_tables(table(s, d, "key_datasets"))["nodes"]
-    top = t.filter(F.size("lineage") == 1).select(F.concat_ws("|", F.col("rec_id").cast("string"), F.col("lineage")[0]).alias("key_id"), F.col("num").cast("int").alias("num"), F.col("leads_to").cast("int").alias("leads_to"))
+    """Reach of every key of the key files, from its first number: nodes at any depth, numbers, numbers reached, deepest step.
+
+    A node leads to the number it names and to the nodes nested in it, which
+    take the place of a number.  A key without nodes has none and reaches none.
+    """
     from scriptorium.operators.lineage import cut
 
-    top = cut(top)
-    seen = K.reached(top, top.groupBy("key_id").agg(F.min("num").alias("num")))
-    return top.groupBy("key_id").agg(F.count("*").alias("nodes"), F.countDistinct("num").alias("numbers")).join(seen.groupBy("key_id").agg(F.count("*").alias("reached"), F.max("depth").alias("deepest")), "key_id", "left")
+    t = nested.key_tables(table(s, d, "key_datasets"))
+    key = lambda own: F.concat_ws("|", F.col("rec_id").cast("string"), own).alias("key_id")
+    nodes = cut(t["nodes"].filter(F.size("lineage") > 0).select("rec_id", "row_id", "parent_id", key(F.col("lineage")[0]), F.col("num").cast("int").alias("num"), F.col("leads_to").cast("int").alias("leads_to")))
+    inner = nodes.select("rec_id", F.col("parent_id").alias("row_id"), F.col("num").alias("leads_to"))
+    graph = nodes.select("key_id", "num", "leads_to").unionByName(nodes.drop("leads_to").join(inner, ["rec_id", "row_id"]).select("key_id", "num", "leads_to"))
+    counted = nodes.groupBy("key_id").agg(F.count("*").alias("nodes"), F.countDistinct("num").alias("numbers"), F.min("num").alias("num"))
+    seen = K.reached(graph, counted.filter("num is not null").select("key_id", "num"))
+    reach = seen.groupBy("key_id").agg(F.count("*").alias("reached"), F.max("depth").alias("deepest"))
+    return t["keys"].select(key(F.col("own_key"))).distinct().join(counted.drop("num"), "key_id", "left").join(reach, "key_id", "left").na.fill(0, ["nodes", "numbers", "reached"])
 
 
 _q("j_traverse_files", _walk_files)

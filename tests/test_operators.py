@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from scriptorium.operators import documents as D
 from scriptorium.operators import figures as G
 from scriptorium.operators import keys as K
+from scriptorium.plans.keys import QUERIES
 from scriptorium.sources import files, sinks
 from scriptorium.streaming import incremental, sessions
 
@@ -97,6 +98,23 @@ def test_reach_ends_on_cycles(spark):
     assert sorted((r.num, r.depth) for r in got) == [(1, 0), (2, 1), (3, 2)]
 
 
+def test_reach_has_no_bound(spark):
+    graph = spark.createDataFrame([("k", i, i + 1) for i in range(1, 66)], "key_id string, num int, leads_to int").coalesce(1)
+    got = K.reached(graph, spark.createDataFrame([("k", 1)], "key_id string, num int").coalesce(1)).collect()
+    assert sorted((r.num, r.depth) for r in got) == [(i, i - 1) for i in range(1, 67)]
+
+
+def test_reach_of_nested_nodes(spark, tmp_path):
+    import json
+
+    leaf = {"prime": "", "is_terminal": True, "terminal_name": "x"}
+    tree = {"1": {"num": 1, "children": {"2": {"num": 2, "children": [{"node_key": "3", "num": 3, "leads_to": 5}]}, "2'": {"num": 2, **leaf}}}, "1'": {"num": 1, "leads_to": 4}, "4": {"num": 4, **leaf}, "5": {"num": 5, **leaf}, "7": {"num": 7, **leaf}}
+    doc = json.dumps({"keys": {"a": {"nodes": tree}, "b": {"nodes": {"2": {"num": 2, **leaf}}}, "c": {"nodes": {}}}})
+    spark.createDataFrame([(1, "s", doc)], "dataset_id long, source string, payload string").write.parquet(str(tmp_path / "key_datasets.parquet"))
+    got = {r.key_id: tuple(r[c] for c in ("nodes", "numbers", "reached", "deepest")) for r in QUERIES["j_traverse_files"](spark, str(tmp_path)).collect()}
+    assert got == {"1|a": (8, 6, 5, 3), "1|b": (1, 1, 1, 0), "1|c": (0, 0, 0, None)}
+
+
 def test_running_mean_in_slices(spark):
     df = spark.createDataFrame([("g", i, float(i)) for i in range(1, 9)] + [("h", 1, 4.0)], "g string, i int, v double")
     got = {(r.g, r.i): r.m for r in D.running_mean(df, "g", F.floor(F.col("i") / 3), ["i"], "v", "m").collect()}
