@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions import scalars as S
 from scriptorium.functions import vocab as V
+from scriptorium.operators.lineage import spread
 
 
 def nearest(captions: DataFrame, figures: DataFrame, by: list[str]) -> DataFrame:
@@ -72,10 +73,10 @@ def _similarity_keys(name: str, cutoff: float, short: int = 20) -> set[str]:
     return keys
 
 
-def similar_names(queries: DataFrame, names: DataFrame, cutoff: float = V.CUTOFF) -> DataFrame:
+def similar_names(queries: DataFrame, names: DataFrame, cutoff: float = V.CUTOFF, others: bool = False) -> DataFrame:
     """(query, match, ratio): for each query the most similar name by matching blocks, at least cutoff; ties go to the greater name.
 
-    Candidates meet on keys by an equi-join; the exact ratio decides.
+    With others, a name equal to the query is no match of it.  Candidates meet on keys by an equi-join; the exact ratio decides.
     """
 
     def keyed(df: DataFrame, col: str) -> DataFrame:
@@ -85,9 +86,11 @@ def similar_names(queries: DataFrame, names: DataFrame, cutoff: float = V.CUTOFF
                 for at in range(0, max(1, len(rows)), 100_000):
                     yield pd.DataFrame(rows[at : at + 100_000], columns=["k", col])
 
-        return df.select(col).filter(F.length(col) > 0).distinct().mapInPandas(run, f"k string, {col} string")
+        return spread(df.select(col).filter(F.length(col) > 0).distinct(), col).mapInPandas(run, f"k string, {col} string")
 
-    likely = keyed(queries, "query").join(keyed(names, "name"), "k").select("query", "name").distinct()
+    # a name has hundreds of keys, which the planner does not see: left to it, they would be broadcast
+    likely = keyed(queries, "query").join(keyed(names, "name").hint("merge"), "k").select("query", "name").distinct()
+    likely = likely.filter("query <> name") if others else likely
     likely = likely.filter(2 * F.least(F.length("query"), F.length("name")) >= cutoff * (F.length("query") + F.length("name")))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -42,6 +42,8 @@ _pics = lambda s, d: _figs(s, d).filter("fig_id % 3 <> 0").select("doc_id", F.co
 for _n in ("j_nearest", "o_top1"):
     _q(_n, lambda s, d: G.nearest(_caps(s, d), _pics(s, d), ["doc_id"]),
        "SELECT c.doc_id, c.cap_idx, arg_min(f.fig_idx, abs(f.fig_idx - c.cap_idx) * 100000 + f.fig_idx) AS fig_pos FROM (SELECT DISTINCT doc_id, page AS cap_idx FROM figures WHERE fig_id % 3 = 0) c LEFT JOIN (SELECT DISTINCT doc_id, page AS fig_idx FROM figures WHERE fig_id % 3 <> 0) f USING (doc_id) GROUP BY ALL")
+_q("j_nearest_pages", lambda s, d: G.nearest(_figs(s, d).filter("caption <> '' and caption <> '(no caption)'").select("doc_id", "page", F.col("fig_idx").alias("cap_idx")).distinct(), _figs(s, d).filter("filename is not null").select("doc_id", "page", "fig_idx").distinct(), ["doc_id", "page"]),
+   "SELECT c.doc_id, c.page, c.cap_idx, arg_min(f.fig_idx, abs(f.fig_idx - c.cap_idx) * 100000 + f.fig_idx) AS fig_pos FROM (SELECT DISTINCT doc_id, page, fig_idx AS cap_idx FROM figures WHERE caption <> '' AND caption <> '(no caption)') c LEFT JOIN (SELECT DISTINCT doc_id, page, fig_idx FROM figures WHERE filename IS NOT NULL) f ON f.doc_id = c.doc_id AND f.page = c.page GROUP BY ALL")
 _q("j_zip", lambda s, d: G.zipped(_figs(s, d).select("doc_id", "page", F.col("fig_idx").alias("fig_ord"), F.col("filename").alias("figure")), _figs(s, d).filter("caption is not null and caption <> '' and caption <> '(no caption)'").select("doc_id", "page", F.col("fig_id").alias("cap_ord"), F.md5("caption").alias("caption")), ["doc_id", "page"]),
    "WITH f AS (SELECT doc_id, page, row_number() OVER (PARTITION BY doc_id, page ORDER BY fig_idx) AS rn, filename AS figure FROM figures), c AS (SELECT doc_id, page, row_number() OVER (PARTITION BY doc_id, page ORDER BY fig_id) AS rn, md5(caption) AS caption FROM figures WHERE caption IS NOT NULL AND caption <> '' AND caption <> '(no caption)') SELECT doc_id, page, CAST(rn AS INTEGER) AS rn, figure, coalesce(caption, '(no caption)') AS caption FROM f FULL JOIN c USING (doc_id, page, rn)")
 _q("j_pagecap", lambda s, d: _figs(s, d).select("doc_id", "page").distinct().join(_figs(s, d).filter(S.is_caption(F.coalesce("caption", F.lit("")))).groupBy("doc_id", "page").agg(F.count("*").alias("n_captions")), ["doc_id", "page"], "left").na.fill(0), "SELECT doc_id, page, count_if(regexp_matches(coalesce(caption, ''), '(?i)^(Figure|Fig\\.|Planche|Pl\\.|Tableau|Tab\\.)\\s*[0-9]+[A-Za-z]?\\s*[.:]')) AS n_captions FROM figures GROUP BY ALL")
@@ -63,9 +65,9 @@ _q("f_cutoff", lambda s, d: QUERIES["j_fuzzy"](s, d).filter(F.col("ratio") >= V.
 
 
 def _epithets(s: SparkSession, d: str) -> DataFrame:
-    """Epithets as typed on pages of odd number against those of even number, by similarity."""
-    epithets = table(s, d, "wiki_species").select("page_id", S.figure_epithet(F.col("name")).alias("e")).filter("e is not null")
-    return G.similar_names(epithets.filter("page_id % 2 = 1").select(F.col("e").alias("query")).distinct(), epithets.filter("page_id % 2 = 0").select(F.col("e").alias("name")).distinct())
+    """Every epithet as typed on the pages against all others, by similarity."""
+    epithets = table(s, d, "wiki_species").select(S.figure_epithet(F.col("name")).alias("name")).filter("name is not null").distinct()
+    return G.similar_names(epithets.select(F.col("name").alias("query")), epithets, others=True)
 
 
 _q("j_fuzzy_pages", _epithets)

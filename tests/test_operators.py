@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from scriptorium.operators import documents as D
 from scriptorium.operators import figures as G
 from scriptorium.operators import keys as K
+from scriptorium.plans.figures import QUERIES as FIGURES
 from scriptorium.plans.keys import QUERIES
 from scriptorium.sources import files, sinks
 from scriptorium.streaming import incremental, sessions
@@ -71,6 +72,13 @@ def test_similar_names_against_brute_force(spark):
     assert {r.query: r.match for r in df.collect()} == want
 
 
+def test_epithets_of_every_page_meet(spark, tmp_path):
+    pages = [(1, "Eugenia whytei"), (3, "Myrtus whyteii"), (5, "Psidium whytei"), (2, "Psidium guajava"), (4, "Myrtus guajavva"), (6, "Garcinia kola")]
+    spark.createDataFrame(pages, "page_id long, name string").write.parquet(str(tmp_path / "wiki_species.parquet"))
+    got = {r.query: r.match for r in FIGURES["j_fuzzy_pages"](spark, str(tmp_path)).collect()}
+    assert got == {"whytei": "whyteii", "whyteii": "whytei", "guajava": "guajavva", "guajavva": "guajava"}
+
+
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 5), st.booleans(), st.booleans()), min_size=1, max_size=12))
 def test_depth_is_never_negative(spark, items):
