@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scriptorium.functions import scalars as S
@@ -131,9 +131,14 @@ _q("g_chunk", lambda s, d: D.packed_paragraphs(table(s, d, "documents"), 1200).s
 _SC = "(SELECT source, count(*) AS n, count_if(score >= 10) AS bad FROM documents JOIN (" + "{}" + ") USING (doc_id) GROUP BY source)"
 
 
+def corrupt(n: Column, bad: Column) -> Column:
+    """Whether so many bad pages of n make a volume corrupt."""
+    return (n > 0) & (bad >= F.greatest(F.lit(V.GARBAGE_PAGES), F.floor(n.cast("double") * F.lit(V.GARBAGE_FRACTION) + 0.999)))
+
+
 def _garbage(s: SparkSession, d: str) -> DataFrame:
     per = table(s, d, "documents").groupBy("source").agg(F.count("*").alias("n"), F.count_if(S.garbage_score(F.col("text")) >= V.GARBAGE_SCORE).alias("bad"))
-    return per.withColumn("fallback", (F.col("n") > 0) & (F.col("bad") >= F.greatest(F.lit(V.GARBAGE_PAGES), F.floor(F.col("n").cast("double") * F.lit(V.GARBAGE_FRACTION) + 0.999))))
+    return per.withColumn("fallback", corrupt(F.col("n"), F.col("bad")))
 
 
 def _garbage_sql() -> str:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from scriptorium.functions import scalars as S
 from scriptorium.functions import vocab as V
 from scriptorium.operators import documents as D
 from scriptorium.plans.base import PAGED, Query, lines, paged, sql_values, table, values
-from scriptorium.plans.documents import TAXA, decorated
+from scriptorium.plans.documents import TAXA, corrupt, decorated
 from scriptorium.sources import engines, files, sinks
 from scriptorium.streaming import incremental, sessions
 
@@ -75,6 +76,32 @@ def _routes_sql() -> str:
 _q("t_fallback", _routes, _routes_sql())
 
 
+def _routes_by_score(s: SparkSession, d: str) -> DataFrame:
+    """The engine of every volume: its text layer, unless too many of all its pages are corrupt."""
+    page_text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("text")
+    pages = paged(s, d).withColumn("volume", F.regexp_replace("volume", "^0+([0-9])", "$1")).groupBy("volume", "doc_id", "page").agg(page_text)
+    sampled = F.col("page").between(4, 13)
+    per = pages.groupBy("volume").agg(
+        F.count("*").alias("pages"), F.count_if(S.garbage_score(F.col("text")) >= V.GARBAGE_SCORE).alias("bad"),
+        F.coalesce(F.floor(F.sum(F.when(sampled, F.length(F.trim("text"))).otherwise(0)) / F.nullif(F.count_if(sampled), F.lit(0))) >= 200, F.lit(False)).alias("has_text"),
+    )
+    return per.select("volume", "pages", "bad", engines.routed(F.col("has_text"), corrupt(F.col("pages"), F.col("bad"))).alias("engine"))
+
+
+def _routes_by_score_sql() -> str:
+    from scriptorium.plans.scalars import SQL as SCALARS
+
+    score = SCALARS["p_garbage"].replace("FROM documents)", "FROM (SELECT id AS doc_id, text FROM pg))")
+    return (
+        f"WITH pg AS (SELECT volume, page, concat(coalesce(volume, '-'), '|', doc_id, '|', page) AS id, string_agg(line, chr(10) ORDER BY line_no) AS text FROM (SELECT * REPLACE (regexp_replace(volume, '^0+([0-9])', '\\1') AS volume) FROM {PAGED}) GROUP BY volume, doc_id, page), sc AS ({score}), "
+        "v AS (SELECT volume, count(*) AS pages, count_if(score >= 10) AS bad, coalesce(floor(sum(CASE WHEN page BETWEEN 4 AND 13 THEN length(trim(text, ' ')) ELSE 0 END) / nullif(count_if(page BETWEEN 4 AND 13), 0)) >= 200, false) AS has_text FROM pg JOIN sc ON sc.doc_id = pg.id GROUP BY volume) "
+        "SELECT volume, pages, bad, CASE WHEN NOT has_text THEN 'ocr' WHEN pages > 0 AND bad >= greatest(8, floor(pages * 0.15::DOUBLE + 0.999::DOUBLE)) THEN 'ocr_fallback' ELSE 'text' END AS engine FROM v"
+    )
+
+
+_q("t_fallback_score", _routes_by_score, _routes_by_score_sql())
+
+
 def _flaky(text: str) -> str:
     if "§fail" in text:
         raise ValueError("engine error")

@@ -9,6 +9,7 @@ from scriptorium.operators import figures as G
 from scriptorium.operators import keys as K
 from scriptorium.plans.figures import QUERIES as FIGURES
 from scriptorium.plans.keys import QUERIES
+from scriptorium.plans.runs import QUERIES as RUNS
 from scriptorium.sources import files, sinks
 from scriptorium.streaming import incremental, sessions
 
@@ -123,6 +124,16 @@ def test_reach_of_nested_nodes(spark, tmp_path):
     assert got == {"1|a": (8, 6, 5, 3), "1|b": (1, 1, 1, 0), "1|c": (0, 0, 0, None)}
 
 
+def test_corrupt_volumes_go_to_recognition(spark, tmp_path):
+    def text(line, n):
+        return "\n".join(f"<!-- page {p} -->\n{line}" for p in range(1, n + 1))
+
+    docs = [("a", "1", "F", "e", text("fe3ui11es ova1es " * 15, 12)), ("a2", "01", "F", "e", text("x " * 200, 2)), ("b", "2", "F", "e", text("feuilles ovales " * 50, 14)), ("c", "3", "F", "e", text("x", 14))]
+    spark.createDataFrame(docs, "doc_id string, volume string, family string, engine string, text string").write.parquet(str(tmp_path / "documents_md.parquet"))
+    assert len(docs[0][4]) < 8000 < len(docs[2][4])
+    assert {r.volume: r.engine for r in RUNS["t_fallback_score"](spark, str(tmp_path)).collect()} == {"1": "ocr_fallback", "2": "text", "3": "ocr"}
+
+
 def test_running_mean_in_slices(spark):
     df = spark.createDataFrame([("g", i, float(i)) for i in range(1, 9)] + [("h", 1, 4.0)], "g string, i int, v double")
     got = {(r.g, r.i): r.m for r in D.running_mean(df, "g", F.floor(F.col("i") / 3), ["i"], "v", "m").collect()}
