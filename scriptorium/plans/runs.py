@@ -112,6 +112,21 @@ _CH = [("d", 1, "one"), ("d", 2, "two §fail"), ("e", 1, "trois")]
 _CS = "doc_id string, chunk_no int, text string"
 for _n in ("t_retry", "t_pace", "x_llm"):
     _q(_n, lambda s, d: engines.translated(values(s, _CS, _CH), _flaky), f"SELECT doc_id, chunk_no, CASE WHEN contains(text, '§fail') THEN concat('<!-- TRANSLATION FAILED -->', chr(10), text) ELSE upper(text) END AS text, CASE WHEN contains(text, '§fail') THEN 'failed' ELSE 'ok' END AS status FROM {sql_values(_CS, _CH)}")
+class _Limited:
+    """A translator that refuses every text once for its rate limit."""
+
+    def __init__(self) -> None:
+        self.refused = False
+
+    def __call__(self, text: str) -> str:
+        self.refused = not self.refused
+        if self.refused:
+            raise RuntimeError("rate limit")
+        return text
+
+
+_q("t_retry_texts", lambda s, d: engines.translated(table(s, d, "bilingual_md").filter("text is not null").select(F.col("pair_id").cast("string").alias("doc_id"), F.lit(1).alias("chunk_no"), "text"), _Limited(), least_seconds=0.002).select("doc_id", "status", F.md5("text").alias("digest")),
+   "SELECT CAST(pair_id AS VARCHAR) AS doc_id, 'retried' AS status, md5(text) AS digest FROM bilingual_md WHERE text IS NOT NULL")
 for _n in ("x_engine", "s_blocks", "t_pipe"):
     _q(_n, lambda s, d: engines.run("identity", table(s, d, "documents_md").select("doc_id", "text").filter("text is not null")).select("doc_id", "page_num", "label", F.md5("content").alias("content")), "SELECT doc_id, 0 AS page_num, 'text' AS label, md5(text) AS content FROM documents_md WHERE text IS NOT NULL")
 _q("f_trunc", lambda s, d: table(s, d, "run_metadata").filter("char_count is not null").groupBy("engine").agg(F.count_if(F.col("char_count") >= 20000 - 10).alias("truncated"), F.array_join(F.array_sort(F.collect_set(F.when(F.col("char_count") >= 20000 - 10, F.col("doc_id")))), ",").alias("docs")),

@@ -10,7 +10,7 @@ from scriptorium.operators import keys as K
 from scriptorium.plans.figures import QUERIES as FIGURES
 from scriptorium.plans.keys import QUERIES
 from scriptorium.plans.runs import QUERIES as RUNS
-from scriptorium.sources import files, sinks
+from scriptorium.sources import engines, files, sinks
 from scriptorium.streaming import incremental, sessions
 
 
@@ -134,6 +134,17 @@ def test_corrupt_volumes_go_to_recognition(spark, tmp_path):
     assert {r.volume: r.engine for r in RUNS["t_fallback_score"](spark, str(tmp_path)).collect()} == {"1": "ocr_fallback", "2": "text", "3": "ocr"}
 
 
+def test_calls_are_tried_again_and_paced(spark, data):
+    import time
+
+    got = RUNS["t_retry_texts"](spark, data).collect()
+    assert got and {r.status for r in got} == {"retried"}
+    texts = spark.createDataFrame([("d", i, "x") for i in range(5)], "doc_id string, chunk_no int, text string").coalesce(1)
+    began = time.monotonic()
+    assert len(engines.translated(texts, lambda t: t, least_seconds=0.5).collect()) == 5
+    assert time.monotonic() - began >= 2.0
+
+
 def test_running_mean_in_slices(spark):
     df = spark.createDataFrame([("g", i, float(i)) for i in range(1, 9)] + [("h", 1, 4.0)], "g string, i int, v double")
     got = {(r.g, r.i): r.m for r in D.running_mean(df, "g", F.floor(F.col("i") / 3), ["i"], "v", "m").collect()}
