@@ -1,19 +1,32 @@
 """Problem 8: keyword-stuffed and link-list pages.
 
-Method: every paragraph of a page gets the shares of its commonest words, of
-repeated n-grams and of repeated lines, the share of links, the density of
-separators and tags, and the share of function words; thresholds on these,
-calibrated for each language on the paragraphs of all pages that read like
-sentences, tell spam from text.  A page is spam if more than half of its
-characters stand in spam paragraphs.
+Method: the blocks of a page (paragraphs, runs of short ones taken together) get
+the share of their commonest word, the share of content words that repeat, the
+share of repeated n-grams and of repeated lines, the share of link text, the
+density of separators and the share of function words.  Which words are function
+words, how many of them sentences hold and how much sentences repeat themselves
+is learned for each language from its own pages; a block that goes far beyond
+that is stuffed.  A list, which holds no function words either way, is spam if it
+draws on a small stock of words: either it repeats them more than sentences do,
+or they are words that the corpus holds mainly in blocks of that kind.  A page is
+spam if more than half of its characters stand in spam blocks.
 
 Honest lists (checklists, indices, keys, bibliographies, specimens, measures)
-lack function words too, but their items differ from one another, or they are
-mostly numbers; spam repeats a small stock of words.
+lack function words too, but their words differ from item to item, or figures
+stand between them and no word is common.
 
-Two passes over the pages, no shuffle but of one histogram for each language.
-Null or empty texts are no spam; pages without language are taken for that whose
-function words they hold most.
+Two passes over the texts: one counts in how many pages a word stands, one
+measures the blocks.  All that follows reads the measures only, which are a few
+numbers for each block and the words of lists.  What reaches the driver is
+bounded by shares: function words (at least FUNCTION_PAGES of the pages of a
+language), limits (a row for each language) and the stock of spam (words of at
+least STOCK_PAGES of the pages with spam).
+
+Null or blank texts and pages without id are no spam; repeated rows of one page
+count once.  A page without language, or in one of fewer than LEARN_PAGES pages,
+takes the language whose function words it holds most; if it holds hardly any,
+its own words of up to SHORT letters stand for them and the limits of all
+languages together hold.  Languages written without blanks are not covered.
 """
 
 from __future__ import annotations
@@ -23,181 +36,238 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.operators.lineage import spread
+from scriptorium.operators.lineage import cut, spread
 
-# Function words.
-FUNCTION = {
-    "fr": frozenset("le la les l de des du d un une et en est sont à au aux par sur dans qui que se on y elle il ses sa son ce cette ne n pas qu nous ou pour avec plus dont vers sous a ont été être leur leurs comme entre sans mais où si très".split()),
-    "en": frozenset("the of and in is are a an to by on at it its with for from this that was has as or be which who not than when but near into were been have their they there up under about between".split()),
-}
 #: Share of a page's characters above which it is spam.
 PAGE_SHARE = 0.5
-#: Base thresholds; those named in CALIBRATED rise to MARGIN times the given quantile of sentence-like paragraphs.
-BASE = {"top1": 0.15, "top2": 0.14, "gram": 0.45, "lines": 0.5, "link": 0.5, "tags": 0.4, "chains": 0.12, "prices": 0.06, "stock": 0.35, "few": 0.06, "items": 0.72, "prose": 0.15, "speech": 0.2, "stuffed": 0.09, "dense": 1.6, "copied": 0.85}
-CALIBRATED, QUANTILE, MARGIN = ("top1", "top2", "gram"), 0.999, 1.25
-
-LINK = re.compile(r"\[[^\]\n]*\]\([^)\s]*\)|(?:https?://|www\.)\S+|(?<![\w.@])(?:[\w-]+\.)+(?:com|net|org|info|biz|shop|example|invalid|test|ru|cn|fr|de|uk|io)(?:/\S*)?(?!\w)")
-WORD = re.compile(r"[^\W\d]+(?:['’-][^\W\d]+)*|\d+")
-TAG = re.compile(r"(?<!\w)#\w+|(?<![\w./])[^\W_]+_\w+")
-LABEL = re.compile(r"^\s*(?:tags?|keywords?|labels?|étiquettes?|mots[- ]clés?)\s*:", re.I)
-PRICE = re.compile(r"(?:\d+[.,]\d{2}\s*(?:EUR|€|USD|\$|GBP|£|CHF)|(?:€|\$|£)\s*\d+)|\b[A-Z]{2,4}-\d{2,}\b|★")
-SENTENCE_END = re.compile(r"[.!?](?:\s|$)")
-CHAIN = re.compile(r"\s(?:>|›|»>|→|::|»)\s")
-ITEM_BREAK = re.compile(r"\s*[;|•·\n]\s*|\s*,\s+")
-
-
-def language(words: list[str], lang: str | None) -> str:
-    if lang in FUNCTION:
-        return lang
-    return max(sorted(FUNCTION), key=lambda k: sum(w in FUNCTION[k] for w in words))
+#: Function words: at most so many letters, in at least this share of the pages of a language that has so many pages.
+FUNCTION_LETTERS, FUNCTION_PAGES, LEARN_PAGES = 4, 0.12, 50
+#: Where no language fits: longest word that counts as function word; share of function words from which a language fits.
+SHORT, FITS = 3, 0.12
+#: Words below which a block cannot be judged by how much it repeats; content words in a stretch over which that is measured.
+LEAST_WORDS, STRETCH = 20, 40
+#: Sentences hold at least this share of the median of function words of their language.
+PROSE = 0.5
+#: A limit lies so many times as far above the median of sentences as their 0.9 quantile does, and at least at the floor.
+REACH = {"top": 4.0, "rep": 3.0, "gram": 4.0, "lines": 4.0, "list": 1.0}
+FLOOR = {"top": 0.10, "rep": 0.42, "gram": 0.45, "lines": 0.5, "list": 0.12}
+#: Share of link text, of separators to words, and of numbers to words, beyond which a list is one of links, of labels, of figures.
+LINKS, SEPARATORS, FIGURES = 0.5, 0.25, 0.22
+#: The commonest words of a list are its columns: so many are left aside when its stock of words is measured, so many in one of figures.
+COLUMNS, COLUMNS_OF_FIGURES = 2, 5
+#: A word of the stock: in this share of the pages with spam, and with this share of its pages among them; share of a list's words in the stock.
+STOCK_PAGES, STOCK_OWN, STOCK_SHARE = 0.002, 0.25, 0.35
+#: Words of lists are kept for the stock up to this share of function words.
+LISTED = 0.35
 
+WORD = re.compile(r"[^\W\d_]+|\d+")
+PARAGRAPH = re.compile(r"\n\s*\n")
+MAYBE_LINK = re.compile(r"://|\]\(|[a-z]\.[a-z]")
+LINK = re.compile(r"\[[^\]\n]*\]\([^)\s]*\)|(?:https?://|www\.)\S+|(?<![\w.@])[a-z0-9][a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2,}(?:/\S*)?(?!\w)")
+SEPARATOR = re.compile(r"[>›»→|;•·#/★=]")
+DIGITS = {ord(d): None for d in "0123456789"}
+MEASURES = ("n", "function", "figures", "rep", "rest", "top", "gram", "lines", "link", "separators")
+BLOCK = "doc_id long, block_no int, lang string, chars long, " + ", ".join(f"{m} double" for m in MEASURES) + ", words string"
 
-def features(text: str, lang: str | None) -> dict[str, float]:
-    """The measures of one paragraph."""
-    size = max(1, len(text))
-    links = sum(m.end() - m.start() for m in LINK.finditer(text))
-    plain = LINK.sub(" ", text)
-    words = [w.lower() for w in WORD.findall(plain)]
-    n = len(words)
-    lang = language(words, lang)
-    stop = FUNCTION[lang]
-    numbers = sum(w.isdigit() for w in words)
-    content = [w for w in words if w not in stop and not w.isdigit() and len(w) > 1]
-    counts = Counter(content)
-    pairs = Counter(zip(words, words[1:]))
-    pairs = Counter({k: v for k, v in pairs.items() if not (k[0] in stop or k[1] in stop or k[0].isdigit() or k[1].isdigit())})
-    grams = Counter(zip(words, words[1:], words[2:], words[3:]))
-    covered = [False] * n
-    for i, g in enumerate(zip(words, words[1:], words[2:], words[3:])):
-        if grams[g] > 2 and not any(w.isdigit() for w in g):
-            covered[i : i + 4] = [True] * 4
-    lines = [re.sub(r"\d+", "", x.strip().lower()) for x in text.split("\n") if x.strip()]
-    repeated = Counter(lines)
-    items = [re.sub(r"\d+", "", x.strip().lower()) for x in ITEM_BREAK.split(plain)]
-    items = [x for x in items if x]
-    top = counts.most_common(6)
-    return {
-        "lang": lang, "n": n, "function": sum(w in stop for w in words) / max(1, n), "numbers": numbers / max(1, n),
-        "top1": top[0][1] / n if top and n >= 12 and top[0][1] > 2 else 0.0,
-        "top2": 2 * max(pairs.values()) / n if pairs and n >= 12 and max(pairs.values()) > 2 else 0.0,
-        "gram": sum(covered) / n if n >= 12 else 0.0,
-        "lines": sum(v for v in repeated.values() if v > 1) / len(lines) if len(lines) > 3 else 0.0,
-        "dense": top[0][1] / max(1, len(SENTENCE_END.findall(plain))) if top else 0.0,
-        "link": links / size,
-        "tags": sum(m.end() - m.start() for m in TAG.finditer(text)) / size,
-        "chains": len(CHAIN.findall(text)) / max(1, n),
-        "prices": len(PRICE.findall(text)) / max(1, n),
-        "stock": sum(v for _, v in top[:4] if v > 1) / max(1, n - numbers) if n >= 8 else 0.0,
-        "items": len(set(items)) / len(items) if len(items) > 5 else 1.0,
-        "label": float(bool(LABEL.match(text))),
-        "short": sum(len(x.split()) <= 3 for x in items) / max(1, len(items)),
-    }
-
-
-def reasons(f: dict[str, float], limit: dict[str, float]) -> list[str]:
-    """Why a paragraph is spam; none if it is not."""
-    out = [k for k in ("link", "tags", "chains") if f[k] >= limit[k]]
-    if f["prices"] >= limit["prices"] and f["function"] < limit["speech"]:
-        out.append("prices")
-    if f["label"] and f["function"] < limit["few"]:
-        out.append("label")
-    if f["numbers"] < 0.25:
-        # sentences of one pattern repeat a word once each, stuffed ones several times
-        if f["function"] >= limit["speech"]:
-            stuffed = f["top1"] >= limit["stuffed"] and f["dense"] >= limit["dense"]
-        else:
-            stuffed = (f["top1"] >= limit["top1"] or f["top2"] >= limit["top2"]) and (f["function"] < limit["few"] or f["dense"] >= limit["dense"])
-        if stuffed:
-            out.append("words")
-        if f["gram"] >= limit["gram"] and f["function"] < limit["prose"] or f["gram"] >= limit["copied"]:
-            out.append("grams")
-        if f["lines"] >= limit["lines"] and f["function"] < limit["prose"]:
-            out.append("lines")
-    if f["function"] < limit["speech"] and f["numbers"] < 0.12 and f["stock"] >= limit["stock"]:
-        out.append("stock")
-    elif f["function"] < limit["few"] and f["numbers"] < 0.3 and (f["stock"] >= limit["stock"] or f["items"] < limit["items"] and f["short"] >= 0.6):
-        out.append("stock")
-    return out
+
+def words_of(text: str) -> list[str]:
+    return WORD.findall(text.lower())
 
 
-def paragraphs(text: str) -> list[str]:
-    return [p for p in re.split(r"\n\s*\n", text) if p.strip()]
+def count_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(lang, word, n): the number of pages that hold a word; of all pages under an empty word."""
+    seen: dict[str, Counter] = {}
+    for pdf in batches:
+        for text, lang in zip(pdf["text"], pdf["lang"]):
+            own = seen.setdefault(lang or "", Counter())
+            own.update(set(words_of(text)))
+            own[""] += 1
+        if sum(map(len, seen.values())) > 400_000:
+            yield from _vocabulary(seen)
+            seen = {}
+    yield from _vocabulary(seen)
 
 
-def calibrate(pages: DataFrame) -> dict[str, dict[str, float]]:
-    """Thresholds for each language, from the sentence-like paragraphs of all pages.
+def _vocabulary(seen: dict[str, Counter]) -> Iterator[pd.DataFrame]:
+    for lang, own in seen.items():
+        yield pd.DataFrame({"lang": lang, "word": list(own), "n": list(own.values())})
 
-    Each task counts its paragraphs by measure and hundredth, so a histogram of
-    a few hundred cells for each language is all that is gathered.
+
+def function_words(vocabulary: DataFrame) -> dict[str, frozenset[str]]:
+    """The function words of each language with enough pages, learned from a vocabulary (lang, word, n).
+
+    A page holds some hundred different words, so at most a few thousand words of
+    a language can stand in FUNCTION_PAGES of its pages.
     """
+    pages = vocabulary.filter((F.col("word") == "") & (F.col("lang") != "") & (F.col("n") >= LEARN_PAGES)).select("lang", F.col("n").alias("pages"))
+    common = vocabulary.filter((F.length("word").between(1, FUNCTION_LETTERS)) & ~F.col("word").rlike(r"^\d")).join(pages, "lang").filter(F.col("n") >= FUNCTION_PAGES * F.col("pages"))
+    out: dict[str, set[str]] = {r.lang: set() for r in pages.collect()}
+    for r in common.select("lang", "word").collect():
+        out[r.lang].add(r.word)
+    return {lang: frozenset(ws) for lang, ws in out.items()}
 
-    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter = Counter()
-        for pdf in batches:
-            for text, lang in zip(pdf["text"], pdf["lang"]):
-                for p in paragraphs(text):
-                    f = features(p, lang)
-                    if f["function"] >= 0.15 and f["n"] >= 12:
-                        seen.update((f["lang"], k, int(f[k] * 100)) for k in CALIBRATED)
-        yield pd.DataFrame([(a, b, c, n) for (a, b, c), n in seen.items()], columns=["lang", "measure", "cell", "n"])
-
-    rows = pages.mapInPandas(cells, "lang string, measure string, cell int, n long").groupBy("lang", "measure", "cell").agg(F.sum("n").alias("n")).collect()
-    out = {lang: dict(BASE) for lang in FUNCTION}
-    for lang in out:
-        for k in CALIBRATED:
-            cells_of = sorted((r.cell, r.n) for r in rows if r.lang == lang and r.measure == k)
-            total, seen = sum(n for _, n in cells_of), 0
-            # spam of whole sentences is in the histogram too: only its lower part, up to the base threshold, is honest
-            honest = [(c, n) for c, n in cells_of if c < BASE[k] * 100]
-            total = sum(n for _, n in honest)
-            for c, n in honest:
-                seen += n
-                if seen >= QUANTILE * total:
-                    out[lang][k] = min(BASE[k] * 1.3, max(BASE[k] * 0.75, MARGIN * (c + 1) / 100))
-                    break
-    return out
 
+def language(words: list[str], lang: str | None, known: dict[str, frozenset[str]]) -> str:
+    """The language of a page: its own if it was learned, else that whose function words it holds most; '' if it holds hardly any."""
+    if lang in known:
+        return lang
+    best = max(sorted(known), key=lambda k: sum(map(known[k].__contains__, words)), default="")
+    return best if best and sum(map(known[best].__contains__, words)) >= FITS * len(words) else ""
 
-def judge(text: str, lang: str | None, limits: dict[str, dict[str, float]]) -> tuple[float, list[str]]:
-    """The share of a page's characters in spam paragraphs, and why they are spam.
 
-    A paragraph too short to be judged alone goes with the spam beside it if it
-    holds no function words and is not mostly numbers.
-    """
-    total = bad = unsure = 0
-    why: set[str] = set()
-    for p in paragraphs(text):
-        f = features(p, lang)
-        r = reasons(f, limits[f["lang"]])
-        total += len(p)
-        if r:
-            bad += len(p)
-            why.update(r)
-        elif f["n"] < 20 and f["function"] < limits[f["lang"]]["few"] and f["numbers"] < 0.25:
-            unsure += len(p)
-    return (bad + unsure * bool(bad)) / max(1, total), sorted(why)
+def repeated(words: list[str]) -> float:
+    """The share of words that stood before in the same stretch, so that it does not grow with the length of a text."""
+    if not words:
+        return 0.0
+    size = -(-len(words) // max(1, round(len(words) / STRETCH)))
+    cuts = range(0, len(words), size)
+    return sum(1 - len(set(words[i : i + size])) / len(words[i : i + size]) for i in cuts) / len(cuts)
 
 
-def scored(pages: DataFrame) -> DataFrame:
-    """(doc_id, n_chars, spam_share, reasons) of pages (doc_id, text, lang)."""
-    pages = pages.filter(F.col("doc_id").isNotNull() & (F.trim("text") != "")).select("doc_id", "text", "lang")
-    pages = spread(pages, "doc_id")
-    limits = calibrate(pages)
+def measure(block: str, function: frozenset[str] | None) -> tuple[dict[str, float], list[str]]:
+    """The measures of a block, and its content words.  function: None where no language fits."""
+    links = 0
+    plain = block
+    if MAYBE_LINK.search(block):
+        plain, links = LINK.subn(" ", block)
+        links = len(block) - len(plain) + links if links else 0
+    words = words_of(plain)
+    n = len(words)
+    figures = sum(map(str.isdigit, words))
+    if function is None:
+        content = [w for w in words if len(w) > SHORT and not w.isdigit()]
+    else:
+        content = [w for w in words if len(w) > 1 and w not in function and not w.isdigit()]
+    out = dict.fromkeys(MEASURES, 0.0)
+    out.update(n=n, function=(n - figures - len(content)) / max(1, n - figures), figures=figures / max(1, n), link=links / max(1, len(block)))
+    if n:
+        out["separators"] = len(SEPARATOR.findall(plain)) / n
+    if n >= LEAST_WORDS and content:
+        out["rep"] = repeated(content)
+        if out["rep"]:
+            common = Counter(content).most_common(COLUMNS if out["figures"] < FIGURES else COLUMNS_OF_FIGURES)
+            out["top"] = common[0][1] / n
+            columns = {w for w, _ in common}
+            out["rest"] = repeated([w for w in content if w not in columns])
+            seen = Counter(zip(words, words[1:], words[2:], words[3:]))
+            out["gram"] = sum(v for v in seen.values() if v > 2) / (n - 3)
+        lines = [x for x in plain.translate(DIGITS).split("\n") if x.strip()]
+        if len(lines) > 3:
+            out["lines"] = 1 - len(set(lines)) / len(lines)
+    return out, content
+
+
+def blocks(text: str, function: frozenset[str] | None) -> list[tuple[int, dict[str, float], list[str]]]:
+    """(characters, measures, content words) of the blocks of a page; short paragraphs without function words go together."""
+    out = []
+    run: list[str] = []
+
+    def close() -> None:
+        if run:
+            whole = "\n\n".join(run)
+            out.append((sum(map(len, run)), *measure(whole, function)))
+            run.clear()
+
+    for p in PARAGRAPH.split(text):
+        if not p.strip():
+            continue
+        m, content = measure(p, function)
+        if m["n"] < LEAST_WORDS and m["function"] < LISTED:
+            run.append(p)
+            continue
+        close()
+        out.append((len(p), m, content))
+    close()
+    return out
+
+
+def measured(pages: DataFrame, known: dict[str, frozenset[str]]) -> DataFrame:
+    """The blocks (BLOCK) of pages (doc_id, text, lang); words only of those with few function words."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [x.split()[0] for x in BLOCK.split(", ")]
         for pdf in batches:
             rows = []
             for i, text, lang in zip(pdf["doc_id"], pdf["text"], pdf["lang"]):
-                share, why = judge(text, lang, limits)
-                rows.append((i, len(text), share, why))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_chars", "spam_share", "reasons"])
+                own = lang if lang in known else language(words_of(text), lang, known)
+                for k, (chars, m, content) in enumerate(blocks(text, known.get(own))):
+                    rows.append((i, k, own, chars, *m.values(), " ".join(content) if m["function"] < LISTED else None))
+            yield pd.DataFrame(rows, columns=names)
+
+    return pages.mapInPandas(run, BLOCK)
+
+
+def limits(measures: DataFrame) -> DataFrame:
+    """A row for each language, '' for all together: lang, prose and the limits of REACH, from blocks that read like sentences."""
+    long = measures.filter(F.col("n") >= LEAST_WORDS)
+    every = long.unionByName(long.filter("lang <> ''").withColumn("lang", F.lit("")))
+    middle = every.groupBy("lang").agg((PROSE * F.percentile_approx("function", 0.5)).alias("prose"))
+    prose = every.join(F.broadcast(middle), "lang").filter(F.col("function") >= F.col("prose"))  # a row for each language
+
+    def limit(name: str, source: str) -> Column:
+        q = F.percentile_approx(source, [0.5, 0.9])
+        return F.greatest(F.lit(FLOOR[name]), q[0] + REACH[name] * (q[1] - q[0])).alias(f"most_{name}")
+
+    return prose.groupBy("lang").agg(F.first("prose").alias("prose"), *[limit(k, "rest" if k == "list" else k) for k in REACH])
+
 
-    return pages.mapInPandas(run, "doc_id long, n_chars int, spam_share double, reasons array<string>")
+def reasons() -> Column:
+    """Why a block, joined with the limits of its language, is spam by its own measures."""
+    c = F.col
+    listed, long = c("function") < c("prose"), c("n") >= LEAST_WORDS
+    why = {
+        "links": c("link") >= LINKS,
+        "words": ~listed & long & (c("top") >= c("most_top")) & (c("rep") >= c("most_rep")),
+        "grams": ~listed & long & (c("gram") >= c("most_gram")) & (c("top") >= c("most_top")),
+        "lines": long & (c("lines") >= c("most_lines")) & (listed | (c("rep") >= c("most_rep"))),
+        "stock": listed & long & (c("rest") >= c("most_list")),
+        "labels": listed & long & (c("separators") >= SEPARATORS) & (c("rest") >= 0.75 * c("most_list")) & (c("figures") < FIGURES),
+    }
+    return F.filter(F.array(*[F.when(v, F.lit(k)) for k, v in why.items()]), lambda x: x.isNotNull())
+
+
+def stock_of(flagged: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(word): the words that lists of spam draw on, from flagged blocks (doc_id, words)."""
+    held = flagged.filter("words is not null").select("doc_id", F.explode(F.split("words", " ")).alias("word")).filter("word <> ''").distinct()
+    pages = flagged.agg(F.countDistinct("doc_id").alias("pages"))
+    spam = held.groupBy("word").agg(F.count("*").alias("k"))
+    total = vocabulary.groupBy("word").agg(F.sum("n").alias("total"))
+    common = spam.crossJoin(F.broadcast(pages)).filter((F.col("k") >= 3) & (F.col("k") >= STOCK_PAGES * F.col("pages")))  # one row of totals
+    return common.join(total, "word").filter(F.col("k") >= STOCK_OWN * F.col("total")).select("word")
+
+
+def judged(pages: DataFrame) -> DataFrame:
+    """(doc_id, chars, why): the blocks of pages (doc_id, text, lang) and why they are spam, if they are."""
+    pages = pages.filter(F.col("doc_id").isNotNull() & (F.trim("text") != "")).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
+    pages = spread(pages, "doc_id")
+    vocabulary = cut(pages.select("text", "lang").mapInPandas(count_batches, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    measures = cut(measured(pages, function_words(vocabulary)).distinct().withColumn("block", F.monotonically_increasing_id()))
+    limit = limits(measures)
+    told = measures.join(F.broadcast(limit), "lang", "left").join(  # a row for each language
+        F.broadcast(limit.filter("lang = ''").select(*[F.col(x).alias(f"any_{x}") for x in limit.columns if x != "lang"]).limit(1)), F.lit(True), "left"
+    )
+    for x in limit.columns:
+        if x != "lang":
+            told = told.withColumn(x, F.coalesce(x, f"any_{x}"))
+    told = told.select("doc_id", "block", "chars", "words", (F.col("function") < F.col("prose")).alias("listed"), F.coalesce(reasons(), F.array().cast("array<string>")).alias("why"))
+    told = cut(told)
+    stock = stock_of(told.filter(F.size("why") > 0).select("doc_id", "words"), vocabulary)
+    unsure = told.filter((F.size("why") == 0) & F.col("listed") & F.col("words").isNotNull()).select("block", F.explode(F.split("words", " ")).alias("word"))
+    drawn = unsure.join(stock.withColumn("hit", F.lit(1)), "word", "left").groupBy("block").agg((F.count("hit") / F.count("*")).alias("share")).filter(F.col("share") >= STOCK_SHARE)
+    return told.join(drawn, "block", "left").select("doc_id", "chars", F.when(F.col("share").isNotNull(), F.array(F.lit("keywords"))).otherwise(F.col("why")).alias("why"))
+
+
+def scored(pages: DataFrame) -> DataFrame:
+    """(doc_id, n_chars, spam_share, reasons) of pages (doc_id, text, lang)."""
+    bad = F.size("why") > 0
+    return judged(pages).groupBy("doc_id").agg(
+        F.sum("chars").alias("n_chars"), (F.sum(F.when(bad, F.col("chars")).otherwise(0)) / F.sum("chars")).alias("spam_share"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("why")))).alias("reasons")
+    )
 
 
 def found(pages: DataFrame) -> DataFrame:
     """(doc_id) of the spam pages."""
-    return scored(pages).filter(F.col("spam_share") > PAGE_SHARE).select("doc_id").distinct()
+    return scored(pages).filter(F.col("spam_share") > PAGE_SHARE).select("doc_id")

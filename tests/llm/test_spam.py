@@ -1,38 +1,84 @@
+import random
+
 import pytest
 
 from scriptorium.llm import spam as S
 
-SPAM = [
-    "graines bouture REF-12 10,50 EUR stock\nserre promo REF-77 3,20 EUR\npot catalogue REF-8 9,99 EUR new\nserre jardin REF-5 1,00 EUR", "#serre #promo #serre #jardin #promo #graines #serre #promo",
-    "[serre A](https://x.test/1)\n[promo B](https://y.test/2)\n[jardin C](https://z.test/3)", "Promo > Serre > Jardin\nJardin > Promo > Graines\nSerre > Promo > Jardin",
-    "Looking for top ten? Here is top ten, more top ten and only top ten. Our top ten is the top ten every top ten lover wants.", "Shop Rodembé\nStore Pomumbé\nShop Dikiville (3)\nGarden Ludo\nStore Nefo\nShop Saflo\nGarden Trovru\nStore Blibi",
-]
-HONEST = [
-    "Les feuilles sont glabres et luisantes ; on y mesure 3–4 mm de longueur. Le fruit est charnu et la graine est petite.", "Veblathes relaifolia Nevo\nBitucarpus mukeata Cutro\nNedronia sisiensis Plape\nConilus guduii Degreski\nLecrulla rezaensis Blogro\nZibiphora rucruii Cudro",
-    "Gribrinia jodraoides ..... 3\nTruvrodendron vrutriana ....... 71\nMadrestemma blodaana ..... 280\nBupania deneana ..... 44", "N. gopeifolia | feuilles 35–43 cm | fruit 36–37 mm | 5\nP. cafaifolia | feuilles 30–36 cm | fruit 3–8 mm | 51\nD. chavroii | feuilles 31–39 cm | fruit 31–40 mm | 14",
-    "A. Muzeble (1985). Study of the genus Drolustemma. Bull. Lifeville 13: 139. https://doi.example/3150\nB. Sipebre (1923). Study of the genus Flepladendron. Bull. Pomumbé 75: 200.\nC. Lajicuc (1956). Study of the genus Cirostemma. Bull. Vinengolo 45: 208.",
-    "Blocirako: V. Lumibrert 5514 (OZU), 18/8/1917\nLapebena: A. Plutremin 7172 (NPL), 13/7/1932\nCrinarako: B. Grozitrart 5435 (OZU), 4/8/1977",
-]
-LIMITS = {"fr": S.BASE, "en": S.BASE}
+GLUE = {
+    "en": "the of and in is are an to by on at it its with for from this that was has".split(),
+    "fr": "le la les de des du un une et en est sont au aux par sur dans qui que se".split(),
+    "de": "der die das und in den von mit ist ein im auf als an es aus bei nach wird zu".split(),
+    "es": "de la que el en y a los del se las por un para con una su al lo como".split(),
+}
+HOUSE = "Our house is in the mountains and the house of my brother is by the river, but this house was the first house that we had, and it has been our house for years since the old house of our parents fell down."
+WALD = "Der Wald liegt hinter dem Dorf, und wer durch den Wald geht, hört am Abend die Vögel. Im Wald stehen alte Buchen, deren Laub den Boden bedeckt, und ein Bach fließt langsam durch das enge Tal nach Osten."
+
+
+def word(rng: random.Random) -> str:
+    return "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(rng.randint(3, 5)))
+
+
+def corpus(seed: int) -> tuple[list[tuple], set[int]]:
+    """Planted pages of four languages: sentences, honest lists and spam of several kinds."""
+    rng = random.Random(seed)
+    rows, spam = [], set()
+    for lang, glue in GLUE.items():
+        stock, nouns = [word(rng) + " " + word(rng) for _ in range(15)], [word(rng) for _ in range(400)]
 
+        def sentences(n: int) -> str:
+            return " ".join(" ".join(rng.choice(glue) if rng.random() < 0.5 else rng.choice(nouns) for _ in range(rng.randint(8, 15))).capitalize() + "." for _ in range(n))
 
-@pytest.mark.parametrize("text", SPAM)
-def test_spam(text):
-    assert S.judge(text, None, LIMITS)[0] > 0.5
+        for k in range(150):
+            doc = len(rows)
+            if k % 10 == 0:
+                spam.add(doc)
+                kind, some = k // 10 % 5, rng.sample(stock, 4)
+                text = [
+                    lambda: "\n".join(" > ".join(rng.sample(stock, 3)) for _ in range(14)),
+                    lambda: " ".join(f"#{rng.choice(stock).replace(' ', '')}" for _ in range(40)),
+                    lambda: "\n".join(f"[{rng.choice(stock)}](https://{word(rng)}.{word(rng)}/{i})" for i in range(9)),
+                    lambda: " ".join(f"{glue[0]} {some[0]} {glue[1]} {glue[2]} {some[0]} {glue[3]} {glue[4]} {some[0]} {glue[5]} {rng.choice(nouns)}." for _ in range(6)),
+                    lambda: "\n\n".join(f"{rng.choice(stock)} {rng.choice(stock)}" for _ in range(16)),
+                ][kind]()
+                if k % 20 == 0:
+                    text = sentences(1) + "\n\n" + text
+            elif k % 10 == 1:
+                text = "\n".join(f"{word(rng).capitalize()} {word(rng)} {word(rng).capitalize()}" for _ in range(20))
+            elif k % 10 == 2:
+                text = "\n".join(f"{word(rng).capitalize()} {word(rng)} | {nouns[0]} {rng.randint(1, 40)}-{rng.randint(41, 90)} | {rng.randint(1, 400)}" for _ in range(20))
+            else:
+                text = "\n\n".join(sentences(rng.randint(3, 6)) for _ in range(3)) + (f"\n\n{rng.choice(stock)} > {rng.choice(stock)}" if k % 10 == 3 else "")
+            rows.append((doc, text, lang if rng.random() < 0.9 else None))
+    return rows, spam
 
 
-@pytest.mark.parametrize("text", HONEST)
-def test_honest(text):
-    assert S.judge(text, None, LIMITS)[0] == 0
+@pytest.mark.parametrize("seed", [1, 2])
+def test_planted_pages_of_four_languages(spark, seed):
+    rows, spam = corpus(seed)
+    extra = [(5000, HOUSE, "en"), (5001, WALD, "de"), (5002, WALD, None), (5003, None, "fr"), (5004, "", "fr"), (None, rows[0][1], "fr"), (0, rows[0][1], "en")]
+    df = spark.createDataFrame([(*r, 1, "r") for r in rows + extra], "doc_id long, text string, lang string, n long, reasons string")
+    got = [r.doc_id for r in S.found(df).collect()]
+    assert len(got) == len(set(got)) and not set(got) & {5000, 5001, 5002, 5003, 5004}
+    assert len(spam & set(got)) >= 0.9 * len(spam) and len(spam & set(got)) >= 0.9 * len(got)
 
 
-def test_pages(spark):
-    rows = [(i, t, "en") for i, t in enumerate(SPAM)] + [(10 + i, t, None) for i, t in enumerate(HONEST)]
-    rows += [(20, "\n\n".join([HONEST[0]] * 6 + [SPAM[1]]), "fr"), (21, "\n\n".join([HONEST[0], SPAM[4], SPAM[4]]), "xx"), (22, None, "fr"), (23, "", "fr"), (None, SPAM[0], "fr"), (0, SPAM[0], "en")]
-    df = spark.createDataFrame([(*r, 1, "r") for r in rows], "doc_id long, text string, lang string, n long, reasons string")
-    assert sorted(r.doc_id for r in S.found(df).collect()) == [*range(len(SPAM)), 21]
+def test_languages_never_learned_keep_their_sentences(spark):
+    df = spark.createDataFrame([(1, WALD, "de"), (2, WALD, None), (3, HOUSE, "xx")], "doc_id long, text string, lang string")
+    assert S.found(df).count() == 0
     assert S.found(df.limit(0)).count() == 0
 
 
 def test_very_long_page():
-    assert S.judge("\n\n".join(HONEST[:1] * 3000), "fr", LIMITS)[0] == 0
+    page = "\n\n".join(f"{HOUSE} {i}" for i in range(3000))
+    assert len(S.blocks(page, frozenset(GLUE["en"]))) == 3000
+
+
+def test_short_paragraphs_of_a_page_are_judged_together():
+    page = "\n\n".join(["tulip sale", "sale bulbs", "bulbs tulip"] * 10)
+    (chars, m, content), = S.blocks(page, frozenset(GLUE["en"]))
+    assert m["n"] == 60 and m["rep"] > 0.8 and len(content) == 60 and chars > 200
+
+
+def test_links_of_any_domain():
+    assert S.measure("tulipa.beispiel/rot/1 siehe www.garten.xyz und [a](b)", None)[0]["link"] > 0.7
+    assert S.measure("Der Satz endet hier.Der andere beginnt. Vgl. S. 3.5 usw.", None)[0]["link"] == 0
