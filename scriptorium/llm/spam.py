@@ -65,9 +65,11 @@ LISTED = 0.35
 
 WORD = re.compile(r"[^\W\d_]+|\d+")
 PARAGRAPH = re.compile(r"\n\s*\n")
-MAYBE_LINK = re.compile(r"://|\]\(|[a-z]\.[a-z]")
+DOTTED = re.compile(r"\.[a-z]")
 LINK = re.compile(r"\[[^\]\n]*\]\([^)\s]*\)|(?:https?://|www\.)\S+|(?<![\w.@])[a-z0-9][a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2,}(?:/\S*)?(?!\w)")
 SEPARATOR = re.compile(r"[>›»→|;•·#/★=]")
+#: Single letters are no words of a language's stock.
+SINGLE = {chr(c) for c in range(0x61, 0x250) if chr(c).islower()}
 DIGITS = {ord(d): None for d in "0123456789"}
 MEASURES = ("n", "function", "figures", "rep", "rest", "top", "gram", "lines", "link", "separators")
 BLOCK = "doc_id long, block_no int, lang string, chars long, " + ", ".join(f"{m} double" for m in MEASURES) + ", words string"
@@ -107,7 +109,7 @@ def function_words(vocabulary: DataFrame) -> dict[str, frozenset[str]]:
     out: dict[str, set[str]] = {r.lang: set() for r in pages.collect()}
     for r in common.select("lang", "word").collect():
         out[r.lang].add(r.word)
-    return {lang: frozenset(ws) for lang, ws in out.items()}
+    return {lang: frozenset(ws | SINGLE) for lang, ws in out.items()}
 
 
 def language(words: list[str], lang: str | None, known: dict[str, frozenset[str]]) -> str:
@@ -131,32 +133,35 @@ def measure(block: str, function: frozenset[str] | None) -> tuple[dict[str, floa
     """The measures of a block, and its content words.  function: None where no language fits."""
     links = 0
     plain = block
-    if MAYBE_LINK.search(block):
+    if "://" in block or "](" in block or DOTTED.search(block):
         plain, links = LINK.subn(" ", block)
         links = len(block) - len(plain) + links if links else 0
     words = words_of(plain)
     n = len(words)
-    figures = sum(map(str.isdigit, words))
-    if function is None:
-        content = [w for w in words if len(w) > SHORT and not w.isdigit()]
-    else:
-        content = [w for w in words if len(w) > 1 and w not in function and not w.isdigit()]
+    letters = [w for w in words if w >= "a"]
+    figures = n - len(letters)
+    content = [w for w in letters if len(w) > SHORT] if function is None else [w for w in letters if w not in function]
     out = dict.fromkeys(MEASURES, 0.0)
     out.update(n=n, function=(n - figures - len(content)) / max(1, n - figures), figures=figures / max(1, n), link=links / max(1, len(block)))
-    if n:
+    if n and out["function"] < LISTED:
         out["separators"] = len(SEPARATOR.findall(plain)) / n
     if n >= LEAST_WORDS and content:
         out["rep"] = repeated(content)
         if out["rep"]:
-            common = Counter(content).most_common(COLUMNS if out["figures"] < FIGURES else COLUMNS_OF_FIGURES)
-            out["top"] = common[0][1] / n
-            columns = {w for w, _ in common}
+            counts = Counter(content)
+            out["top"] = max(counts.values()) / n
+            columns = set()
+            for _ in range(min(len(counts), COLUMNS if out["figures"] < FIGURES else COLUMNS_OF_FIGURES)):
+                w = max(counts, key=counts.__getitem__)
+                columns.add(w)
+                counts[w] = 0
             out["rest"] = repeated([w for w in content if w not in columns])
-            seen = Counter(zip(words, words[1:], words[2:], words[3:]))
-            out["gram"] = sum(v for v in seen.values() if v > 2) / (n - 3)
-        lines = [x for x in plain.translate(DIGITS).split("\n") if x.strip()]
-        if len(lines) > 3:
-            out["lines"] = 1 - len(set(lines)) / len(lines)
+            if out["top"] >= FLOOR["top"]:  # else no n-gram can be common
+                seen = Counter(zip(words, words[1:], words[2:], words[3:]))
+                out["gram"] = sum(v for v in seen.values() if v > 2) / (n - 3)
+        if plain.count("\n") > 2:
+            lines = [x for x in plain.translate(DIGITS).split("\n") if x.strip()]
+            out["lines"] = 1 - len(set(lines)) / max(1, len(lines)) if len(lines) > 3 else 0.0
     return out, content
 
 
@@ -245,18 +250,19 @@ def judged(pages: DataFrame) -> DataFrame:
     pages = spread(pages, "doc_id")
     vocabulary = cut(pages.select("text", "lang").mapInPandas(count_batches, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")))
     measures = cut(measured(pages, function_words(vocabulary)).distinct().withColumn("block", F.monotonically_increasing_id()))
-    limit = limits(measures)
-    told = measures.join(F.broadcast(limit), "lang", "left").join(  # a row for each language
-        F.broadcast(limit.filter("lang = ''").select(*[F.col(x).alias(f"any_{x}") for x in limit.columns if x != "lang"]).limit(1)), F.lit(True), "left"
-    )
-    for x in limit.columns:
-        if x != "lang":
-            told = told.withColumn(x, F.coalesce(x, f"any_{x}"))
-    told = told.select("doc_id", "block", "chars", "words", (F.col("function") < F.col("prose")).alias("listed"), F.coalesce(reasons(), F.array().cast("array<string>")).alias("why"))
-    told = cut(told)
+    spark = pages.sparkSession
+    limit = limits(measures).collect()  # a row for each language that was learned, and one for all
+    names = ["lang", "prose", *(f"most_{k}" for k in REACH)]
+    if all(r.lang for r in limit):  # nothing reads like sentences
+        limit.append(("", PROSE * LISTED, *FLOOR.values()))
+    own = [r[0] for r in limit]
+    table = F.broadcast(spark.createDataFrame(limit, ", ".join([f"{names[0]} string", *(f"{x} double" for x in names[1:])])))
+    told = measures.withColumn("lang", F.when(F.col("lang").isin(own), F.col("lang")).otherwise("")).join(table, "lang")
+    told = told.select("doc_id", "block", "chars", "words", (F.col("function") < F.col("prose")).alias("listed"), reasons().alias("why"))
     stock = stock_of(told.filter(F.size("why") > 0).select("doc_id", "words"), vocabulary)
     unsure = told.filter((F.size("why") == 0) & F.col("listed") & F.col("words").isNotNull()).select("block", F.explode(F.split("words", " ")).alias("word"))
-    drawn = unsure.join(stock.withColumn("hit", F.lit(1)), "word", "left").groupBy("block").agg((F.count("hit") / F.count("*")).alias("share")).filter(F.col("share") >= STOCK_SHARE)
+    words = spark.createDataFrame([(r.word, 1) for r in stock.collect()], "word string, hit int")  # bounded by STOCK_PAGES
+    drawn = unsure.join(F.broadcast(words), "word", "left").groupBy("block").agg((F.count("hit") / F.count("*")).alias("share")).filter(F.col("share") >= STOCK_SHARE)
     return told.join(drawn, "block", "left").select("doc_id", "chars", F.when(F.col("share").isNotNull(), F.array(F.lit("keywords"))).otherwise(F.col("why")).alias("why"))
 
 
