@@ -1,183 +1,345 @@
 """Problem 3: deeply nested semi-structured records into related flat tables.
 
-Method: each record is read once, depth first, into path-value-ordinal triples;
-a path's nearest repeated ancestor (an element of an array, or an entry of an
-object that serves as a map) names the group it belongs to; each group is then
-pivoted into one table whose rows keep the row they hang under.
-
-A record is read whole by one task (a cut-off record must give nothing, which
-is known only at its end); the walk keeps one stack frame for each level.  One
-shuffle by record and row id brings the triples of a row together, and since
-row ids start with the record, the same partitioning serves the links between
-parents and children.  Null, blank or malformed records give no triples, nor do
-null entries; strings that hold JSON in the place of a container are read as it.
+Method: each record is parsed as a stream of members, with a stack of its own
+instead of a tree, into path-value-ordinal triples.  A path's nearest repeated
+ancestor (an element of an array, or an entry of an object that serves as a map)
+names the group it belongs to; a group is one row of the table of its ancestors'
+path, with a link to the row it hangs under, and pivoting a table takes fields
+out of the group's triples.  A group is complete when its record is, so nothing
+is shuffled.
+
+Which objects are maps is not given but learned, by the name under which they
+stand: their members are objects that look alike, or are many under ever other
+names.  It is learned on LEARN_RECORDS records chosen by a hash of their id; a
+name that is not among them is judged as a struct, so that nothing is lost but
+that its members are fields.  All records are read in full.
+
+A record is held by one task until its end, for a cut-off one must give nothing.
+Null, blank or malformed records give no rows, nor do null entries; strings that
+hold JSON where other records have a container are read as one.  Members that
+repeat a name are entries of their own in a map; in a struct the last one holds.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+import re
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Records on which the maps are learned.
+LEARN_RECORDS = 1000
+#: An object is a map if so large a share of its members hold the commonest field of all, or if no member stands in so large a share of its instances.
+ALIKE, RECURRING = 0.8, 0.5
+
+_WS = r"[ \t\n\r]*"
+_STRING = r'"[^"\\\x00-\x1f]*(?:\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})[^"\\\x00-\x1f]*)*"'
+_SCALAR = rf"(?:{_STRING}|-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|true|false|null)"
+_VALUE = rf"(?:([{{\[])|({_SCALAR}){_WS}([,}}\]])){_WS}"
+OPEN = re.compile(rf"{_WS}([{{\[]){_WS}")
+MEMBER = re.compile(rf"({_STRING}){_WS}:{_WS}{_VALUE}")
+ELEMENT = re.compile(_VALUE)
+STRUCT, MAP, ARRAY = 0, 1, 2
+
+
+def unquote(token: str) -> str:
+    """The text of a JSON string; halves of a surrogate pair that stand alone are replaced."""
+    if "\\" not in token:
+        return token[1:-1]
+    text = json.loads(token)
+    return text.encode("utf-16", "surrogatepass").decode("utf-16", "replace") if "\\u" in token else text
+
+
+class Groups:
+    """The rows of one record as they are read: (table, label, ordinal, parent row, fields)."""
 
-@dataclass(frozen=True)
-class Shape:
-    """How records are nested.
+    def __init__(self, maps: frozenset[str], containers: frozenset[str], wanted: frozenset[str] | None = None) -> None:
+        self.maps, self.containers, self.wanted = maps, containers, wanted
+        self.rows: list[tuple[str, str, int, int, dict[str, str]]] = []
 
-    collections: names of containers whose members are rows, whether they come
-    as array or as map; the members of one have the table of that name.
-    keys: for each table the fields that may hold a row's own key, first found
-    wins; the key of a map entry goes before them.
-    scalar: for each table the field that a bare value in its place fills.
-    inside: containers whose members belong to the table of another name.
+    def row(self, table: str, label: str, ordinal: int, parent: int) -> int:
+        self.rows.append((table, label, ordinal, parent, {}))
+        return len(self.rows) - 1
+
+    def field(self, row: int, path: str, value: str) -> None:
+        if self.wanted is None or path in self.wanted or path.rpartition(".")[2] in self.wanted:
+            self.rows[row][4][path] = value
+
+
+# A frame: kind, row, path in the row, table, name, next ordinal.
+def read(text: str, groups: Groups, start: tuple | None = None) -> bool:
+    """Put the groups of a text into groups; False if it is no JSON.
+
+    start: the frame in which the text stands, where it is a string within a record.
     """
+    m = OPEN.match(text)
+    if not m:
+        return False
+    maps, rows, wanted, containers = groups.maps, groups.rows, groups.wanted, groups.containers
+    stack: list[tuple] = []
+    if start:
+        kind, row, path, table, name = start
+        if m.group(1) == "[":
+            kind, path, table = ARRAY, "", path if not table else f"{table}.{path}"
+        elif name in maps:
+            kind, path, table = MAP, "", path if not table else f"{table}.{path}"
+    else:
+        kind, row, path, table, name = (ARRAY if m.group(1) == "[" else MAP if "" in maps else STRUCT), groups.row("", "", 0, -1), "", "", ""
+        if kind != STRUCT:
+            table = "items"
+    at, n, ordinal = m.end(), len(text), 0
+    closer = "]" if m.group(1) == "[" else "}"
+    if text[at : at + 1] == closer:
+        return not text[at + 1 :].strip(" \t\n\r")
+    while True:
+        if kind == ARRAY:
+            m = ELEMENT.match(text, at)
+            if not m:
+                return False
+            opened, scalar, after = m.groups()
+            label = field = ""
+        else:
+            m = MEMBER.match(text, at)
+            if not m:
+                return False
+            field, opened, scalar, after = m.groups()
+            label = field = unquote(field)
+        at = m.end()
+        if opened:
+            closer = "]" if opened == "[" else "}"
+            if kind == STRUCT:
+                inner_row, inner_name, inner_path = row, field, f"{path}.{field}" if path else field
+            else:
+                inner_row, inner_name, inner_path = groups.row(table, label, ordinal, row), f"{name}/*" if kind == MAP else f"{name}/[]", ""
+            if opened == "[" or inner_name in maps:
+                inner = (ARRAY if opened == "[" else MAP, inner_row, "", f"{table}.{inner_path}" if table and inner_path else inner_path or f"{table}[]", inner_name)
+            else:
+                inner = (STRUCT, inner_row, inner_path, table, inner_name)
+            if text[at : at + 1] != closer:
+                stack.append((kind, row, path, table, name, ordinal))
+                (kind, row, path, table, name), ordinal = inner, 0
+                continue
+            at += 1
+            while at < n and text[at] in " \t\n\r":
+                at += 1
+            after = text[at : at + 1]
+            at += 1
+        elif scalar != "null":
+            quoted = scalar[0] == '"'
+            if kind == STRUCT:
+                full = f"{path}.{field}" if path else field
+                if quoted and field in containers and scalar[1:].lstrip()[:1] in ("{", "["):
+                    value = unquote(scalar)
+                    kept = len(rows)
+                    if not read(value, groups, (STRUCT, row, full, table, field)):
+                        del rows[kept:]
+                        groups.field(row, full, value)
+                elif wanted is None or field in wanted or full in wanted:
+                    rows[row][4][full] = unquote(scalar) if quoted else scalar
+            else:
+                groups.field(groups.row(table, label, ordinal, row), "value", unquote(scalar) if quoted else scalar)
+        ordinal += 1
+        # what comes behind the value: the next member, or ends of containers
+        while after != ",":
+            if after != ("]" if kind == ARRAY else "}"):
+                return False
+            if not stack:
+                return not text[at:].strip(" \t\n\r")
+            kind, row, path, table, name, ordinal = stack.pop()
+            ordinal += 1
+            while at < n and text[at] in " \t\n\r":
+                at += 1
+            after = text[at : at + 1]
+            at += 1
+        while at < n and text[at] in " \t\n\r":
+            at += 1
+
+
+OwnKey = Callable[[str, str, int, dict[str, str]], str]
+ROWS = "rec_id long, tab string, name string, row_id int, parent_id int, ordinal int, label string, own_key string, lineage array<string>, fields map<string,string>"
+_ARROW = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string()), pa.map_(pa.string(), pa.string())]
 
-    collections: frozenset[str]
-    keys: dict[str, tuple[str, ...]]
-    scalar: dict[str, str] = field(default_factory=dict)
-    inside: dict[str, str] = field(default_factory=dict)
-    wrappers: frozenset[str] = frozenset()
-
-
-TRIPLES = "rec_id long, tab string, row_id string, parent_id string, ordinal int, lineage array<string>, own_key string, field string, value string, kind string"
-
-
-def _refuse(name: str) -> float:
-    raise ValueError(name)
-
-
-def triples(text: str | None, shape: Shape) -> Iterator[tuple]:
-    """(table, row id, parent row id, ordinal, keys of the rows around it, own key, field, value, kind) of one record."""
-    if text is None:
-        return
-    try:
-        whole = json.loads(text, parse_constant=_refuse)
-    except (ValueError, RecursionError):
-        return
-    if not isinstance(whole, (dict, list)):
-        return
-    # an entry: value, path within its row, table, row id, parent, ordinal, lineage, own key
-    stack: list[tuple] = [(whole, "", "", "0", "", 0, (), "")]
-    serial = 0
-    while stack:
-        value, path, tab, row, parent, ordinal, lineage, own = stack.pop()
-        head = (tab, row, parent, ordinal, list(lineage), own)
-        name = path.rsplit(".", 1)[-1]
-        if isinstance(value, str) and name in shape.collections and value.lstrip()[:1] in ("{", "["):
+
+def by_label(name: str, label: str, ordinal: int, fields: dict[str, str]) -> str:
+    """The key of a row where nothing else is known: its name in a map, its number in an array."""
+    return label or str(ordinal)
+
+
+def grouped(rec: int, text: str | None, maps: frozenset[str], containers: frozenset[str], own_key: OwnKey = by_label, wanted: frozenset[str] | None = None) -> list[tuple]:
+    """The rows (ROWS) of one record; none for one that is no JSON, or holds neither object nor array."""
+    if not text:
+        return []
+    groups = Groups(maps, containers, wanted)
+    if not read(text, groups):
+        return []
+    own: list[str] = []
+    around: list[list[str]] = []
+    out = []
+    for k, (table, label, ordinal, parent, fields) in enumerate(groups.rows):
+        name = table.rpartition(".")[2]
+        own.append(own_key(name, label, ordinal, fields) if k else "")
+        around.append([*around[parent], own[parent]] if parent > 0 else [])
+        out.append((rec, table, name, k, parent, ordinal, label, own[k], around[k], list(fields.items())))
+    return out
+
+
+# --- which names hold maps ---------------------------------------------------
+
+
+def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(name, kind, member, n) of the objects of some records, by the name under which they stand."""
+    seen: Counter = Counter()
+
+    def members(name: str, pairs: list[tuple]) -> None:
+        seen[name, "instance", ""] += 1
+        for k, v in pairs:
+            seen[name, "member", k] += 1
+            if isinstance(v, _Members):
+                seen[name, "object", ""] += 1
+                seen.update((name, "field", f) for f, _ in v.pairs)
+            elif v is not None:
+                seen[name, "other", ""] += 1
+
+    def look(value: object, name: str) -> None:
+        stack = [(value, name)]
+        while stack:
+            value, name = stack.pop()
+            if isinstance(value, str) and value.lstrip()[:1] in ("{", "["):
+                try:
+                    value = json.loads(value, object_pairs_hook=_Members)
+                except (ValueError, RecursionError):
+                    continue
+            if isinstance(value, _Members):
+                members(name, value.pairs)
+                for k, v in value.pairs:
+                    if isinstance(v, _Members):
+                        members(f"{name}/*", v.pairs)  # as what the entries of a map count, should this be one
+                    stack.append((v, k))
+            elif isinstance(value, list):
+                seen[name, "array", ""] += 1
+                stack += [(v, f"{name}/[]") for v in value if isinstance(v, (_Members, list))]
+
+    for pdf in batches:
+        for text in pdf["doc"]:
             try:
-                value = json.loads(value, parse_constant=_refuse)
+                whole = json.loads(text, object_pairs_hook=_Members)
             except (ValueError, RecursionError):
-                pass
-        if isinstance(value, (dict, list)) and name in shape.collections:
-            inner = shape.inside.get(name, name)
-            around = lineage + ((own,) if tab else ())
-            members = value.items() if isinstance(value, dict) else enumerate(value)
-            for k, (label, member) in enumerate(members):
-                if member is None:
-                    continue
-                key = str(label) if isinstance(value, dict) else ""
-                serial += 1
-                child = f"{row}.{serial}"
-                if isinstance(member, dict):
-                    if not key:
-                        key = next((str(member[f]) for f in shape.keys.get(inner, ()) if member.get(f) is not None), "")
-                    yield (inner, child, row, k, list(around), key, "", None, "row")
-                    for f, v in reversed(member.items()):
-                        stack.append((v, f, inner, child, row, k, around, key))
-                elif not isinstance(member, list):
-                    yield (inner, child, row, k, list(around), key, "", None, "row")
-                    yield (inner, child, row, k, list(around), key, shape.scalar.get(inner, "value"), _scalar(member), type(member).__name__)
-        elif isinstance(value, dict):
-            for f, v in reversed(value.items()):
-                inner = "" if f in shape.wrappers and not tab else path
-                step = f if not path or f in shape.collections and not inner else f"{path}.{f}"
-                if f in shape.wrappers and not tab and isinstance(v, dict):
-                    step = ""
-                stack.append((v, step, tab, row, parent, ordinal, lineage, own))
-        elif isinstance(value, list):
-            for k, v in enumerate(value):
-                if v is not None and not isinstance(v, (dict, list)):
-                    yield (*head, f"{path}[{k}]", _scalar(v), type(v).__name__)
-                elif v is not None:
-                    stack.append((v, f"{path}[{k}]", tab, row, parent, ordinal, lineage, own))
-        elif value is not None:
-            yield (*head, path, _scalar(value), type(value).__name__)
-
-
-def _scalar(value: object) -> str:
-    return value if isinstance(value, str) else json.dumps(value)
-
-
-def flatten(records: DataFrame, id_col: str, json_col: str, shape: Shape) -> DataFrame:
-    """The triples of all records (TRIPLES); rows of the record itself have an empty table name."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cols = [x.split()[0] for x in TRIPLES.split(", ")]
-        for pdf in batches:
-            rows = []
-            for rec, text in zip(pdf["rec"], pdf["doc"]):
-                rows += [(rec, *t) for t in triples(text, shape)]
-                if len(rows) > 50_000:
-                    yield pd.DataFrame(rows, columns=cols)
+                continue
+            look(whole, "")
+    yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["name", "kind", "member", "n"])
+
+
+class _Members:
+    """An object with all its members, those of one name too."""
+
+    def __init__(self, pairs: list[tuple]) -> None:
+        self.pairs = pairs
+
+
+def learned(records: DataFrame, id_col: str, json_col: str, learn_records: int = LEARN_RECORDS) -> tuple[frozenset[str], frozenset[str]]:
+    """(names of maps, names of containers), learned on so many records."""
+    some = records.filter(F.col(id_col).isNotNull() & F.col(json_col).isNotNull()).select(F.col(json_col).alias("doc"), F.xxhash64(id_col).alias("h")).orderBy("h", "doc").limit(learn_records).select("doc")
+    counts: dict[str, dict[str, Counter]] = defaultdict(lambda: defaultdict(Counter))
+    for r in some.mapInPandas(_count, "name string, kind string, member string, n long").collect():  # the names of learn_records records
+        counts[r.name][r.kind][r.member] += r.n
+    maps = {k for k, c in counts.items() if is_map(c)}
+    return frozenset(k for k in maps if not k.endswith("/*") or k[:-2] in maps), frozenset(k for k in counts if "/" not in k)
+
+
+def is_map(counts: dict[str, Counter]) -> bool:
+    """Whether objects of these counts are maps: see ALIKE, RECURRING."""
+    instances, objects, others = counts["instance"][""], counts["object"][""], counts["other"][""]
+    members = counts["member"]
+    if not members or not instances:
+        return False
+    if objects and not others:
+        return len(members) > 1 and max(counts["field"].values(), default=0) >= ALIKE * objects
+    return instances > 1 and not objects and len(members) > 1 and max(members.values()) < RECURRING * instances
+
+
+# --- tables ------------------------------------------------------------------
+
+
+def flatten(records: DataFrame, id_col: str, json_col: str, own_key: OwnKey = by_label, wanted: frozenset[str] | None = None, roles: tuple[frozenset[str], frozenset[str]] | None = None) -> DataFrame:
+    """The rows (ROWS) of all records; that of the record itself has an empty table name.
+
+    tab: path of the containers a row stands in, name: the last of them; label:
+    its name in a map; lineage: the keys of the rows around it, outermost first;
+    fields: its triples by path.  wanted: names of the fields that are needed.
+    roles: (maps, containers) where they are known, else they are learned.
+    """
+    maps, containers = roles or learned(records, id_col, json_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [x.split()[0] for x in ROWS.split(", ")]
+        for batch in batches:
+            rows: list[tuple] = []
+            for rec, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                rows += grouped(rec, text.as_py(), maps, containers, own_key, wanted)
+                if len(rows) > 20_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ARROW)], names)
                     rows = []
-            yield pd.DataFrame(rows, columns=cols)
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ARROW)], names)
 
     whole = records.filter(F.col(id_col).isNotNull() & F.col(json_col).isNotNull()).select(F.col(id_col).cast("long").alias("rec"), F.col(json_col).alias("doc"))
-    return whole.mapInPandas(run, TRIPLES)
+    return whole.mapInArrow(run, ROWS)
+
+
+def triples(flat: DataFrame) -> DataFrame:
+    """(rec_id, tab, row_id, ordinal, path, value): the single triples of all groups."""
+    return flat.select("rec_id", "tab", "row_id", "ordinal", F.explode("fields").alias("path", "value"))
+
+
+def table(flat: DataFrame, names: tuple[str, ...], fields: dict[str, tuple[str, ...]]) -> DataFrame:
+    """The groups of tables of these names, pivoted: rec_id, row_id, parent_id, ordinal, lineage, own_key and fields, each the first of some paths that is there."""
+    picks: list[Column] = [F.coalesce(*[F.element_at("fields", p) for p in paths]).alias(f) for f, paths in fields.items()]
+    return flat.filter(F.col("name").isin(*names)).select("rec_id", "row_id", "parent_id", "ordinal", "lineage", "own_key", *picks)
 
 
-def table(flat: DataFrame, name: str, fields: list[str]) -> DataFrame:
-    """The group of triples of one table, pivoted: rec_id, row_id, parent_id, ordinal, lineage, own_key and the named fields as strings."""
-    own = flat.filter(F.col("tab") == name)
-    picks: list[Column] = [F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields]
-    return own.groupBy("rec_id", "row_id").agg(F.first("parent_id").alias("parent_id"), F.first("ordinal").alias("ordinal"), F.first("lineage").alias("lineage"), F.first("own_key").alias("own_key"), *picks)
+# --- key files ---------------------------------------------------------------
 
 
-#: Key files: keys with nodes that may contain nodes, figures, links of genera.
-KEY_FILE = Shape(
-    collections=frozenset({"keys", "nodes", "children", "figures", "genus_links"}),
-    keys={"keys": ("id",), "nodes": ("node_key",), "figures": ("slug",), "genus_links": ("genus",)},
-    scalar={"genus_links": "key", "figures": "path"},
-    inside={"children": "nodes"},
-    wrappers=frozenset({"data"}),
-)
-NODE_FIELDS = ["num", "prime", "text", "is_terminal", "terminal_name", "leads_to", "notes.by"]
+def key_of(name: str, label: str, ordinal: int, fields: dict[str, str]) -> str:
+    """The key of a row of a key file: its name in a map, else the field that holds it."""
+    if label:
+        return label
+    if name in ("nodes", "children"):
+        return fields.get("node_key") or fields.get("num", "") + fields.get("prime", "")
+    return fields.get({"keys": "id", "figures": "slug", "genus_links": "genus"}.get(name, ""), "")
+
+
+def _same(*names: str) -> dict[str, tuple[str, ...]]:
+    return {n: (n,) for n in names}
 
 
 def key_tables(records: DataFrame, id_col: str = "dataset_id", json_col: str = "payload") -> dict[str, DataFrame]:
     """The flat tables of key files: datasets, keys, nodes, figures, genus_links."""
-    flat = flatten(records, id_col, json_col, KEY_FILE)
+    flat = flatten(records, id_col, json_col, key_of)
     return {
-        "datasets": table(flat, "", ["default_key", "meta.title", "meta.family", "meta.generated_at"]),
-        "keys": table(flat, "keys", ["display", "name", "start", "genus", "family"]),
-        "nodes": table(flat, "nodes", NODE_FIELDS),
-        "figures": table(flat, "figures", ["path", "caption"]),
-        "genus_links": table(flat, "genus_links", ["key"]),
+        "datasets": table(flat, ("",), {f: (f, f"data.{f}") for f in ("default_key", "meta.title", "meta.family", "meta.generated_at")}),
+        "keys": table(flat, ("keys",), _same("display", "name", "start", "genus", "family")),
+        "nodes": table(flat, ("nodes", "children"), _same("num", "prime", "text", "is_terminal", "terminal_name", "leads_to", "notes.by")),
+        "figures": table(flat, ("figures",), {"path": ("path", "value"), "caption": ("caption",)}),
+        "genus_links": table(flat, ("genus_links",), {"key": ("key", "value")}),
     }
 
 
 def key_links(records: DataFrame, id_col: str = "dataset_id", json_col: str = "payload") -> DataFrame:
-    """(dataset_id, kind, parent_key, child_key), distinct: every record of the key files tied to its parent.
-
-    The tables are pivoted together, in one shuffle: a row has one own key and
-    lineage, and of its fields only those that name something are looked at.
-    """
-    flat = flatten(records, id_col, json_col, KEY_FILE)
-    named = flat.filter((F.col("kind") == "row") | (F.col("tab") == "") & (F.col("field") == "default_key") | (F.col("tab") == "genus_links") & (F.col("field") == "key") | (F.col("tab") == "nodes") & F.col("field").isin("num", "prime"))
-    rows = named.groupBy("rec_id", "tab", "row_id").agg(
-        F.first("lineage").alias("lineage"), F.first("own_key").alias("own"),
-        *[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in ("default_key", "key", "num", "prime")],
-    )
-    own = F.col("own") != ""
-    node_key = F.when(own, F.col("own")).otherwise(F.concat(F.col("num"), F.coalesce("prime", F.lit(""))))
-    tagged = rows.select(
+    """(dataset_id, kind, parent_key, child_key), distinct: every record of the key files tied to its parent."""
+    wanted = frozenset({"default_key", "key", "value", "id", "slug", "genus", "node_key", "num", "prime"})
+    flat = flatten(records, id_col, json_col, key_of, wanted)
+    name, own = F.col("name"), F.nullif("own_key", F.lit(""))
+    field = lambda f: F.element_at("fields", f)
+    tagged = flat.filter(name.isin("", "keys", "nodes", "children", "figures", "genus_links")).select(
         F.col("rec_id").alias("dataset_id"),
-        F.when(F.col("tab") == "keys", "key").when(F.col("tab") == "nodes", "node").when(F.col("tab") == "figures", "figure").when(F.col("tab") == "genus_links", "genus_link").otherwise("default_key").alias("kind"),
-        F.when(F.col("tab") == "nodes", F.array_join("lineage", "/")).when(F.col("tab") == "genus_links", F.col("key")).otherwise("").alias("parent_key"),
-        F.when(F.col("tab") == "", F.col("default_key")).when(F.col("tab") == "nodes", node_key).otherwise(F.when(own, F.col("own"))).alias("child_key"),
-    )
+        F.when(name == "keys", "key").when(name.isin("nodes", "children"), "node").when(name == "figures", "figure").when(name == "genus_links", "genus_link").otherwise("default_key").alias("kind"),
+        F.when(name.isin("nodes", "children"), F.array_join("lineage", "/")).when(name == "genus_links", F.coalesce(field("key"), field("value"))).otherwise("").alias("parent_key"),
+        F.when(name == "", F.coalesce(field("default_key"), field("data.default_key"))).otherwise(own).alias("child_key"),
+    )
     return tagged.filter("parent_key is not null and child_key is not null").distinct()

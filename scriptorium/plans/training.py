@@ -22,15 +22,17 @@ def p3_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table of nodes with the typed fields and the keys around each."""
     t = nested.key_tables(_payloads(spark, sf_dir))["nodes"]
     return t.select(
-        F.col("rec_id").alias("dataset_id"), F.array_join("lineage", "/").alias("parent_key"), F.col("own_key").alias("node_key"), F.col("num").cast("int").alias("num"), F.coalesce("prime", F.lit("")).alias("prime"),
-        F.col("is_terminal").cast("boolean").alias("is_terminal"), "terminal_name", F.col("leads_to").cast("int").alias("leads_to"), F.length("text").alias("text_len"),
+        F.col("rec_id").alias("dataset_id"), F.array_join("lineage", "/").alias("parent_key"), F.col("own_key").alias("node_key"),
+        F.col("num").cast("int").alias("num"), F.coalesce("prime", F.lit("")).alias("prime"), F.col("is_terminal").cast("boolean").alias("is_terminal"),
+        "terminal_name", F.col("leads_to").cast("int").alias("leads_to"), F.length("text").cast("long").alias("text_len"),
     ).distinct()
 
 
 def p3_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of each table and triples of each, by dataset."""
-    flat = nested.flatten(_payloads(spark, sf_dir), "dataset_id", "payload", nested.KEY_FILE)
-    return flat.groupBy(F.col("rec_id").alias("dataset_id"), F.when(F.col("tab") == "", "dataset").otherwise(F.col("tab")).alias("tab")).agg(F.count_if(F.col("kind") == "row").alias("n_rows"), F.count_if(F.col("kind") != "row").alias("n_values"))
+    """Different rows of each table, and rows at each depth of nesting, by dataset."""
+    links = nested.key_links(_payloads(spark, sf_dir))
+    depth = F.when(F.col("kind") == "node", F.size(F.split("parent_key", "/"))).otherwise(0).alias("depth")
+    return links.groupBy("dataset_id", "kind", depth).agg(F.count("*").alias("n_rows"), F.sum(F.length("child_key")).alias("key_chars"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p3_found": p3_found, "p3_nodes": p3_nodes, "p3_counts": p3_counts}
@@ -46,16 +48,33 @@ def _list(c: str, key: str) -> str:
 
 
 _KEYS = "CASE WHEN json_type(o->'keys') = 'VARCHAR' THEN CAST(o->>'keys' AS JSON) ELSE o->'keys' END"
-_FOUND = f"""
-    WITH RECURSIVE src AS {_OBJ},
-    ks AS (SELECT dataset_id, m.k AS k, m.v AS v FROM (SELECT dataset_id, unnest({_list('c', 'id')}) AS m FROM (SELECT dataset_id, {_KEYS} AS c FROM src)) WHERE json_type(m.v) = 'OBJECT'),
+_NODES = f"""
+    src AS {_OBJ},
+    ks AS (
+        SELECT dataset_id, m.k AS k, m.v AS v FROM (SELECT dataset_id, unnest({_list('c', 'id')}) AS m FROM (SELECT dataset_id, {_KEYS} AS c FROM src))
+        WHERE json_type(m.v) = 'OBJECT'),
     ns AS (
         SELECT dataset_id, par, m.k AS k, m.v AS v FROM (SELECT dataset_id, k AS par, unnest({_list("(v->'nodes')", 'node_key')}) AS m FROM ks) WHERE json_type(m.v) = 'OBJECT'
         UNION ALL
-        SELECT dataset_id, par, m.k, m.v FROM (SELECT dataset_id, par || '/' || k AS par, unnest({_list("(v->'children')", 'node_key')}) AS m FROM ns) WHERE json_type(m.v) = 'OBJECT')
+        SELECT dataset_id, par, m.k, m.v FROM (SELECT dataset_id, par || '/' || k AS par, unnest({_list("(v->'children')", 'node_key')}) AS m FROM ns)
+        WHERE json_type(m.v) = 'OBJECT')"""
+_LINK = "CASE json_type(m.v) WHEN 'OBJECT' THEN m.v->>'key' ELSE m.v->>'$' END"
+_LINKS = f"""
     SELECT dataset_id, 'key' AS kind, '' AS parent_key, k AS child_key FROM ks
     UNION SELECT dataset_id, 'node', par, k FROM ns
     UNION SELECT dataset_id, 'figure', '', m.k FROM (SELECT dataset_id, unnest({_list("(o->'figures')", 'slug')}) AS m FROM src) WHERE json_type(m.v) = 'OBJECT'
-    UNION SELECT dataset_id, 'genus_link', CASE json_type(m.v) WHEN 'OBJECT' THEN m.v->>'key' ELSE m.v->>'$' END, m.k FROM (SELECT dataset_id, unnest({_list("(o->'genus_links')", 'genus')}) AS m FROM src) WHERE json_type(m.v) <> 'NULL' AND CASE json_type(m.v) WHEN 'OBJECT' THEN m.v->>'key' ELSE m.v->>'$' END IS NOT NULL
+    UNION SELECT dataset_id, 'genus_link', {_LINK}, m.k FROM (SELECT dataset_id, unnest({_list("(o->'genus_links')", 'genus')}) AS m FROM src)
+        WHERE json_type(m.v) <> 'NULL' AND {_LINK} IS NOT NULL
     UNION SELECT dataset_id, 'default_key', '', o->>'default_key' FROM src WHERE o->>'default_key' IS NOT NULL"""
-SQL: dict[str, str] = {"p3_found": _FOUND}
+SQL: dict[str, str] = {
+    "p3_found": f"WITH RECURSIVE {_NODES} {_LINKS}",
+    "p3_nodes": f"""
+        WITH RECURSIVE {_NODES}
+        SELECT DISTINCT dataset_id, par AS parent_key, k AS node_key, CAST(v->>'num' AS INTEGER) AS num, coalesce(v->>'prime', '') AS prime,
+               CAST(v->>'is_terminal' AS BOOLEAN) AS is_terminal, v->>'terminal_name' AS terminal_name, CAST(v->>'leads_to' AS INTEGER) AS leads_to, length(v->>'text') AS text_len
+        FROM ns""",
+    "p3_counts": f"""
+        WITH RECURSIVE {_NODES}, links AS ({_LINKS})
+        SELECT dataset_id, kind, CASE kind WHEN 'node' THEN CAST(len(string_split(parent_key, '/')) AS INTEGER) ELSE 0 END AS depth, count(*) AS n_rows, CAST(sum(length(child_key)) AS BIGINT) AS key_chars
+        FROM links GROUP BY ALL""",
+}
