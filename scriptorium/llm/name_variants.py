@@ -17,7 +17,6 @@ one id count once.
 
 from __future__ import annotations
 
-import itertools
 import re
 import unicodedata
 from collections import Counter, defaultdict
@@ -29,6 +28,11 @@ from pyspark.sql import functions as F
 
 from scriptorium.operators.lineage import cut
 
+#: Letters from which a pair of near tokens stands for itself; a shorter pair needs one of at most this share of the other's copies.
+LONG, RARE_SHORT = 5, 0.2
+#: Ids of one entity in a block when its pairs are listed.
+BLOCK = 2000
+
 # Given names with their usual short forms.
 SHORT_FORMS = {
     "alexandre": "alex sandro sacha", "bernadette": "berna dedette", "catherine": "cathy kate cath katia", "dominique": "domi mino",
@@ -47,10 +51,10 @@ INSTITUTION_WORDS = frozenset("institut inst recherches rech mission miss botani
 GENDERS = (("ianum", "iana"), ("ianus", "iana"), ("atum", "ata"), ("atus", "ata"), ("osum", "osa"), ("osus", "osa"), ("iflorum", "iflora"), ("iflorus", "iflora"), ("ifolium", "ifolia"), ("ifolius", "ifolia"), ("ense", "ensis"), ("anum", "ana"), ("anus", "ana"))
 # The ways in which a legend credits a collector.
 CREDITS = (
-    re.compile(r"Réc\.\s*:\s*(.{2,80}?),\s*n°\s*\d+"),
-    re.compile(r"\(d[’']après\s+(.{2,80}?),?\s+(?:n°\s*)?\d+\s*\)"),
-    re.compile(r"—\s*\d+-\d+,\s*(.{2,80}?)\s+(?:n°\s*)?\d+\s*\."),
-    re.compile(r"\(([^()×]{2,80}?),?\s*(?:n°\s*)?\d+\s*\)\s*:"),
+    re.compile(r"Réc\.\s*:\s*([^:;()×]{2,}?),\s*n°\s*\d+"),
+    re.compile(r"\(d[’']après\s+([^:;()×]{2,}?),?\s+(?:n°\s*)?\d+\s*\)"),
+    re.compile(r"—\s*\d+-\d+,\s*([^:;()×]{2,}?)\s+(?:n°\s*)?\d+\s*\."),
+    re.compile(r"\(([^:;()×]{2,}?),?\s*(?:n°\s*)?\d+\s*\)\s*:"),
 )
 
 
@@ -89,10 +93,12 @@ def deletions(token: str, depth: int) -> set[str]:
     return kept
 
 
-def near_tokens(tokens: DataFrame, long_from: int = 10, short_from: int = 5) -> DataFrame:
+def near_tokens(tokens: DataFrame, long_from: int = 10, short_from: int = 3) -> DataFrame:
     """(a, b, dist), a < b, of the distinct tokens (column token) a small edit apart.
 
     One edit for tokens of short_from letters on, two where both have long_from.
+    Pairs of tokens under LONG letters say little by themselves; who uses them
+    must know more (see told_apart, and the use of authors among epithets).
     """
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -110,18 +116,28 @@ def near_tokens(tokens: DataFrame, long_from: int = 10, short_from: int = 5) ->
                     rows.append((a, b, d))
             yield pd.DataFrame(rows, columns=["a", "b", "dist"])
 
-    keys = tokens.select("token").filter("token is not null").distinct().mapInPandas(index, "k string, token string")
+    parts = max(tokens.sparkSession.sparkContext.defaultParallelism, int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # dealt out before they are multiplied, so that no task gets the index of all
+    keys = tokens.select("token").filter("token is not null").repartition(parts, "token").distinct().mapInPandas(index, "k string, token string")
     pairs = keys.alias("x").join(keys.alias("y"), F.expr("x.k = y.k and x.token < y.token")).select(F.col("x.token").alias("a"), F.col("y.token").alias("b")).distinct()
     return pairs.mapInPandas(verify, "a string, b string, dist int")
 
 
+def told_apart(near: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Near tokens (a, b) of tokens (token, n) without short pairs of which none is rare beside the other."""
+    n = lambda c: tokens.select(F.col("token").alias(c), F.col("n").alias(f"n_{c}"))
+    sized = near.join(n("a"), "a").join(n("b"), "b")
+    short = F.least(F.length("a"), F.length("b")) < LONG
+    return sized.filter(~short | (F.least("n_a", "n_b") <= RARE_SHORT * F.greatest("n_a", "n_b")) & (F.substring("a", 1, 1) == F.substring("b", 1, 1))).select("a", "b", "dist")
+
+
 def hubs(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, hub): each node with the centre of the star it stands in.
 
     nodes: (node, n), n its copies; edges: (a, b).  A node hangs under the
     neighbour with most neighbours, then most copies, if that goes before it
     itself; a spelling thus falls to the form that its variants have in common.
-    Two jumps along these pointers reach the top of a chain of up to four.
+    Pointers are doubled until none moves, so chains of any length reach their top.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct()
     both = cut(both)
@@ -129,15 +145,20 @@ def hubs(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     ranked = cut(nodes.join(degree, "node").select("node", F.struct("deg", "n", "node").alias("r")))
     best = both.join(ranked.select(F.col("node").alias("b"), F.col("r").alias("rb")), "b").groupBy(F.col("a").alias("node")).agg(F.max("rb").alias("rb"))
     up = cut(ranked.join(best, "node").select("node", F.when(F.col("rb") > F.col("r"), F.col("rb.node")).otherwise(F.col("node")).alias("hub")))
-    for _ in range(2):
-        top = up.select(F.col("node").alias("hub"), F.col("hub").alias("higher"))
-        up = up.join(top, "hub").select("node", F.col("higher").alias("hub"))
+    while True:
+        once = up.join(up.select(F.col("node").alias("hub"), F.col("hub").alias("h1")), "hub").select("node", "h1")
+        twice = once.join(up.select(F.col("node").alias("h1"), F.col("hub").alias("h2")), "h1")
+        up = cut(twice.select("node", F.col("h2").alias("hub"), (F.col("h1") != F.col("h2")).alias("moved")))
+        moved = up.filter("moved").limit(1).count()
+        up = up.select("node", "hub")
+        if not moved:
+            break
     return nodes.join(up, "node", "left").select("node", F.coalesce("hub", "node").alias("hub"))
 
 
 def canonical(tokens: DataFrame, near: DataFrame) -> DataFrame:
     """(token, canon): each token (columns token, n) with the form it is a variant of."""
-    return hubs(tokens.withColumnRenamed("token", "node"), near).select(F.col("node").alias("token"), F.col("hub").alias("canon"))
+    return hubs(tokens.withColumnRenamed("token", "node"), told_apart(near, tokens)).select(F.col("node").alias("token"), F.col("hub").alias("canon"))
 
 
 # --- species -----------------------------------------------------------------
@@ -193,9 +214,9 @@ def species_entities(pages: DataFrame) -> DataFrame:
     typed = parsed.filter("gtok is not null and not abbr").select(F.col("gtok").alias("token")).unionAll(parsed.filter("gcol is not null").select(F.col("gcol").alias("token")))
     genera = cut(typed.groupBy("token").agg(F.count("*").alias("n")))
     canon = cut(canonical(genera, near_tokens(genera, long_from=99)))
-    prefixes = F.transform(F.sequence(F.lit(5), F.least(F.lit(18), F.length("word") - 4)), lambda n: F.substring("word", F.lit(1), n))
+    prefixes = F.transform(F.sequence(F.lit(4), F.length("word") - 4), lambda n: F.substring("word", F.lit(1), n))
     glued = (
-        parsed.filter("word is not null and gcol is null and length(word) >= 12")
+        parsed.filter("word is not null and gcol is null and length(word) >= 9")
         .select("id", "word", F.explode(prefixes).alias("token"))
         .join(canon, "token")
         .groupBy("id")
@@ -229,6 +250,8 @@ def species_entities(pages: DataFrame) -> DataFrame:
     both = x.join(near, x.x_epi == near.a).join(y, F.col("b") == F.col("y_epi")).filter("x_node <> y_node")
     tail = F.expr("right(x_epi, 3) = right(y_epi, 3)")
     both = cut(both)
+    long = (F.col("dist") == 0) | (F.least(F.length("x_epi"), F.length("y_epi")) >= LONG) | (F.col("x_auth") == F.col("y_auth"))  # short epithets need the author
+    both = both.filter(long)
     full = both.filter((F.col("x_g") == F.col("y_g")) & ((F.col("dist") <= 1) | tail))
     short = both.filter(F.col("x_g").isNull() & (F.col("dist") <= 1) & _agree("x_fam", "y_fam") & _agree("x_auth", "y_auth"))
     fits = F.when(F.col("y_g").isNotNull(), F.col("x_abbr").isNull() | F.expr("startswith(y_g, x_abbr)")).otherwise(F.col("x_abbr").eqNullSafe(F.col("y_abbr")))
@@ -306,6 +329,11 @@ for _full, _short in SHORT_FORMS.items():
         NICKNAMES[_s].add(_full)
 
 
+def initials(token: str) -> set[str]:
+    """The letters that a given name, or what it may be short for, begins with."""
+    return {token[0], *(f[0] for f in NICKNAMES.get(token, ()))}
+
+
 def token_cost(a: str, b: str) -> float:
     """What it costs to take one name token for another; inf if they can't be one."""
     if a == b:
@@ -325,10 +353,51 @@ def assignment(a: tuple[str, ...], b: tuple[str, ...]) -> float:
     """The least cost of giving each token of the shorter name its own token of the longer; inf if impossible."""
     if len(a) > len(b):
         a, b = b, a
-    a, b = a[:4], b[:6]
     if not a:
         return 0.05
-    return min(sum(token_cost(x, y) for x, y in zip(a, chosen)) + 0.01 * (chosen[0] != b[0]) for chosen in itertools.permutations(b, len(a)))
+    cost = [[token_cost(x, y) for y in b] for x in a]
+    cost[0] = [c + 0.01 * (j > 0) for j, c in enumerate(cost[0])]
+    return least_assignment(cost)
+
+
+def least_assignment(cost: list[list[float]]) -> float:
+    """The least sum of one entry of each row, no two in a column (rows <= columns); inf where every choice meets an inf.
+
+    Rows are added one by one, each along a shortest augmenting path over
+    reduced costs, so the work is at most rows x rows x columns.
+    """
+    inf = float("inf")
+    n, m = len(cost), len(cost[0])
+    if n == 1:
+        return min(cost[0])
+    of_row, of_col = [0.0] * n, [0.0] * m
+    owner: list[int | None] = [None] * m
+    for first in range(n):
+        reach, came, done = [inf] * m, [-1] * m, [False] * m
+        row, base, last = first, 0.0, -1
+        while True:
+            for j in range(m):
+                if not done[j] and base + cost[row][j] - of_row[row] - of_col[j] < reach[j]:
+                    reach[j], came[j] = base + cost[row][j] - of_row[row] - of_col[j], last
+            open_ = [j for j in range(m) if not done[j] and reach[j] < inf]
+            if not open_:
+                return inf
+            last = min(open_, key=reach.__getitem__)
+            base = reach[last]
+            done[last] = True
+            if owner[last] is None:
+                break
+            row = owner[last]
+        of_row[first] += base
+        for j in range(m):
+            if done[j] and j != last:
+                of_row[owner[j]] += base - reach[j]
+                of_col[j] -= base - reach[j]
+        while last >= 0:
+            before = came[last]
+            owner[last] = owner[before] if before >= 0 else first
+            last = before
+    return sum(cost[i][j] for j, i in enumerate(owner) if i is not None)
 
 
 def resolve(forms: list[tuple[str, tuple[str, ...], str, int]]) -> dict[str, str]:
@@ -348,6 +417,7 @@ def resolve(forms: list[tuple[str, tuple[str, ...], str, int]]) -> dict[str, str
         return (not given, not full or given[0] in NICKNAMES, not full, -f[3], f[0])
 
     loose = []
+    by_initial: dict[str, dict[str, None]] = defaultdict(dict)  # people by the initials that one of their names may have
     for text, given, _, n in sorted(rest, key=rank):
         if len(given) == 2 and "".join(given) in kinds:
             out[text] = f"i:{''.join(given)}"
@@ -355,15 +425,19 @@ def resolve(forms: list[tuple[str, tuple[str, ...], str, int]]) -> dict[str, str
         if not given:
             loose.append(text)
             continue
-        costs = sorted((assignment(given, g), -p[1], key) for key, p in people.items() for g in p[0])
-        if costs and costs[0][0] < float("inf"):
-            key = costs[0][2]
+        near = dict.fromkeys(key for t in given for x in initials(t) for key in by_initial[x])
+        best = min(((assignment(given, g), -people[key][1], key) for key in near for g in people[key][0]), default=None)
+        if best and best[0] < float("inf"):
+            key = best[2]
             people[key][1] += n
             if given not in people[key][0] and len(given[0]) > 1:
                 people[key][0].append(given)
         else:
             key = f"p:{' '.join(given)}"
             people[key] = [[given], n]
+        for t in given:
+            for x in initials(t):
+                by_initial[x][key] = None
         out[text] = key
     top = max(people.items(), key=lambda kv: (kv[1][1], kv[0]))[0] if people else None
     for text in loose:
@@ -428,10 +502,16 @@ def collector_entities(figures: DataFrame) -> DataFrame:
 
 
 def pairs_within(entities: DataFrame, kind: str) -> DataFrame:
-    """(kind, id_a, id_b), id_a < id_b, of the ids of one entity, as the result is defined."""
-    a = entities.select("ent", F.col("id").alias("id_a"))
-    b = entities.select("ent", F.col("id").alias("id_b"))
-    return a.join(b, "ent").filter("id_a < id_b").select(F.lit(kind).alias("kind"), "id_a", "id_b").distinct()
+    """(kind, id_a, id_b), id_a < id_b, of the ids of one entity, as the result is defined.
+
+    An entity of many ids falls into blocks by a hash; each block meets each, so
+    that no task lists all pairs of a large one.
+    """
+    blocks = entities.groupBy("ent").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    sized = entities.select("ent", "id").join(blocks, "ent")
+    a = sized.select("ent", F.col("id").alias("id_a"), F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("p"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("q"))
+    b = sized.select("ent", F.col("id").alias("id_b"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("p"), F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("q"))
+    return a.join(b, ["ent", "p", "q"]).filter("id_a < id_b").select(F.lit(kind).alias("kind"), "id_a", "id_b").distinct()
 
 
 def found(spark: SparkSession, sf_dir: str) -> DataFrame:

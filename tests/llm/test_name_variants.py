@@ -44,7 +44,7 @@ def test_neighbours_against_brute_force(spark):
     for a, b in itertools.combinations(sorted(words), 2):
         least = min(len(a), len(b))
         d = N.edits(a, b, 2)
-        if least >= 5 and d <= (2 if least >= 10 else 1):
+        if least >= 3 and d <= (2 if least >= 10 else 1):
             want[a, b] = d
     assert got == want
 
@@ -77,3 +77,52 @@ def test_credit_forms():
 
 def test_empty(spark):
     assert species(spark, []) == set() and collectors(spark, []) == set()
+
+
+def test_chains_of_any_length_reach_their_top(spark):
+    names = [f"n{k:03d}" for k in range(90)]
+    nodes = spark.createDataFrame([(x, 1) for x in names], "node string, n long")
+    edges = spark.createDataFrame(list(zip(names, names[1:])), "a string, b string")
+    hubs = {r.node: r.hub for r in N.hubs(nodes, edges).collect()}
+    assert set(hubs.values()) == {"n088"}
+
+
+@given(st.lists(st.lists(st.sampled_from([0.0, 0.1, 0.2, 0.5, float("inf")]), min_size=5, max_size=5), min_size=1, max_size=5))
+def test_assignment_against_brute_force(cost):
+    import itertools
+
+    want = min(sum(cost[i][j] for i, j in enumerate(p)) for p in itertools.permutations(range(5), len(cost)))
+    got = N.least_assignment(cost)
+    assert got == want or abs(got - want) < 1e-9
+
+
+def test_names_of_many_tokens_are_read_to_the_end():
+    a = ("anne", "berthe", "claire", "diane", "eve")
+    assert N.assignment(a, (*a[:4], "zoe")) == float("inf")
+    assert N.assignment(("zoe",), ("anne", "berthe", "claire", "diane", "eve", "fanny", "zoe")) < 1
+
+
+def test_long_credits_and_genera_are_read(spark):
+    long = "Marie Anne Berthe Claire Diane Eve Fanny Georgette Henriette Ida Jeanne Karine de Lusugrivuplatrodendromaxi"
+    assert N.credit(f"Fig. 1. G. x (d'après {long} 12)") == long
+    genus = "Bregrostemmatoplachyphyllodendron"
+    rows = [(1, f"{genus} rula", "Nevo", None, None, []), (2, f"{genus}rula", "Nevo", None, None, [])]
+    assert species(spark, rows) == {(1, 2)}
+
+
+def test_short_tokens_need_more_than_an_edit(spark):
+    rows = [(k, "Guganus rufa", "Nevo", "Guganus", None, []) for k in range(6)] + [(10, "Guganus ruta", "Nevo", "Guganus", None, []), (11, "Guganus rusa", "Padi", "Guganus", None, [])]
+    got = species(spark, rows)
+    assert (0, 10) in got and (0, 11) not in got
+
+
+def test_large_entities_are_listed_in_blocks(spark):
+    import itertools
+
+    N.BLOCK, old = 7, N.BLOCK
+    try:
+        df = spark.createDataFrame([("a", i) for i in range(40)] + [("b", 100), ("b", 101)], "ent string, id long")
+        got = sorted((r.id_a, r.id_b) for r in N.pairs_within(df, "x").collect())
+    finally:
+        N.BLOCK = old
+    assert got == sorted([*itertools.combinations(range(40), 2), (100, 101)])
