@@ -24,8 +24,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptorium.llm.packing import tokens
+from scriptorium.operators.lineage import cut
 
-SLICE_ROWS = 20_000
+#: Rows of a slice, and of the part of the order in which the cut falls; parts of an order that is cut.
+SLICE_ROWS, PARTS = 20_000, 1024
 
 
 def water_level(sources: list[tuple[str, float, int, int]], budget: float) -> float:
@@ -46,10 +48,9 @@ def mix(docs: DataFrame, targets: DataFrame, budget: int | None = None, seed: in
     sized = docs.filter("doc_id is not null and text is not null and source is not null").select("doc_id", "source", tokens("text").alias("n_tokens"))
     sized = sized.groupBy("doc_id").agg(F.max_by(F.struct("source", "n_tokens"), F.struct("n_tokens", "source")).alias("d")).select("doc_id", "d.source", "d.n_tokens")
     goal = targets.filter("source is not null and target_share > 0 and max_repeats > 0").groupBy("source").agg(F.max("target_share").alias("weight"), F.max("max_repeats").cast("int").alias("most"))
-    sums = sized.groupBy("source").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n"), F.max("n_tokens").alias("longest"))
-    facts = sums.join(goal, "source", "left").collect()  # one row for each source, a list fixed by the table of targets
-    total = budget if budget is not None else sum(r.t for r in facts)
-    named = [r for r in facts if r.weight is not None]
+    sums = sized.groupBy("source").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n"))
+    total = budget if budget is not None else sized.agg(F.sum("n_tokens")).first()[0] or 0
+    named = sums.join(goal, "source").collect()  # one row for each source of the table of targets at most
     level = water_level([(r.source, r.weight, r.t, r.most) for r in named], total)
     # the cut falls within the longest document of every source of the level
     plan = [(r.source, float(r.weight), min(r.most, int(level * r.weight // r.t) + 2), max(1, -(-int(r.n) // SLICE_ROWS))) for r in named]
@@ -66,21 +67,37 @@ def mix(docs: DataFrame, targets: DataFrame, budget: int | None = None, seed: in
     return cut_off(timed.select("source", "doc_id", "repeat_no", "n_tokens", "finish_time"), total, level)
 
 
-def cut_off(timed: DataFrame, budget: int, level: float) -> DataFrame:
-    """In order, the rows first by (finish_time, source, doc_id, repeat_no) whose tokens together come nearest to the budget."""
-    parts = 4096
-    step = max(level, 1e-9) / parts
-    cut = timed.withColumn("part", F.least(F.floor(F.col("finish_time") / F.lit(step)), F.lit(4 * parts)).cast("long"))
-    part_sums = cut.groupBy("part").agg(F.sum("n_tokens").alias("s"))  # at most 4 * parts + 1 rows
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    part_sums = part_sums.withColumn("before", F.coalesce(F.sum("s").over(before), F.lit(0)))
-    # a part that ends within the budget is whole; only the one that crosses it is read in order
-    placed = cut.join(F.broadcast(part_sums), "part")
-    whole = placed.filter(F.col("before") + F.col("s") <= budget)
-    order = Window.partitionBy("part").orderBy("finish_time", "source", "doc_id", "repeat_no").rowsBetween(Window.unboundedPreceding, 0)
-    edge = placed.filter((F.col("before") < budget) & (F.col("before") + F.col("s") > budget)).withColumn("upto", F.col("before") + F.sum("n_tokens").over(order)).filter(F.col("upto") - F.col("n_tokens") / 2 <= budget)
+def cut_off(timed: DataFrame, budget: int, level: float, edge_rows: int = SLICE_ROWS) -> DataFrame:
+    """In order, the rows first by (finish_time, source, doc_id, repeat_no) whose tokens together come nearest to the budget.
+
+    Time is cut into PARTS; the sums of parts tell which one the budget falls
+    into, and that one is cut again until it holds at most edge_rows rows or
+    cannot be parted.  Only its rows are summed one by one.
+    """
+    timed = cut(timed)
+    start, step, used = 0.0, max(level, 1e-9) / PARTS, 0
+    inside, whole = F.lit(True), F.lit(False)
+    while True:
+        part = F.greatest(F.lit(0), F.least(F.floor((F.col("finish_time") - F.lit(start)) / F.lit(step)), F.lit(4 * PARTS))).cast("long")
+        sums = timed.filter(inside).groupBy(part.alias("part")).agg(F.sum("n_tokens").alias("s"), F.count("*").alias("n"), F.min("finish_time").alias("first"), F.max("finish_time").alias("last")).orderBy("part").collect()  # at most 4 * PARTS + 1 rows
+        edge = None
+        for r in sums:
+            if used + r.s > budget:
+                edge = r
+                break
+            used += r.s
+        if edge is None:
+            whole = whole | inside
+            rest = timed.limit(0)
+            break
+        whole, inside = whole | inside & (part < edge.part), inside & (part == edge.part)
+        if edge.n <= edge_rows or edge.first == edge.last or (edge.last - edge.first) / PARTS <= 4e-16 * edge.last:
+            order = Window.partitionBy(F.lit(0)).orderBy("finish_time", "source", "doc_id", "repeat_no").rowsBetween(Window.unboundedPreceding, 0)  # the rows of one edge part
+            rest = timed.filter(inside).withColumn("upto", F.lit(used) + F.sum("n_tokens").over(order)).filter(F.col("upto") - F.col("n_tokens") / 2 <= budget)
+            break
+        start, step = edge.first, (edge.last - edge.first) / PARTS
     names = ["source", "doc_id", "repeat_no", "n_tokens", "finish_time"]
-    return whole.select(names).unionByName(edge.select(names)).orderBy("finish_time", "source", "doc_id", "repeat_no")  # a range sort: the mix is read in this order
+    return timed.filter(whole).select(names).unionByName(rest.select(names)).orderBy("finish_time", "source", "doc_id", "repeat_no")  # a range sort: the mix is read in this order
 
 
 def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
@@ -91,3 +108,20 @@ def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     return every.crossJoin(F.broadcast(whole)).select(  # one row
         "source", "target_share", F.round(F.col("tokens") / F.col("total"), 9).alias("actual_share"), "tokens", "records", "most_repeats"
     )
+
+
+def validity(mixed: DataFrame, docs: DataFrame, targets: DataFrame) -> DataFrame:
+    """Of each target source: source, target_share, whether no document stands more often than allowed, and whether the share is reached as nearly as the caps of all sources allow; in each row, whether the whole has the size of docs."""
+    copies = mixed.groupBy("source", "doc_id").agg(F.count("*").alias("k")).groupBy("source").agg(F.max("k").alias("k"))
+    sized = docs.filter("doc_id is not null and text is not null and source is not null").select("doc_id", "source", tokens("text").alias("n")).groupBy("doc_id").agg(F.max_by("source", "n").alias("source"), F.max("n").alias("n"))
+    goal = targets.filter("source is not null").groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("most"))
+    used = mixed.groupBy("source").agg(F.sum("n_tokens").alias("t"))
+    supply = sized.groupBy("source").agg(F.sum("n").alias("supply"), F.max("n").alias("longest"))
+    every = goal.join(used, "source", "left").join(supply, "source", "left").join(copies, "source", "left").na.fill(0, ["t", "supply", "longest", "k"])
+    whole = mixed.agg(F.sum("n_tokens").alias("total")).crossJoin(F.broadcast(sized.agg(F.sum("n").alias("budget"), F.max("n").alias("slack"))))  # one row
+    # a source that is not used up has the same tokens for each weight as any other, to within a document
+    rates = every.filter("t < supply * most and target_share > 0").agg(F.max(F.col("t") / F.col("target_share")).alias("rate"))
+    near = F.when(F.col("t") >= F.col("supply") * F.col("most"), F.col("t") <= F.col("rate") * F.col("target_share") + F.col("slack")).otherwise(F.col("t") >= F.col("rate") * F.col("target_share") - F.col("slack") * F.greatest(F.lit(1.0), F.col("target_share") * 40))
+    return every.crossJoin(F.broadcast(whole)).crossJoin(F.broadcast(rates)).select(  # one row each
+        "source", "target_share", (F.col("k") <= F.col("most")).alias("repeats_ok"), F.coalesce(near, F.lit(True)).alias("share_ok"), (F.abs(F.col("total") - F.col("budget")) <= F.col("slack")).alias("size_ok")
+    )

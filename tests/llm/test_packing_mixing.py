@@ -34,13 +34,13 @@ def test_every_constraint_binds(spark):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 50), min_size=1, max_size=60))
 def test_best_fit_is_near_the_bound(sizes):
-    assert len(set(P.best_fit(np.array(sizes, dtype=np.int64), 50).tolist())) <= -(-sum(sizes) // 50) * 11 / 9 + 1
+    assert len(set(P.best_fit(np.array(sizes, dtype=np.int64), 50, max_docs=50).tolist())) <= -(-sum(sizes) // 50) * 11 / 9 + 1
 
 
 def test_pack(spark):
     rows = [(i, "x" * (i * 37 % 90), "s") for i in range(300)] + [(900, "é" * 260, "s"), (901, None, "s"), (902, "", "s"), (None, "x", "s"), (5, "x" * (5 * 37 % 90), "s")]
     windows = spark.createDataFrame([("a", 100), ("b", 256), ("a", 100)], "window_name string, capacity_tokens int")
-    packed = P.pack(docs(spark, rows), windows).cache()
+    packed = P.pack(docs(spark, rows), windows, max_docs=1000).cache()
     assert packed.groupBy("window_name", "bin_id").agg(F.sum("n_tokens").alias("t")).join(windows.distinct(), "window_name").filter("t > capacity_tokens").count() == 0
     sizes = {i: len(t.encode()) + 1 for i, t, _ in rows if i is not None and t is not None}
     for w in "ab":
@@ -80,3 +80,43 @@ def test_mix_in_slices_is_the_plain_order(spark, monkeypatch):
 def test_mix_empty(spark):
     goal = spark.createDataFrame([("a", 1.0, 1)], "source string, target_share double, max_repeats int")
     assert M.mix(docs(spark, []), goal).count() == 0 and M.mix(docs(spark, [(1, "x", "a")]), goal.limit(0)).count() == 0
+
+
+def test_binding_constraints_need_no_square_time():
+    import time
+
+    rng = np.random.default_rng(3)
+    sizes = rng.integers(1, 4000, 30_000)
+    began = time.perf_counter()
+    bins = P.best_fit(sizes, 4096, max_docs=6, max_cost=0.4 * 4096**2)
+    assert time.perf_counter() - began < 20
+    cost, count, tokens = (np.zeros(bins.max() + 1) for _ in range(3))
+    np.add.at(cost, bins, sizes.astype(float) ** 2)
+    np.add.at(count, bins, 1)
+    np.add.at(tokens, bins, sizes)
+    assert tokens.max() <= 4096 and count.max() <= 6 and ((cost <= 0.4 * 4096**2) | (count == 1)).all()
+
+
+def test_default_limits_bind_and_costly_items_stand_alone(spark):
+    windows = spark.createDataFrame([("a", 1024)], "window_name string, capacity_tokens int")
+    rows = [(i, "x" * 9, "s") for i in range(100)] + [(1000, "x" * 1017, "s"), (1001, "x" * 2047, "s")]
+    packed = P.pack(docs(spark, rows), windows)
+    bins = {r.bin_id: r.n for r in packed.groupBy("bin_id").agg(F.count("*").alias("n")).collect()}
+    assert max(bins.values()) == 16 and bins["c-1000-1"] == 1 and bins["f-1001-1"] == bins["f-1001-2"] == 1
+    checked = P.validity(packed, docs(spark, rows), windows).first()
+    assert (checked.docs, checked.broken_bins, checked.broken_docs) == (102, 0, 0)
+
+
+def test_validity_sees_what_is_broken(spark):
+    windows = spark.createDataFrame([("a", 128)], "window_name string, capacity_tokens int")
+    wrong = spark.createDataFrame([("a", "b1", 1, 1, 0, 60), ("a", "b1", 2, 1, 0, 60), ("a", "b1", 3, 1, 0, 20)], "window_name string, bin_id string, doc_id long, piece_no int, tok_start long, n_tokens long")
+    got = P.validity(wrong, docs(spark, [(1, "x" * 59, "s"), (2, "x" * 59, "s"), (3, "x" * 30, "s")]), windows).first()
+    assert got.broken_bins == 1 and got.broken_docs == 1
+
+
+def test_the_edge_of_a_mix_is_refined(spark):
+    rows = [("s", i, 1, 10, 1.0 + i * 1e-9) for i in range(500)] + [("t", i, 1, 10, 50.0 + i) for i in range(50)]
+    timed = spark.createDataFrame(rows, "source string, doc_id long, repeat_no int, n_tokens long, finish_time double")
+    got = [r.doc_id for r in M.cut_off(timed, 3005, 100.0, edge_rows=20).collect()]
+    assert got == list(range(301)) or got == list(range(300))
+    assert M.cut_off(timed, 10**9, 100.0).count() == 550

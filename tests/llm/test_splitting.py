@@ -46,3 +46,13 @@ def test_very_long_text(spark):
     df = spark.createDataFrame([("a", "e", text)], "doc_id string, engine string, text string")
     limits = spark.createDataFrame([("e", 1000, 50)], "engine string, max_chars int, overlap_chars int")
     assert S.pieces(df, limits).agg({"end": "max"}).first()[0] == len(text)
+
+
+def test_no_tiny_pieces_where_a_unit_must_be_broken_anyway():
+    from scriptorium.llm import splitting as P
+
+    text = "A heading.\n\n" + "One sentence of some words stands here. " * 130
+    cut = P.bisect(text, 4800)
+    assert len(cut) == 2 and min(e - s for s, e, _ in cut) > 1000 and "".join(text[s:e] for s, e, _ in cut) == text
+    fits = "a" * 90 + "\n\n" + "b" * 900 + "\n\n" + "c" * 20
+    assert [x[2] for x in P.bisect(fits, 1000)] == [0, -1] or all(x[2] in (0, -1) for x in P.bisect(fits, 1000))
