@@ -40,6 +40,7 @@ COUPLET = r"^([0-9]{1,2})((?:'|\"|[’′])*)\.\s"
 DASH_COUPLET = r"^([0-9]{1,2})\.\s+-\s+"
 BARE_DASH = r"^-\s+"
 LEADERS = r"\.{2,}"
+SPECIES_REFERENCE = r"^[0-9]+['\"]*\.\s+[A-Z]"
 SPECIES_HEAD = r"^[A-Z][a-z]{3,}\s+[a-z]{4,}[a-z-]*(?:\s+(?:subsp|var|f)\.\s+[a-z]{3,})?\s+[A-Z(]"
 YEAR = r"\b(?:1[6-9][0-9]{2}|20[0-9]{2})\b"
 LATIN_DIAGNOSIS = r"(?i)\b(?:similis|affinis|differt|distincta|separatur)\b"

@@ -7,17 +7,22 @@ with joins on (key, number), which spread over the cluster.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptorium.functions import scalars as S
 from scriptorium.functions import vocab as V
 
+LED = re.compile(V.LEADERS)
 DASH = r"\s+-\s+"
 
 
-def split_run_ons(lines: DataFrame, passes: int = 5) -> DataFrame:
-    """Lines (doc_id, line_no, line) cut where ' - ' follows dotted leaders, up to so many times; sub_no counts the parts from 0."""
+def split_run_ons(lines: DataFrame, passes: int | None = None) -> DataFrame:
+    """Lines (doc_id, line_no, line) cut where ' - ' follows dotted leaders, up to so many times if a number is given; sub_no counts the parts from 0."""
     empty = F.struct(F.array().cast("array<string>").alias("out"), F.col("line").alias("rest"))
 
     def step(acc: Column, _: Column) -> Column:
@@ -30,7 +35,9 @@ def split_run_ons(lines: DataFrame, passes: int = 5) -> DataFrame:
         after = F.regexp_replace(F.substring(tail, cut, F.length(tail)), "^\\s+-\\s+", "- ")
         return F.struct(F.when(hit, F.concat(acc["out"], F.array(before))).otherwise(acc["out"]).alias("out"), F.when(hit, after).otherwise(rest).alias("rest"))
 
-    folded = F.aggregate(F.sequence(F.lit(1), F.lit(passes)), empty, step, lambda acc: F.concat(acc["out"], F.array(acc["rest"])))
+    # a line holds at most as many cuts as dashes with blanks around
+    turns = F.greatest(F.lit(1), F.size(F.split("line", DASH)) - 1) if passes is None else F.lit(passes)
+    folded = F.aggregate(F.sequence(F.lit(1), turns), empty, step, lambda acc: F.concat(acc["out"], F.array(acc["rest"])))
     parts = F.when(F.col("line").contains("..") & F.col("line").contains("-"), folded).otherwise(F.array("line"))
     return lines.select(*[c for c in lines.columns if c != "line"], F.posexplode(parts).alias("sub_no", "line"))
 
@@ -62,54 +69,75 @@ def couplets(lines: DataFrame, *group: str) -> DataFrame:
     Digits are put right, run-on lines split and dashes replaced; lines that go
     on join the statement before them until a blank line, heading, comment or
     new statement; a statement ends in a taxon if it has dotted leaders, or if
-    the next line that is not blank after a gap is a species reference.  Lines
-    right behind a truncated reference after a gap stand alone.
+    the next line that is not blank after it is a species reference, which then
+    belongs to it.  What a line is is told by expressions; the fold over the
+    lines of a section, which one row holds, keeps no more than the statement
+    that is open.
     """
     fixed = split_run_ons(lines.withColumn("line", S.couplet_digits(F.col("line"))))
-    fixed = dashes_to_primes(fixed, *group).withColumn("line", F.rtrim("line"))
-    w = Window.partitionBy(*group).orderBy("line_no", "sub_no")
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    line = F.col("line")
-    start = line.rlike(V.COUPLET)
-    stop = (line == "") | line.rlike(V.ANY_HEADING) | line.startswith("<!--")
-    # a truncated reference right behind a statement goes on with it, so a start is one only if it is none, or nothing is open
-    soft = start & S.truncated_reference(line)
-    marked = fixed.withColumn("hard_", start & ~soft).withColumn("stop_", stop).withColumn("soft_", soft)
-    marked = marked.withColumn("open_", F.last(F.when(F.col("hard_"), F.lit(True)).when(F.col("stop_"), F.lit(False)), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    marked = marked.withColumn("after_gap_", F.col("soft_") & ~F.coalesce("open_", F.lit(False)))
-    # behind a gap: a reference ends the statement before the gap if that has no leaders; otherwise it is a statement itself
-    block = F.sum((F.col("hard_") | F.col("stop_") | (~F.coalesce("open_", F.lit(False)))).cast("int")).over(upto)
-    marked = marked.withColumn("block_", block)
-    grouped = marked.groupBy(*group, "block_").agg(
-        F.min(F.struct("line_no", "sub_no")).alias("at"),
-        F.array_sort(F.collect_list(F.struct("line_no", "sub_no", "line"))).alias("ls"),
-        F.min_by("hard_", F.struct("line_no", "sub_no")).alias("is_start"),
-        F.min_by("soft_", F.struct("line_no", "sub_no")).alias("is_soft"),
+    fixed = dashes_to_primes(fixed, *group).withColumn("line", F.regexp_replace("line", r"\s+$", ""))
+    line, bare = F.col("line"), F.regexp_replace("line", r"^\s+", "")
+    num, prime, rest = S.couplet(line)
+    kind = (
+        F.when(line == "", BLANK)
+        .when(line.rlike(V.ANY_HEADING) | line.startswith("<!--"), STOP)
+        .when(line.rlike(V.COUPLET), F.when(S.truncated_reference(line), SOFT).otherwise(START))
+        .otherwise(PLAIN)
     )
-    first = F.col("ls")[0]["line"]
-    num, prime, rest = S.couplet(first)
-    told = grouped.select(
-        *group, "at", (F.col("is_start") | F.col("is_soft")).alias("is_start"), "is_soft", first.alias("first"), num.alias("num"), prime.alias("prime"),
-        F.when(F.col("is_start") | F.col("is_soft"), F.array_join(F.concat(F.array(rest), F.transform(F.slice("ls", 2, F.size("ls")), lambda x: F.trim(x["line"]))), " ")).otherwise(first).alias("text"),
-    )
-    order = Window.partitionBy(*group).orderBy("at")
-    filled = told.withColumn("blank_", F.trim("first") == "")
-    back = Window.partitionBy(*group).orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, -1)  # what follows, without reading a key anew for each row
-    following = F.last(F.when(~F.col("blank_"), F.struct("first", "is_start", "is_soft")), ignorenulls=True).over(back)
-    led = F.col("text").rlike(V.LEADERS)
-    nxt = filled.withColumn("next_", following)
-    species = F.trim(F.col("next_.first")).rlike(r"^[0-9]+['\"]*\.\s+[A-Z]") & ~F.col("next_.is_start")
-    takes = F.col("is_start") & ~led & F.coalesce(species | F.col("next_.is_soft"), F.lit(False))
-    judged = nxt.withColumn("takes_", takes)
-    previous = F.last(F.when(~F.col("blank_"), F.col("takes_")), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    taken = judged.withColumn("prev_", F.coalesce(previous, F.lit(False))).withColumn("taken_", ~F.col("blank_") & F.col("prev_") & (F.col("is_soft") | ~F.col("is_start")))
-    started = F.max(F.col("is_start").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    kept = taken.withColumn("seen_", F.coalesce(started, F.lit(0))).filter(~F.col("taken_") & ~(F.col("blank_") & F.col("prev_")) & (F.col("is_start") | ~F.col("blank_") | (F.col("seen_") == 1)))
-    text = F.when(F.col("takes_"), F.concat(F.rtrim("text"), F.lit(" "), F.trim(F.col("next_.first")))).otherwise(F.col("text"))
-    return kept.select(
-        *group, F.row_number().over(order).alias("ord"), F.when(F.col("is_start"), F.col("num")).otherwise(-1).alias("num"), F.when(F.col("is_start"), F.col("prime")).otherwise("").alias("prime"),
-        text.alias("text"), F.when(F.col("is_start"), led | F.col("takes_")).otherwise(True).alias("is_terminal"),
-    )
+    names = S.truncated_reference(bare) | bare.rlike(V.SPECIES_REFERENCE) & ~bare.rlike(V.COUPLET)
+    told = fixed.withColumn("x_", F.struct("line_no", "sub_no", "line", kind.alias("kind"), names.alias("names"), num.alias("num"), prime.alias("prime"), rest.alias("rest")))
+    sections = told.groupBy(*group).agg(F.array_sort(F.collect_list("x_")).alias("ls"))
+    keys = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sections.schema.fields[:-1])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(*own, k, *st) for *own, ls in pdf.itertuples(index=False, name=None) for k, st in enumerate(statements(ls), 1)]
+            yield pd.DataFrame(rows, columns=[*group, "ord", "num", "prime", "text", "is_terminal"])
+
+    return sections.mapInPandas(run, f"{keys}, ord int, num int, prime string, text string, is_terminal boolean")
+
+
+#: What a line of a key section is: blank, heading or comment, start of a statement, a start that is a truncated reference, any other.
+BLANK, STOP, START, SOFT, PLAIN = range(5)
+
+
+def statements(lines: Iterable[dict]) -> list[tuple[int, str, str, bool]]:
+    """(num, prime, text, is_terminal) of the statements and passed lines of a section."""
+    out: list[tuple[int, str, str, bool]] = []
+    head, parts, held = None, [], []  # the open statement, its text, blank lines behind it
+
+    def close(reference: str | None = None) -> None:
+        nonlocal head
+        text = " ".join(parts)
+        terminal = reference is not None or LED.search(text) is not None
+        out.append((head["num"], head["prime"], f"{text.rstrip()} {reference}" if reference is not None else text, terminal))
+        out.extend([(-1, "", "", True)] * (len(held) if reference is None else 0))
+        head = None
+        held.clear()
+
+    for x in lines:
+        kind = x["kind"]
+        if head is not None:
+            if not held and kind in (PLAIN, SOFT):
+                parts.append(x["line"].strip())
+                continue
+            if LED.search(" ".join(parts)):
+                close()
+            elif kind == BLANK:
+                held.append(x)
+                continue
+            elif x["names"]:
+                close(x["line"].strip())
+                continue
+            else:
+                close()
+        if kind in (START, SOFT):
+            head, parts = x, [x["rest"]]
+        elif kind != BLANK or out:
+            out.append((-1, "", x["line"], True))
+    if head is not None:
+        close()
+    return out
 
 
 def indented(statements: DataFrame, *group: str) -> DataFrame:

@@ -1,5 +1,8 @@
 """Properties of the engine's own operators on small inputs and edge cases."""
 
+import random
+import re
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -181,3 +184,52 @@ def test_sinks_and_config(spark, tmp_path):
     (tmp_path / "A_vol01_paddle").mkdir()
     (tmp_path / "A_vol01_paddle/text.md").write_text("x\ny\n")
     assert [tuple(r) for r in files.read_texts(spark, f"{tmp_path}/*/text.md").select(*files.directory_parts(), "text").collect()] == [("A", "01", "paddle", "x\ny\n")]
+
+
+def section_oracle(lines):
+    """Statements of a section, told from a string that has a letter for the kind of each line."""
+    ref = re.compile(r"^[0-9]{1,2}(?:'|\"|[’′])*\.\s")
+
+    def short(x):
+        return ref.match(x) and len(ref.sub("", x).strip()) <= 50 and re.match(r"[A-Z][a-z]*\.\s+[A-Z]?[a-z]", ref.sub("", x).strip())
+
+    def letter(x):
+        if not x:
+            return "b"
+        if re.match(r"#{1,6}\s", x) or x.startswith("<!--"):
+            return "c"
+        return ("f" if short(x) else "s") if ref.match(x) else "r" if re.match(r"[0-9]+['\"]*\.\s+[A-Z]", x.strip()) and not ref.match(x.strip()) or short(x.strip()) else "t"
+
+    lines = [x.rstrip() for x in lines]
+    code, out, at = "".join(map(letter, lines)), [], 0
+    while at < len(lines):
+        m = re.compile("[sf][trf]*").match(code, at)
+        if not m:
+            if lines[at] or out:
+                out.append((-1, "", lines[at], True))
+            at += 1
+            continue
+        num, prime = re.match(r"([0-9]+)([^.]*)", lines[at]).groups()
+        text = " ".join([ref.sub("", lines[at]), *(x.strip() for x in lines[at + 1 : m.end()])])
+        behind = None if ".." in text else re.compile("b*[rf]").match(code, m.end())
+        at = behind.end() if behind else m.end()
+        out.append((int(num), prime, f"{text.rstrip()} {lines[at - 1].strip()}" if behind else text, behind is not None or ".." in text))
+    return out
+
+
+def test_statements_of_random_sections(spark):
+    rng = random.Random(7)
+    kinds = ["1. Leaves opposite", "2'. Petals fused ..... Syzygium", "3. E. obanensis.", "3'. Fruit red", "   12. Eugenia sp", "104. Eugenia", "going on", "  indented more ", "", "   ", "## Heading", "<!-- page 3 -->", "6'. S. Whytei.", "4. Trees .. 7"]
+    sections = {f"d{k}": [rng.choice(kinds) for _ in range(rng.randint(1, 12))] for k in range(600)}
+    rows = [(d, i, x) for d, ls in sections.items() for i, x in enumerate(ls, 1)]
+    got = {}
+    for r in K.couplets(spark.createDataFrame(rows, "doc_id string, line_no int, line string"), "doc_id").orderBy("doc_id", "ord").collect():
+        got.setdefault(r.doc_id, []).append((r.num, r.prime, r.text, r.is_terminal))
+    for d, ls in sections.items():
+        assert got.get(d, []) == section_oracle(ls), ls
+
+
+def test_run_on_lines_are_cut_to_the_end(spark):
+    line = "- a .... X" + " - b .... Y" * 9
+    df = spark.createDataFrame([("d", 1, line)], "doc_id string, line_no int, line string")
+    assert K.split_run_ons(df).count() == 10 and K.split_run_ons(df, passes=5).count() == 6
