@@ -6,6 +6,8 @@ a null unless a function says otherwise; none depends on other rows.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,7 +15,12 @@ from scriptorium.functions import vocab as V
 
 
 def accents_folded(x: Column) -> Column:
-    return F.translate(x, *V.ACCENTS)
+    """Text under compatibility decomposition, without combining marks; Hangul stays as it is."""
+    several = F.from_json(F.lit(json.dumps(V.MANY)), "map<string,string>")
+    spelt = F.concat_ws("", F.transform(F.split(x, ""), lambda ch: F.coalesce(F.try_element_at(several, ch), ch)))
+    # characters that stand for several are rare: only a text that holds one is taken apart
+    whole = F.when(x.rlike(f"[{V.MANY_CLASS}]"), spelt).otherwise(x)
+    return F.translate(whole, *V.ACCENTS)
 
 
 def letters(x: Column) -> Column:

@@ -1,5 +1,7 @@
 """Fixed values that results depend on: word lists, limits and patterns of the documents' own conventions."""
 
+import unicodedata
+
 # Labels of layout blocks.
 TEXT_LABELS = "text ocr vertical_text abstract reference content reference_content footnote aside_text".split()
 HEADING_PREFIX = {"doc_title": "# ", "abstract_title": "## ", "content_title": "## ", "paragraph_title": "### "}
@@ -19,7 +21,21 @@ STRUCTURAL = "CLÉ CLE FLORE GABON TAXA SOMMAIRE INDEX PUBLIÉE PUBLIEE RÉPARTI
 # Words that begin no binomial in captions.
 SKIP_WORDS = "De Le La Les Du Des Et Par En Un Sur Avec Dans Pour".split()
 # Accented letters and what they fold to.
-ACCENTS = ("ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝŸàáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "AAAAAACEEEEIIIINOOOOOUUUUYYaaaaaaceeeeiiiinooooouuuuyy")
+#: Letters of one character under compatibility decomposition without marks, with that character, and the marks, which vanish; by rule, for all but Hangul.
+_SINGLE, _MARKS, MANY = {}, [], {}
+for _c in map(chr, [*range(0xA0, 0xAC00), *range(0xD7A4, 0xD800), *range(0xE000, 0x10000)]):
+    _bare = "".join(ch for ch in unicodedata.normalize("NFKD", _c) if not unicodedata.combining(ch))
+    if _bare == "":
+        _MARKS.append(_c)
+    elif _bare != _c and len(_bare) == 1:
+        _SINGLE[_c] = _bare
+    elif _bare != _c:
+        MANY[_c] = _bare
+#: The characters of MANY as the inside of a character class.
+_at = sorted(map(ord, MANY))
+_ends = [[a, b] for a, b in zip([x for x in _at if x - 1 not in set(_at)], [x for x in _at if x + 1 not in set(_at)])]
+MANY_CLASS = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in _ends)
+ACCENTS = ("".join([*_SINGLE, *_MARKS]), "".join(_SINGLE.values()))
 # Capitals and small letters of French names.
 UC, LC = "A-ZÀÂÆÇÉÈÊËÎÏÔŒÙÛÜŸ", "a-zàâæçéèêëîïôœùûüÿ"
 # Levels of ranks.
@@ -40,6 +56,8 @@ COUPLET = r"^([0-9]{1,2})((?:'|\"|[’′])*)\.\s"
 DASH_COUPLET = r"^([0-9]{1,2})\.\s+-\s+"
 BARE_DASH = r"^-\s+"
 LEADERS = r"\.{2,}"
+CAPITAL_HEADING = r"^(#{1,6})\s+([A-ZÀ-Ý]{4,})\s*$"
+WHOLE_FAMILY = r"^[A-ZÀ-Ý]{3,}(?:CEAE|CÉES|CEES|EAE)$"
 SPECIES_REFERENCE = r"^[0-9]+['\"]*\.\s+[A-Z]"
 SPECIES_HEAD = r"^[A-Z][a-z]{3,}\s+[a-z]{4,}[a-z-]*(?:\s+(?:subsp|var|f)\.\s+[a-z]{3,})?\s+[A-Z(]"
 YEAR = r"\b(?:1[6-9][0-9]{2}|20[0-9]{2})\b"

@@ -79,26 +79,34 @@ def running_headers(lines: DataFrame, group: str, fraction: float = 0.03, least:
     a group with fewer than three parts has none.
     """
     parts = lines.filter(F.col(group).isNotNull()).select(group, "doc_id", "page").distinct().groupBy(group).agg((F.count("*") + 1).alias("n"))
-    short = lines.filter(F.col("line").rlike(V.ANY_HEADING)).withColumn("header", F.trim("line")).filter(F.length("header") <= 80)
+    short = lines.withColumn("header", F.trim("line")).filter(F.col("header").startswith("#") & (F.length("header") <= 80))
     counted = short.groupBy(group, "header").agg(F.countDistinct("doc_id", "page").alias("pages"))
     limit = F.greatest(F.lit(least), F.floor(F.lit(fraction) * F.col("n").cast("double")))
     return counted.join(parts, group).filter((F.col("n") >= 3) & (F.col("pages") >= limit)).select(group, "header", "pages")
 
 
 def without_headers(lines: DataFrame, group: str) -> DataFrame:
-    """Lines with action: keep, drop, or repair (the first occurrence of a family name, made whole), and the line that stays."""
+    """Lines with action and the line that stays.
+
+    Running heads (see running_headers) are dropped; but of one that is a family
+    name the first occurrence in the group stays: as it is (action first) if the
+    name is whole, made whole (repair) if it is cut off.  All else is kept.
+    """
     heads = running_headers(lines, group).drop("pages")
     # only headings can be running heads: the other lines, nearly all, take no part in the join
-    marked = F.col("line").rlike(V.ANY_HEADING)
-    hit = lines.filter(marked).withColumn("header", F.trim("line")).join(heads.withColumn("is_head", F.lit(True)), [group, "header"], "left")
-    name = F.trim(F.regexp_replace("header", "^#+", ""))
-    whole = F.coalesce(S.stem_repaired(name), F.when(name.rlike("^[A-ZÀ-Ý]{4,}C[EÉ][AEÉ][ES]S?$"), name))
-    ranked = hit.withColumn("whole", F.when(F.col("is_head"), whole))
-    first = ranked.filter("is_head and whole is not null").groupBy(group, "header").agg(F.min(F.struct("doc_id", "line_no")).alias("at"))
+    marked = F.col("line").startswith("#")
+    hit = lines.filter(marked).withColumn("header", F.regexp_replace("line", r"\s+$", "")).join(heads.withColumn("is_head", F.lit(True)), [group, "header"], "left")
+    stem = F.regexp_extract("header", V.CAPITAL_HEADING, 2)
+    as_is = stem.rlike(V.WHOLE_FAMILY) | stem.isin(V.NOM_CONS)
+    ranked = hit.withColumn("as_is", as_is).withColumn("mended", F.when(~as_is, S.stem_repaired(stem)))
+    named = F.col("is_head") & (F.col("as_is") | F.col("mended").isNotNull())
+    first = ranked.filter(named).groupBy(group, "header").agg(F.min(F.struct("doc_id", "line_no")).alias("at"))
     judged = ranked.join(first, [group, "header"], "left")
-    action = F.when(F.col("is_head").isNull(), "keep").when(F.col("whole").isNotNull() & (F.col("at.doc_id") == F.col("doc_id")) & (F.col("at.line_no") == F.col("line_no")), "repair").otherwise("drop")
+    is_first = (F.col("at.doc_id") == F.col("doc_id")) & (F.col("at.line_no") == F.col("line_no"))
+    action = F.when(F.col("is_head").isNull(), "keep").when(is_first & F.col("as_is"), "first").when(is_first, "repair").otherwise("drop")
     out = judged.withColumn("action", action)
-    out = out.withColumn("kept", F.when(F.col("action") == "keep", F.col("line")).when(F.col("action") == "repair", F.concat(F.regexp_extract("header", "^#+", 0), F.lit(" "), F.col("whole")))).drop("header", "is_head", "whole", "at")
+    mended = F.concat(F.regexp_extract("header", "^#+", 0), F.lit(" "), F.col("mended"))
+    out = out.withColumn("kept", F.when(F.col("action").isin("keep", "first"), F.col("line")).when(F.col("action") == "repair", mended)).drop("header", "is_head", "as_is", "mended", "at")
     rest = lines.filter(~marked).withColumn("action", F.lit("keep")).withColumn("kept", F.col("line"))
     return out.unionByName(rest)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,7 +58,16 @@ def paged(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINES = "(SELECT doc_id, trim(volume) AS volume, family, engine, CAST(unnest(range(1, len(ls) + 1)) AS INTEGER) AS line_no, unnest(ls) AS line FROM (SELECT *, string_split(text, chr(10)) AS ls FROM documents_md))"
 #: Lines with the page they stand on: 0 before the first marker.
 PAGED = f"(SELECT *, coalesce(last_value(pn IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING), 0) AS page FROM (SELECT *, TRY_CAST(nullif(regexp_extract(line, '<!--\\s*page\\s+([0-9]+)\\s*-->', 1), '') AS INTEGER) AS pn FROM {LINES}))"
-FOLD_FROM, FOLD_TO = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝŸàáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "AAAAAACEEEEIIIINOOOOOUUUUYYaaaaaaceeeeiiiinooooouuuuyy"
+#: Characters that only a compatibility decomposition changes, and what they become; by rule, below the mathematical signs.
+_COMPAT = {c: n for c, n in ((c, unicodedata.normalize("NFKD", c)) for c in map(chr, range(0xA0, 0x2200))) if n != c and unicodedata.normalize("NFD", c) == c}
+
+
+def fold_sql(x: str) -> str:
+    """The text x in SQL under compatibility decomposition, without marks."""
+    for c, n in (("½", "1⁄2"), ("¼", "1⁄4"), ("¾", "3⁄4"), ("…", "..."), ("™", "TM")):
+        x = f"replace({x}, '{c}', '{n}')"
+    one = {c: n for c, n in _COMPAT.items() if len(n) == 1}
+    return f"translate(strip_accents({x}), '{''.join(one)}', '{''.join(one.values())}')"
 
 
 def mapped(source: Query, out: Callable[[Column], Column], name: str = "output") -> Query:

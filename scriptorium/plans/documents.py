@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from scriptorium.functions import scalars as S
 from scriptorium.functions import vocab as V
 from scriptorium.operators import documents as D
-from scriptorium.plans.base import FOLD_FROM, FOLD_TO, LINES, PAGED, Query, lines, paged, sql_values, table, values
+from scriptorium.plans.base import LINES, PAGED, Query, fold_sql, lines, paged, sql_values, table, values
 from scriptorium.plans.scalars import _rank_sql as RANK
 
 QUERIES: dict[str, Query] = {}
@@ -60,15 +60,35 @@ _q("a_rankcnt", lambda s, d: D.taxa(decorated(s, d)).join(_docs(s, d).select("do
    f"SELECT engine, count(*) AS n, " + ", ".join(f"count_if(rank = '{r}') AS n_{r}" for r in V.RANK_LEVEL) + f" FROM {TAXA} JOIN (SELECT doc_id, engine FROM documents_md) USING (doc_id) GROUP BY engine")
 _q("a_changed", lambda s, d: D.ranked_headings(decorated(s, d)).groupBy("doc_id").agg(F.count_if(F.col("new_level").isNotNull() & (F.col("new_level") != F.col("level"))).alias("changed"), F.count_if(F.col("new_level").isNull() | (F.col("new_level") == F.col("level"))).alias("kept")),
    f"SELECT doc_id, count_if(nl IS NOT NULL AND nl <> lv) AS changed, count_if(nl IS NULL OR nl = lv) AS kept FROM (SELECT *, CASE r WHEN 'family' THEN 2 WHEN 'genus' THEN 3 WHEN 'species' THEN 4 WHEN 'infraspecific' THEN 5 END AS nl FROM (SELECT *, {RANK} AS r FROM (SELECT doc_id, length(regexp_extract(line, '^(#+)', 1)) AS lv, trim(regexp_replace(line, '^#+\\s+', ''), ' ') AS input FROM {DECORATED} WHERE regexp_matches(line, '^#{{1,6}}\\s+')))) GROUP BY doc_id")
-HEADS = f"(SELECT family, header, pages FROM (SELECT family, trim(line, ' ') AS header, count(DISTINCT (doc_id, page)) AS pages FROM {PAGED} WHERE regexp_matches(line, '^#{{1,6}}\\s') AND length(trim(line, ' ')) <= 80 GROUP BY ALL) JOIN (SELECT family, count(DISTINCT (doc_id, page)) + 1 AS n FROM {PAGED} WHERE family IS NOT NULL GROUP BY family) USING (family) WHERE n >= 3 AND pages >= greatest(5, floor(0.03::DOUBLE * n)))"
-_q("a_runhdr", lambda s, d: D.running_headers(paged(s, d), "family"), f"SELECT * FROM {HEADS}")
-_q("a_drophdr", lambda s, d: D.without_headers(paged(s, d), "family").groupBy("family").agg(*[F.count_if(F.col("action") == a).alias(a) for a in ("keep", "drop", "repair")], F.sum(F.length("kept")).alias("chars")),
-   f"""WITH h AS {HEADS}, l AS (SELECT p.*, h.header, CASE WHEN h.header IS NOT NULL AND regexp_matches(trim(ltrim(h.header, '#'), ' '), '^[A-ZÀ-Ý]{{4,}}(AC|ACE|ACEE|ACÉE|C[EÉ][AEÉ][ES]S?)$') THEN trim(ltrim(h.header, '#'), ' ') END AS nm FROM {PAGED} p LEFT JOIN h ON p.family = h.family AND trim(p.line, ' ') = h.header),
-    a AS (SELECT *, CASE WHEN header IS NULL THEN 'keep' WHEN nm IS NOT NULL AND row_number() OVER (PARTITION BY family, header ORDER BY doc_id, line_no) = 1 THEN 'repair' ELSE 'drop' END AS action FROM l)
-    SELECT family, count_if(action = 'keep') AS keep, count_if(action = 'drop') AS "drop", count_if(action = 'repair') AS repair,
-           CAST(sum(CASE action WHEN 'keep' THEN length(line) WHEN 'repair' THEN length(regexp_extract(header, '^#+')) + 1 + length(nm) + CASE WHEN nm LIKE '%AC' THEN 3 WHEN nm LIKE '%ACE' THEN 2 WHEN nm LIKE '%ACEE' OR nm LIKE '%ACÉE' THEN 1 ELSE 0 END END) AS BIGINT) AS chars FROM a GROUP BY family""")
+HEADS = f"""(
+    SELECT volume, header, pages
+    FROM (SELECT volume, trim(line, ' ') AS header, count(DISTINCT (doc_id, page)) AS pages FROM {PAGED} WHERE starts_with(trim(line, ' '), '#') AND length(trim(line, ' ')) <= 80 GROUP BY ALL)
+    JOIN (SELECT volume, count(DISTINCT (doc_id, page)) + 1 AS n FROM {PAGED} WHERE volume IS NOT NULL GROUP BY volume) USING (volume)
+    WHERE n >= 3 AND pages >= greatest(5, floor(0.03::DOUBLE * n)))"""
+_q("a_runhdr", lambda s, d: D.running_headers(paged(s, d), "volume"), f"SELECT * FROM {HEADS}")
+#: Lines with what becomes of them.  A head in capitals alone is a family name if it ends like one or is conserved, or a cut-off one that can be made whole.
+DROPPED = f"""(
+    SELECT *, CASE WHEN is_head IS NULL THEN 'keep' WHEN nth > 1 OR whole IS NULL THEN 'drop' WHEN whole = stem THEN 'first' ELSE 'repair' END AS action
+    FROM (
+        SELECT *, row_number() OVER (PARTITION BY volume, head, is_head ORDER BY doc_id, line_no) AS nth,
+               CASE WHEN regexp_matches(stem, '^[A-ZÀ-Ý]{{3,}}(CEAE|CÉES|CEES|EAE)$') OR stem IN ('{"', '".join(V.NOM_CONS)}') THEN stem
+                    WHEN regexp_matches(stem, '^[A-ZÀ-Ý]{{4,}}AC$') THEN stem || 'EAE' WHEN regexp_matches(stem, '^[A-ZÀ-Ý]{{4,}}ACE$') THEN stem || 'AE'
+                    WHEN regexp_matches(stem, '^[A-ZÀ-Ý]{{4,}}AC[EÉ]E$') THEN stem || 'S' END AS whole
+        FROM (
+            SELECT p.doc_id, p.volume, p.line_no, p.line, p.head, h.pages AS is_head, nullif(regexp_extract(p.head, '^#{{1,6}}\\s+([A-ZÀ-Ý]{{4,}})\\s*$', 1), '') AS stem
+            FROM (SELECT *, regexp_replace(line, '\\s+$', '') AS head FROM {PAGED}) p LEFT JOIN {HEADS} h ON p.volume = h.volume AND p.head = h.header)))"""
+KEPT = "CASE WHEN action IN ('keep', 'first') THEN line WHEN action = 'repair' THEN regexp_extract(head, '^#+') || ' ' || whole END"
+
+
+def _dropped(s: SparkSession, d: str) -> DataFrame:
+    counts = [F.count_if(F.col("action") == a).alias(a) for a in ("keep", "first", "drop", "repair")]
+    return D.without_headers(paged(s, d), "volume").groupBy("volume").agg(*counts, F.sum(F.length("kept")).alias("chars"))
+
+
+_counts = ", ".join(f"count_if(action = '{a}') AS \"{a}\"" for a in ("keep", "first", "drop", "repair"))
+_q("a_drophdr", _dropped, f"SELECT volume, {_counts}, CAST(sum(length({KEPT})) AS BIGINT) AS chars FROM {DROPPED} GROUP BY volume")
 _FH = D.FAMILY_HEAD.replace("(?=\\s|\\(|\\)|$)", "(?:\\s|\\(|\\)|$)")
-_fam = f"regexp_replace(upper(translate(raw, '{FOLD_FROM}', '{FOLD_TO}')), '(?i)C[EÉ][AEÉ][ES]S?$', 'ceae')"
+_fam = f"regexp_replace(upper({fold_sql('raw')}), '(?i)C[EÉ][AEÉ][ES]S?$', 'ceae')"
 FAMS = (
     f"(SELECT doc_id, line_no, char_offset, family_name FROM (SELECT *, lag(family_name) OVER (PARTITION BY doc_id ORDER BY line_no) AS prev FROM (SELECT doc_id, line_no, char_offset, concat(upper(({_fam})[1]), lower(({_fam})[2:])) AS family_name FROM (SELECT doc_id, line_no, CAST(coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS char_offset, regexp_extract(line, '{_FH}', 1) AS raw FROM {LINES}) WHERE raw <> '')) WHERE prev IS NULL OR prev <> family_name)"
 )
@@ -87,7 +107,8 @@ def _fampage(s: SparkSession, d: str) -> DataFrame:
     return first.withColumn("prev", F.lag("family_name").over(w)).filter("prev is null or prev <> family_name").drop("prev")
 
 
-_let = f"lower(regexp_replace(translate(regexp_replace(regexp_replace(line, '^#+\\s*', ''), '(?i)C[EÉ][EÉ]S$', 'ceae'), '{FOLD_FROM}', '{FOLD_TO}'), '[^A-Za-z]+', '', 'g'))"
+_bare_line = "regexp_replace(regexp_replace(line, '^#+\\s*', ''), '(?i)C[EÉ][EÉ]S$', 'ceae')"
+_let = f"lower(regexp_replace({fold_sql(_bare_line)}, '[^A-Za-z]+', '', 'g'))"
 FAMPAGE = f"(SELECT volume, doc_id, page, family_name FROM (SELECT *, lag(family_name) OVER (PARTITION BY volume ORDER BY doc_id, page) AS prev FROM (SELECT volume, doc_id, page, arg_min(concat(upper(x[1]), x[2:]), line_no) AS family_name FROM (SELECT *, nullif(regexp_extract({_let}, '^([a-z]{{4,30}}(?:aceae|eaceae))', 1), '') AS x FROM {PAGED} WHERE regexp_matches(line, '^#{{1,6}} ') AND volume IS NOT NULL) WHERE x IS NOT NULL GROUP BY ALL)) WHERE prev IS NULL OR prev <> family_name)"
 _q("g_fampage", _fampage, f"SELECT * FROM {FAMPAGE}")
 _q("w_firstpage", lambda s, d: _fampage(s, d).groupBy("volume").agg(F.count("*").alias("n_starts"), F.min("family_name").alias("least")), f"SELECT volume, count(*) AS n_starts, min(family_name) AS least FROM {FAMPAGE} GROUP BY volume")
@@ -116,7 +137,8 @@ def _prefix(s: SparkSession, d: str) -> DataFrame:
     return heads.join(known, (F.substring("h", 1, 6) == F.substring("p", 1, 6)) & F.expr("startswith(h, p)")).groupBy("h").agg(F.min("family").alias("family"))
 
 
-_q("j_prefix", _prefix, f"SELECT h, min(family) AS family FROM (SELECT DISTINCT lower(regexp_replace(translate(regexp_replace(line, '(?i)C[EÉ][EÉ]S$', 'ceae'), '{FOLD_FROM}', '{FOLD_TO}'), '[^A-Za-z]+', '', 'g')) AS h FROM {LINES} WHERE regexp_matches(line, '^#{{1,6}} ')) JOIN (SELECT DISTINCT family FROM key_index WHERE family IS NOT NULL) ON starts_with(h, lower(regexp_replace(family, '[^A-Za-z]+', '', 'g'))) WHERE h <> '' GROUP BY h")
+_latin_line = "regexp_replace(line, '(?i)C[EÉ][EÉ]S$', 'ceae')"
+_q("j_prefix", _prefix, f"SELECT h, min(family) AS family FROM (SELECT DISTINCT lower(regexp_replace({fold_sql(_latin_line)}, '[^A-Za-z]+', '', 'g')) AS h FROM {LINES} WHERE regexp_matches(line, '^#{{1,6}} ')) JOIN (SELECT DISTINCT family FROM key_index WHERE family IS NOT NULL) ON starts_with(h, lower(regexp_replace(family, '[^A-Za-z]+', '', 'g'))) WHERE h <> '' GROUP BY h")
 _q("a_famstats", lambda s, d: _docs(s, d).groupBy("family").agg(F.count("*").alias("docs"), F.sum(F.length("text")).alias("chars"), F.sum(F.size(F.regexp_extract_all("text", F.lit(V.PAGE), F.lit(1)))).alias("pages")).join(table(s, d, "figures").groupBy("family").agg(F.count("*").alias("figs")), "family", "left").na.fill(0, ["figs"]),
    "SELECT d.family, docs, chars, pages, coalesce(figs, 0) AS figs FROM (SELECT family, count(*) AS docs, CAST(sum(length(text)) AS BIGINT) AS chars, CAST(sum(len(regexp_extract_all(text, '<!--\\s*page\\s+([0-9]+)\\s*-->', 1))) AS BIGINT) AS pages FROM documents_md GROUP BY family) d LEFT JOIN (SELECT family, count(*) AS figs FROM figures GROUP BY family) f ON d.family = f.family")
 _PT = lambda s, d: paged(s, d).groupBy("doc_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("page_text"))

@@ -9,7 +9,7 @@ from scriptorium.functions import scalars as S
 from scriptorium.functions import vocab as V
 from scriptorium.operators import documents as D
 from scriptorium.plans.base import PAGED, Query, lines, paged, sql_values, table, values
-from scriptorium.plans.documents import TAXA, corrupt, decorated
+from scriptorium.plans.documents import DROPPED, KEPT, TAXA, corrupt, decorated
 from scriptorium.sources import engines, files, sinks
 from scriptorium.streaming import incremental, sessions
 
@@ -165,7 +165,8 @@ for _n in ("q_log", "t_log"):
        "SELECT a AS day, b AS kind, c AS title FROM (VALUES ('2026-03-01', 'ingest', 'Ebenaceae'), ('2026-03-04', 'refresh', 'index')) v(a, b, c)")
 
 # what the sinks write
-_q("k_text", lambda s, d: D.without_headers(paged(s, d), "family").filter("kept is not null").groupBy("doc_id").agg(F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "kept"))), lambda x: x["kept"]), "\n")).alias("text")))
+_q("k_text", lambda s, d: D.without_headers(paged(s, d), "volume").filter("kept is not null").groupBy("doc_id").agg(F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "kept"))), lambda x: x["kept"]), "\n")).alias("text")),
+   f"SELECT doc_id, md5(string_agg(kept, chr(10) ORDER BY line_no)) AS text FROM (SELECT doc_id, line_no, {KEPT} AS kept FROM {DROPPED}) WHERE kept IS NOT NULL GROUP BY doc_id")
 _q("k_meta", lambda s, d: sinks.unified_metadata(table(s, d, "run_metadata").filter("engine = 'paddle'").drop("figure_count"), table(s, d, "run_metadata").filter("engine <> 'paddle'").drop("dpi")).groupBy("engine").agg(F.count("*").alias("n"), F.count("dpi").alias("with_dpi"), F.count("figure_count").alias("with_figures"), F.round(F.sum("elapsed_seconds"), 2).alias("seconds")),
    "SELECT engine, count(*) AS n, count(CASE WHEN engine = 'paddle' THEN dpi END) AS with_dpi, count(CASE WHEN engine <> 'paddle' THEN figure_count END) AS with_figures, round(CAST(sum(CAST(elapsed_seconds AS DECIMAL(18, 2))) AS DOUBLE), 2) AS seconds FROM run_metadata WHERE engine IS NOT NULL GROUP BY engine")
 _q("k_taxa", lambda s, d: D.taxa(decorated(s, d)).select(F.concat_ws("\t", "rank", "name", "family", "genus", F.col("page").cast("string"), F.col("line_no").cast("string")).alias("tsv")), f"SELECT concat_ws(chr(9), rank, name, family, genus, page, line_no) AS tsv FROM {TAXA}")

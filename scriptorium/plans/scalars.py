@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions import scalars as S
 from scriptorium.functions import vocab as V
-from scriptorium.plans.base import FOLD_FROM, FOLD_TO, LINES, Query, lines, mapped, sql_values, table, values
+from scriptorium.plans.base import LINES, Query, fold_sql, lines, mapped, sql_values, table, values
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -42,10 +42,11 @@ every_line = (lambda s, d: lines(s, d).select(F.col("line").alias("x"))), f"SELE
 _add("p_letters", _with(["MYRT ACEAE", "Été 12", ""], *names), S.letters, "lower(regexp_replace(input, '[^A-Za-z]+', '', 'g'))")
 _add("p_famnorm", _with(["myrtaceaelinn", "myr", "annonaceaeaceae"], lambda s, d: heads[0](s, d).select(S.letters(F.col("x")).alias("x")), f"SELECT lower(regexp_replace(x, '[^A-Za-z]+', '', 'g')) AS x FROM ({heads[1]})"), S.family_front,
      "CASE WHEN regexp_matches(input, '^[a-z]{4,30}(aceae|eaceae)') THEN concat(upper(substr(regexp_extract(input, '^([a-z]{4,30}(?:aceae|eaceae))', 1), 1, 1)), substr(regexp_extract(input, '^([a-z]{4,30}(?:aceae|eaceae))', 1), 2)) END")
-_add("p_accent", _with(["THYMÉLÉACÉES", "œuvre"], *every_line), S.accents_folded, f"translate(input, '{FOLD_FROM}', '{FOLD_TO}')")
+_add("p_accent", _with(["THYMÉLÉACÉES", "œuvre", "ANNONACĒAE", "ŠAPOTACÉES", "Ebe\u0301nace\u0301es", "a\u00a0b² ½…"], *every_line), S.accents_folded, fold_sql("input"))
 
-_FAM = ["ANNONACEES", "RUBIACEAE", "THYMÉLÉACÉES", "EBENACEES (Juss.)", "LEGUMINOSAE", "Palmae", "MYRTACÉES"]
-_up = f"upper(translate(trim(regexp_replace(input, '\\s*\\(.*', '')), '{FOLD_FROM}', '{FOLD_TO}'))"
+_NAME = "trim(regexp_replace(input, '\\s*\\(.*', ''))"
+_FAM = ["ŠAPOTACĒES", "Ebe\u0301nace\u0301es", "ANNONACEES", "RUBIACEAE", "THYMÉLÉACÉES", "EBENACEES (Juss.)", "LEGUMINOSAE", "Palmae", "MYRTACÉES"]
+_up = f"upper({fold_sql(_NAME)})"
 _low = f"regexp_replace({_up}, '(?i)C[EÉ][AEÉ][ES]S?$', 'ceae')"
 _nm = "trim(regexp_replace(input, '\\s*\\(.*', ''))"
 _add("p_family", _with(_FAM, *families), S.family_name, f"CASE WHEN upper({_nm}) IN {_list(V.NOM_CONS)} THEN concat(upper({_nm}[1]), lower({_nm}[2:])) ELSE concat(upper(({_low})[1]), lower(({_low})[2:])) END")

@@ -2,11 +2,13 @@
 
 import random
 import re
+import unicodedata
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from scriptorium.functions import scalars as S
 from scriptorium.operators import documents as D
 from scriptorium.operators import figures as G
 from scriptorium.operators import keys as K
@@ -233,3 +235,26 @@ def test_run_on_lines_are_cut_to_the_end(spark):
     line = "- a .... X" + " - b .... Y" * 9
     df = spark.createDataFrame([("d", 1, line)], "doc_id string, line_no int, line string")
     assert K.split_run_ons(df).count() == 10 and K.split_run_ons(df, passes=5).count() == 6
+
+
+def test_whole_and_cut_off_family_heads_keep_their_first(spark):
+    heads = {"# LEGUMINOSAE": "first", "## EBENACE": "repair", "# MYRTACEAE": "first", "# R. LETOUZEY": "drop"}
+    rows = [("d", "v1", 2 * p + k, x, p) for p in range(1, 9) for k, x in enumerate([*list(heads)[p % 4 :], *list(heads)[: p % 4], "text"])]
+    rows = [(d, v, i, x, p) for i, (d, v, _, x, p) in enumerate(rows)] + [("e", "v2", 1, "# LEGUMINOSAE", 1), ("f", None, 1, "# LEGUMINOSAE", 1)]
+    out = D.without_headers(spark.createDataFrame(rows, "doc_id string, volume string, line_no int, line string, page int"), "volume").collect()
+    done = {}
+    for r in out:
+        done.setdefault((r.volume, r.line), []).append((r.action, r.kept))
+    for head, first in heads.items():
+        actions = [a for a, _ in done["v1", head]]
+        assert sorted(actions) == sorted([first, *["drop"] * 7])
+    assert ("repair", "## EBENACEAE") in done["v1", "## EBENACE"]
+    assert done["v2", "# LEGUMINOSAE"] == done[None, "# LEGUMINOSAE"] == [("keep", "# LEGUMINOSAE")]
+    assert {a for a, _ in done["v1", "text"]} == {"keep"}
+
+
+def test_folding_is_compatibility_decomposition_without_marks(spark):
+    bare = lambda t: "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
+    texts = ["ANNONACĒAE", "ŠAPOTACÉES", "Ebénacées", "a b", "ﬁn ½ … ①", "", *("".join(map(chr, range(a, a + 32))) for a in range(0x20, 0x3400, 32))]
+    got = spark.createDataFrame([(t,) for t in texts], "x string").select("x", S.accents_folded(F.col("x")).alias("y")).collect()
+    assert [(r.x, r.y) for r in got] == [(t, bare(t)) for t in texts]

@@ -55,5 +55,5 @@ def test_runs(spark, data, name):
 
 def test_entry(spark, data):
     df = entry_module.entry(spark)
-    assert df.columns == ["family", "keep", "drop", "repair", "chars"]
+    assert df.columns == ["volume", "keep", "first", "drop", "repair", "chars"]
     assert df.count() > 0
