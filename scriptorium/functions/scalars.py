@@ -207,19 +207,25 @@ def joined(items: Column) -> Column:
 
 
 def garbage_score(text: Column) -> Column:
-    """How broken the text of a page looks; 0 below 20 tokens."""
+    """How broken the text of a page looks; 0 below 20 tokens.
+
+    Each kind of broken token has a sign that one pass over the text finds; only
+    a text that holds the sign is cut into tokens for it.
+    """
     tokens = F.filter(F.split(text, r"\s+"), lambda t: t != "")
 
-    def many(condition) -> Column:  # noqa: ANN001
-        return F.size(F.filter(tokens, condition))
+    def many(sign: str, condition) -> Column:  # noqa: ANN001
+        return F.when(text.rlike(sign), F.size(F.filter(tokens, condition))).otherwise(0)
 
-    word = r"[\p{L}\p{N}_]"
-    digit = many(lambda t: t.rlike(rf"(?<!{word})(?={word}*[A-Za-z])(?={word}*[0-9]){word}{{6,}}(?!{word})"))
-    upper = many(lambda t: t.rlike(rf"(?<!{word})[A-Za-z]{{2,}}[A-Z][A-Za-z]{{2,}}(?!{word})") & t.rlike(r"\p{Ll}") & ~t.rlike(r"^\p{Lu}[^\p{Lu}]*$"))
-    accented = many(lambda t: t.rlike(rf"(?<!{word})\p{{L}}*[a-zà-ÿ][À-Ý][a-zà-ÿ]+(?!{word})"))
-    prefixed = many(lambda t: t.rlike(r"^[%&$#/][A-Za-z0-9]{6,}$"))
+    word, no_digit = r"[\p{L}\p{N}_]", r"[\p{L}\p{N}_&&[^0-9]]"
+    digit_sign = rf"{no_digit}[0-9]|[0-9]{no_digit}"
+    digit = many(digit_sign, lambda t: t.rlike(digit_sign) & t.rlike(rf"(?<!{word})(?={word}*[A-Za-z])(?={word}*[0-9]){word}{{6,}}(?!{word})"))
+    upper = many("[A-Za-z]{2}[A-Z][A-Za-z]{2}", lambda t: t.rlike(rf"(?<!{word})[A-Za-z]{{2,}}[A-Z][A-Za-z]{{2,}}(?!{word})") & t.rlike(r"\p{Ll}") & ~t.rlike(r"^\p{Lu}[^\p{Lu}]*$"))
+    accented = many("[a-zà-ÿ][À-Ý][a-zà-ÿ]", lambda t: t.rlike(rf"(?<!{word})\p{{L}}*[a-zà-ÿ][À-Ý][a-zà-ÿ]+(?!{word})"))
+    prefixed = many("[%&$#/][A-Za-z0-9]{6}", lambda t: t.rlike(r"^[%&$#/][A-Za-z0-9]{6,}$"))
     symbols = F.regexp_count(text, F.lit("[¶§¦]"))
-    return F.when(F.size(tokens) < 20, 0).otherwise(3 * digit + 2 * upper + 2 * accented + 2 * prefixed + 2 * symbols).cast("int")
+    score = 3 * digit + 2 * upper + 2 * accented + 2 * prefixed + 2 * symbols
+    return F.when(text.isNull() | (score == 0), 0).when(F.size(tokens) < 20, 0).otherwise(score).cast("int")
 
 
 def rounded_up(x: Column, step: int = 32) -> Column:

@@ -1,8 +1,7 @@
 """Operators on identification keys: statements, nesting, decision graphs.
 
 Statements of one key are bounded by the key, so ordered folds run inside a row
-(higher-order functions) or a window by key; graphs are walked level by level
-with joins on (key, number), which spread over the cluster.
+or a window by key, and so do walks of its graph; keys spread over the cluster.
 """
 
 from __future__ import annotations
@@ -203,21 +202,28 @@ def patched(base: DataFrame, patches: DataFrame) -> DataFrame:
 def reached(graph: DataFrame, starts: DataFrame) -> DataFrame:
     """(key_id, num, depth): statements that can be reached from the starts (key_id, num), with the least number of steps.
 
-    Breadth first, one join on (key_id, num) for each level; statements seen
-    before are left out, so cycles end, and levels go on until none is new.
-    Key graphs are a few dozen levels deep.
+    A graph is that of one key, which one row holds: all graphs are walked side
+    by side, breadth first, until no statement is new, so cycles end and there
+    is no bound to the depth.
     """
-    from scriptorium.operators.lineage import cut
-
-    edges = graph.filter("leads_to is not null").select("key_id", "num", "leads_to").distinct()
-    seen = starts.select("key_id", "num", F.lit(0).alias("depth")).distinct()
-    front, depth = seen, 0
-    while True:
-        depth += 1
-        nxt = front.join(edges, ["key_id", "num"]).select("key_id", F.col("leads_to").alias("num")).distinct()
-        nxt = cut(nxt.join(seen, ["key_id", "num"], "left_anti").withColumn("depth", F.lit(depth)))
-        if nxt.isEmpty():
-            return seen
-        seen, front = seen.unionByName(nxt), nxt
-        if depth % 16 == 0:
-            seen = cut(seen.coalesce(graph.sparkSession.sparkContext.defaultParallelism))  # else the plan grows with every level
+    edges = graph.filter("leads_to is not null and num is not null").groupBy("key_id").agg(F.collect_set(F.struct("num", "leads_to")).alias("es"))
+    begun = starts.filter("num is not null").groupBy("key_id").agg(F.collect_set("num").alias("ss"))
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for key, begin, es in zip(pdf["key_id"], pdf["ss"], pdf["es"]):
+                out: dict[int, list[int]] = {}
+                for e in es if es is not None else ():
+                    out.setdefault(e["num"], []).append(e["leads_to"])
+                depth = dict.fromkeys(map(int, begin), 0)
+                front = list(depth)
+                for at in front:  # grows while it is read
+                    for to in out.get(at, ()):
+                        if to not in depth:
+                            depth[to] = depth[at] + 1
+                            front.append(to)
+                rows += [(key, num, d) for num, d in depth.items()]
+            yield pd.DataFrame(rows, columns=["key_id", "num", "depth"])
+
+    return begun.join(edges, "key_id", "left").select("key_id", "ss", "es").mapInPandas(walk, "key_id string, num int, depth int")

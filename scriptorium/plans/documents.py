@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from scriptorium.functions import scalars as S
 from scriptorium.functions import vocab as V
 from scriptorium.operators import documents as D
+from scriptorium.operators.lineage import spread
 from scriptorium.plans.base import LINES, PAGED, Query, fold_sql, lines, paged, sql_values, table, values
 from scriptorium.plans.scalars import _rank_sql as RANK
 
@@ -159,7 +160,8 @@ def corrupt(n: Column, bad: Column) -> Column:
 
 
 def _garbage(s: SparkSession, d: str) -> DataFrame:
-    per = table(s, d, "documents").groupBy("source").agg(F.count("*").alias("n"), F.count_if(S.garbage_score(F.col("text")) >= V.GARBAGE_SCORE).alias("bad"))
+    pages = spread(table(s, d, "documents").select("doc_id", "source", "text"), "doc_id")
+    per = pages.groupBy("source").agg(F.count("*").alias("n"), F.count_if(S.garbage_score(F.col("text")) >= V.GARBAGE_SCORE).alias("bad"))
     return per.withColumn("fallback", corrupt(F.col("n"), F.col("bad")))
 
 

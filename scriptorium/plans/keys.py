@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from scriptorium.functions import vocab as V
 from scriptorium.operators import keys as K
 from scriptorium.operators import nested
+from scriptorium.plans import training
 from scriptorium.plans.base import LINES, Query, lines, sql_values, table, values
 from scriptorium.plans.documents import SEGS, decorated
 
@@ -125,7 +126,27 @@ def _walk_files(s: SparkSession, d: str) -> DataFrame:
     return t["keys"].select(key(F.col("own_key"))).distinct().join(counted.drop("num"), "key_id", "left").join(reach, "key_id", "left").na.fill(0, ["nodes", "numbers", "reached"])
 
 
-_q("j_traverse_files", _walk_files)
+#: The nodes of key files in SQL, at any depth, with the number of the node that holds each; what follows reads them as ns.
+_WALK = f"""
+    WITH RECURSIVE {training.KEYS},
+    ns AS (
+        SELECT dataset_id, k AS key, CAST(NULL AS INTEGER) AS held_by, CAST(m.v->>'num' AS INTEGER) AS num, m.v AS v
+        FROM (SELECT dataset_id, k, unnest({training.members("(v->'nodes')", 'node_key')}) AS m FROM ks) WHERE json_type(m.v) = 'OBJECT'
+        UNION ALL
+        SELECT dataset_id, key, num, CAST(m.v->>'num' AS INTEGER), m.v
+        FROM (SELECT dataset_id, key, num, unnest({training.members("(v->'children')", 'node_key')}) AS m FROM ns) WHERE json_type(m.v) = 'OBJECT'),
+    g AS (
+        SELECT dataset_id, key, num, CAST(v->>'leads_to' AS INTEGER) AS leads_to FROM ns WHERE v->>'leads_to' IS NOT NULL AND num IS NOT NULL
+        UNION SELECT dataset_id, key, held_by, num FROM ns WHERE held_by IS NOT NULL AND num IS NOT NULL),
+    c AS (SELECT dataset_id, key, count(*) AS nodes, count(DISTINCT num) AS numbers, min(num) AS num FROM ns GROUP BY ALL),
+    r AS (
+        SELECT dataset_id, key, num, 0 AS depth FROM c WHERE num IS NOT NULL
+        UNION SELECT r.dataset_id, r.key, g.leads_to, r.depth + 1 FROM r JOIN g ON g.dataset_id = r.dataset_id AND g.key = r.key AND g.num = r.num
+              JOIN c ON c.dataset_id = r.dataset_id AND c.key = r.key WHERE r.depth <= c.numbers),
+    d AS (SELECT dataset_id, key, count(*) AS reached, max(depth) AS deepest FROM (SELECT dataset_id, key, num, min(depth) AS depth FROM r GROUP BY ALL) GROUP BY ALL)
+    SELECT concat(x.dataset_id, '|', x.k) AS key_id, coalesce(nodes, 0) AS nodes, coalesce(numbers, 0) AS numbers, coalesce(reached, 0) AS reached, deepest
+    FROM (SELECT DISTINCT dataset_id, k FROM ks) x LEFT JOIN c ON c.dataset_id = x.dataset_id AND c.key = x.k LEFT JOIN d ON d.dataset_id = x.dataset_id AND d.key = x.k"""
+_q("j_traverse_files", _walk_files, _WALK)
 _PS = "key_id string, node_key string, field string, value string, is_null boolean"
 _PATCH = [("k", "2'", "is_terminal", "true", False), ("k", "2'", "terminal_name", "Psidium", False), ("k", "2'", "leads_to", None, True), ("k", "4", "leads_to", "6", False), ("k", "99", "leads_to", "1", False), ("zz", "1", "terminal_name", "X", False)]
 _pt = lambda s: values(s, _PS, _PATCH)

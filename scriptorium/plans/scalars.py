@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions import scalars as S
 from scriptorium.functions import vocab as V
+from scriptorium.operators.lineage import spread
 from scriptorium.plans.base import LINES, Query, fold_sql, lines, mapped, sql_values, table, values
 
 QUERIES: dict[str, Query] = {}
@@ -233,7 +234,7 @@ def _imgref(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _rows("p_imgref", _imgref, f"SELECT doc_id, replace(replace(replace(text, '![](images/h1.png)', '![](figures/fig_001.png)'), '![](images/h2.jpg)', '![](figures/fig_002.jpg)'), '![](images/', '![](figures/') AS text FROM {sql_values('doc_id string, text string', _IMG)}")
 _rows("p_prompt", lambda s, d: table(s, d, "bilingual_md").select("pair_id", F.md5(F.concat(F.lit("Translate into English; output only the translation.\n\n"), "text")).alias("request")), "SELECT pair_id, md5(concat('Translate into English; output only the translation.', chr(10), chr(10), text)) AS request FROM bilingual_md WHERE text IS NOT NULL")
-_rows("p_garbage", lambda s, d: table(s, d, "documents").select("doc_id", S.garbage_score(F.col("text")).alias("score")),
+_rows("p_garbage", lambda s, d: spread(table(s, d, "documents").select("doc_id", "text"), "doc_id").select("doc_id", S.garbage_score(F.col("text")).alias("score")),
       "WITH t AS (SELECT doc_id, text, list_filter(string_split_regex(text, '\\s+'), lambda t: t <> '') AS ts FROM documents) SELECT doc_id, CAST(CASE WHEN len(ts) < 20 THEN 0 ELSE 3 * len(list_filter(ts, lambda t: len(list_filter(regexp_extract_all(t, '[\\p{L}\\p{N}_]{6,}'), lambda w: regexp_matches(w, '[A-Za-z]') AND regexp_matches(w, '[0-9]'))) > 0)) + 2 * len(list_filter(ts, lambda t: len(list_filter(regexp_extract_all(t, '[\\p{L}\\p{N}_]+'), lambda w: regexp_matches(w, '^[A-Za-z]{2,}[A-Z][A-Za-z]{2,}$'))) > 0 AND regexp_matches(t, '\\p{Ll}') AND NOT regexp_matches(t, '^\\p{Lu}[^\\p{Lu}]*$'))) + 2 * len(list_filter(ts, lambda t: len(list_filter(regexp_extract_all(t, '[\\p{L}\\p{N}_]+'), lambda w: regexp_matches(w, '^\\p{L}*[a-zà-ÿ][À-Ý][a-zà-ÿ]+$'))) > 0)) + 2 * len(list_filter(ts, lambda t: regexp_matches(t, '^[%&$#/][A-Za-z0-9]{6,}$'))) + 2 * len(regexp_extract_all(text, '[¶§¦]')) END AS INTEGER) AS score FROM t")
 _rows("p_breadcrumb", lambda s, d: table(s, d, "nav_events").filter("event_id is not null").dropDuplicates(["event_id"]).groupBy("session_key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "event_id", "choice_prime"))), lambda e: F.concat(e["ord"].cast("string"), F.coalesce(e["choice_prime"], F.lit("")))), " → ").alias("path")),
       "SELECT session_key, string_agg(concat(ord, coalesce(choice_prime, '')), ' → ' ORDER BY ord, event_id) AS path FROM (SELECT DISTINCT event_id, session_key, ord, choice_prime FROM nav_events) GROUP BY session_key")

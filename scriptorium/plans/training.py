@@ -39,7 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p3_found": p3_f
 _OBJ = "(SELECT dataset_id, coalesce(j->'data', j) AS o FROM (SELECT dataset_id, CAST(payload AS JSON) AS j FROM key_datasets WHERE payload IS NOT NULL AND json_valid(payload)))"
 
 
-def _list(c: str, key: str) -> str:
+def members(c: str, key: str) -> str:
     """Members of a container, object or array, as a list of (k, v)."""
     return (
         f"(CASE json_type({c}) WHEN 'OBJECT' THEN list_transform(json_keys({c}), lambda k: {{'k': k, 'v': json_extract({c}, '$.\"' || k || '\"')}}) "
@@ -48,22 +48,25 @@ def _list(c: str, key: str) -> str:
 
 
 _KEYS = "CASE WHEN json_type(o->'keys') = 'VARCHAR' THEN CAST(o->>'keys' AS JSON) ELSE o->'keys' END"
-_NODES = f"""
+#: The keys of key files in SQL, as ks.
+KEYS = f"""
     src AS {_OBJ},
     ks AS (
-        SELECT dataset_id, m.k AS k, m.v AS v FROM (SELECT dataset_id, unnest({_list('c', 'id')}) AS m FROM (SELECT dataset_id, {_KEYS} AS c FROM src))
-        WHERE json_type(m.v) = 'OBJECT'),
+        SELECT dataset_id, m.k AS k, m.v AS v FROM (SELECT dataset_id, unnest({members('c', 'id')}) AS m FROM (SELECT dataset_id, {_KEYS} AS c FROM src))
+        WHERE json_type(m.v) = 'OBJECT')"""
+_NODES = f"""
+    {KEYS},
     ns AS (
-        SELECT dataset_id, par, m.k AS k, m.v AS v FROM (SELECT dataset_id, k AS par, unnest({_list("(v->'nodes')", 'node_key')}) AS m FROM ks) WHERE json_type(m.v) = 'OBJECT'
+        SELECT dataset_id, par, m.k AS k, m.v AS v FROM (SELECT dataset_id, k AS par, unnest({members("(v->'nodes')", 'node_key')}) AS m FROM ks) WHERE json_type(m.v) = 'OBJECT'
         UNION ALL
-        SELECT dataset_id, par, m.k, m.v FROM (SELECT dataset_id, par || '/' || k AS par, unnest({_list("(v->'children')", 'node_key')}) AS m FROM ns)
+        SELECT dataset_id, par, m.k, m.v FROM (SELECT dataset_id, par || '/' || k AS par, unnest({members("(v->'children')", 'node_key')}) AS m FROM ns)
         WHERE json_type(m.v) = 'OBJECT')"""
 _LINK = "CASE json_type(m.v) WHEN 'OBJECT' THEN m.v->>'key' ELSE m.v->>'$' END"
 _LINKS = f"""
     SELECT dataset_id, 'key' AS kind, '' AS parent_key, k AS child_key FROM ks
     UNION SELECT dataset_id, 'node', par, k FROM ns
-    UNION SELECT dataset_id, 'figure', '', m.k FROM (SELECT dataset_id, unnest({_list("(o->'figures')", 'slug')}) AS m FROM src) WHERE json_type(m.v) = 'OBJECT'
-    UNION SELECT dataset_id, 'genus_link', {_LINK}, m.k FROM (SELECT dataset_id, unnest({_list("(o->'genus_links')", 'genus')}) AS m FROM src)
+    UNION SELECT dataset_id, 'figure', '', m.k FROM (SELECT dataset_id, unnest({members("(o->'figures')", 'slug')}) AS m FROM src) WHERE json_type(m.v) = 'OBJECT'
+    UNION SELECT dataset_id, 'genus_link', {_LINK}, m.k FROM (SELECT dataset_id, unnest({members("(o->'genus_links')", 'genus')}) AS m FROM src)
         WHERE json_type(m.v) <> 'NULL' AND {_LINK} IS NOT NULL
     UNION SELECT dataset_id, 'default_key', '', o->>'default_key' FROM src WHERE o->>'default_key' IS NOT NULL"""
 SQL: dict[str, str] = {
