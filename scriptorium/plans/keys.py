@@ -97,14 +97,39 @@ GRAPH = [
     ("k", "1", 1, "", False, None, 2), ("k", "1'", 1, "'", False, None, 4), ("k", "2", 2, "", True, "Eugenia", None), ("k", "2'", 2, "'", False, None, 3), ("k", "3", 3, "", True, "Psidium", None), ("k", "3'", 3, "'", False, None, 1),
     ("k", "4", 4, "", False, None, None), ("k", "6", 6, "", True, "Lost", None), ("m", "1", 1, "", True, "Annona", None), ("m", "1'", 1, "'", True, "Xylopia", None),
 ]
-_graph = lambda s: values(s, _GS, GRAPH)
-_q("j_alts", lambda s, d: _graph(s).alias("a").join(_graph(s).alias("b"), F.expr("a.key_id = b.key_id and a.leads_to = b.num")).select(F.col("a.key_id").alias("key_id"), F.col("a.node_key").alias("node_key"), F.col("b.node_key").alias("alternative")),
-   f"WITH g AS (SELECT * FROM {sql_values(_GS, GRAPH)}) SELECT a.key_id, a.node_key, b.node_key AS alternative FROM g a JOIN g b ON a.key_id = b.key_id AND a.leads_to = b.num")
-_q("o_alts", lambda s, d: _graph(s).select("key_id", "node_key", F.row_number().over(Window.partitionBy("key_id", "num").orderBy(F.length("prime"), "prime")).alias("pos")), f"SELECT key_id, node_key, CAST(row_number() OVER (PARTITION BY key_id, num ORDER BY length(prime), prime) AS INTEGER) AS pos FROM {sql_values(_GS, GRAPH)}")
-_q("f_alts", lambda s, d: _graph(s).groupBy("key_id", "num").agg(F.count("*").alias("n")).filter("n < 2"), f"SELECT key_id, num, count(*) AS n FROM {sql_values(_GS, GRAPH)} GROUP BY ALL HAVING count(*) < 2")
+
+
+def _graph(s: SparkSession, d: str) -> DataFrame:
+    """The nodes of all key files as graphs, one for each key, and those of the fixture; of nodes of one key that share node_key the first by what they hold."""
+    t = nested.key_tables(table(s, d, "key_datasets"))["nodes"].filter(F.size("lineage") > 0)
+    held = t.select(
+        F.concat_ws("|", F.col("rec_id").cast("string"), F.col("lineage")[0]).alias("key_id"), F.col("own_key").alias("node_key"), F.col("num").cast("int").alias("num"), F.coalesce("prime", F.lit("")).alias("prime"),
+        F.col("is_terminal").cast("boolean").alias("is_terminal"), "terminal_name", F.col("leads_to").cast("int").alias("leads_to"),
+    ).filter("node_key <> '' and num is not null")
+    one = held.groupBy("key_id", "node_key").agg(*[F.max(c).alias(c) for c in ("num", "prime", "is_terminal", "terminal_name", "leads_to")])
+    return values(s, _GS, GRAPH).unionByName(one)
+
+
+#: The same in SQL.
+_NS = f"""
+    WITH RECURSIVE {training.KEYS},
+    ns AS (
+        SELECT dataset_id, k AS key, m.k AS own, m.v AS v FROM (SELECT dataset_id, k, unnest({training.members("(v->'nodes')", 'node_key')}) AS m FROM ks) WHERE json_type(m.v) = 'OBJECT'
+        UNION ALL
+        SELECT dataset_id, key, m.k, m.v FROM (SELECT dataset_id, key, unnest({training.members("(v->'children')", 'node_key')}) AS m FROM ns) WHERE json_type(m.v) = 'OBJECT')"""
+_GRAPH = f"""(
+    SELECT * FROM {sql_values(_GS, GRAPH)}
+    UNION ALL SELECT * FROM ({_NS}
+    SELECT concat(dataset_id, '|', key) AS key_id, own AS node_key, max(CAST(v->>'num' AS INTEGER)) AS num, max(coalesce(v->>'prime', '')) AS prime,
+           max(CAST(v->>'is_terminal' AS BOOLEAN)) AS is_terminal, max(v->>'terminal_name') AS terminal_name, max(CAST(v->>'leads_to' AS INTEGER)) AS leads_to
+    FROM ns WHERE own <> '' AND v->>'num' IS NOT NULL GROUP BY ALL))"""
+_q("j_alts", lambda s, d: _graph(s, d).alias("a").join(_graph(s, d).alias("b"), F.expr("a.key_id = b.key_id and a.leads_to = b.num")).select(F.col("a.key_id").alias("key_id"), F.col("a.node_key").alias("node_key"), F.col("b.node_key").alias("alternative")),
+   f"WITH g AS (SELECT * FROM {_GRAPH}) SELECT a.key_id, a.node_key, b.node_key AS alternative FROM g a JOIN g b ON a.key_id = b.key_id AND a.leads_to = b.num")
+_q("o_alts", lambda s, d: _graph(s, d).select("key_id", "node_key", F.row_number().over(Window.partitionBy("key_id", "num").orderBy(F.length("prime"), "prime", "node_key")).alias("pos")), f"SELECT key_id, node_key, CAST(row_number() OVER (PARTITION BY key_id, num ORDER BY length(prime), prime, node_key) AS INTEGER) AS pos FROM {_GRAPH}")
+_q("f_alts", lambda s, d: _graph(s, d).groupBy("key_id", "num").agg(F.count("*").alias("n")).filter("n < 2"), f"SELECT key_id, num, count(*) AS n FROM {_GRAPH} GROUP BY ALL HAVING count(*) < 2")
 _q("f_minkeys", lambda s, d: K.couplets(_key_lines(s), "doc_id").groupBy("doc_id").agg(F.count_if(F.col("num") >= 0).alias("n")).filter("n > 0"), f"SELECT doc_id, count_if(num >= 0) AS n FROM {sql_values(_SS, STATEMENTS)} GROUP BY doc_id HAVING count_if(num >= 0) > 0")
-_q("j_traverse", lambda s, d: K.reached(_graph(s), values(s, "key_id string, num int", [("k", 1), ("m", 1)])).join(_graph(s), ["key_id", "num"]).select("key_id", "node_key", "depth", "terminal_name", (~F.col("is_terminal") & F.col("leads_to").isNull()).alias("dead_end")),
-   f"WITH RECURSIVE g AS (SELECT * FROM {sql_values(_GS, GRAPH)}), r AS (SELECT 'k' AS key_id, 1 AS num, 0 AS depth UNION SELECT 'm', 1, 0 UNION SELECT r.key_id, g.leads_to, r.depth + 1 FROM r JOIN g ON g.key_id = r.key_id AND g.num = r.num WHERE g.leads_to IS NOT NULL AND r.depth < 8), m AS (SELECT key_id, num, min(depth) AS depth FROM r GROUP BY ALL) SELECT m.key_id, g.node_key, m.depth, g.terminal_name, NOT g.is_terminal AND g.leads_to IS NULL AS dead_end FROM m JOIN g ON g.key_id = m.key_id AND g.num = m.num")
+_q("j_traverse", lambda s, d: K.reached(_graph(s, d), values(s, "key_id string, num int", [("k", 1), ("m", 1)])).join(_graph(s, d), ["key_id", "num"]).select("key_id", "node_key", "depth", "terminal_name", (~F.col("is_terminal") & F.col("leads_to").isNull()).alias("dead_end")),
+   f"WITH RECURSIVE g AS (SELECT * FROM {_GRAPH}), r AS (SELECT 'k' AS key_id, 1 AS num, 0 AS depth UNION SELECT 'm', 1, 0 UNION SELECT r.key_id, g.leads_to, r.depth + 1 FROM r JOIN g ON g.key_id = r.key_id AND g.num = r.num WHERE g.leads_to IS NOT NULL AND r.depth < 8), m AS (SELECT key_id, num, min(depth) AS depth FROM r GROUP BY ALL) SELECT m.key_id, g.node_key, m.depth, g.terminal_name, NOT g.is_terminal AND g.leads_to IS NULL AS dead_end FROM m JOIN g ON g.key_id = m.key_id AND g.num = m.num")
 
 
 def _walk_files(s: SparkSession, d: str) -> DataFrame:
@@ -150,9 +175,9 @@ _q("j_traverse_files", _walk_files, _WALK)
 _PS = "key_id string, node_key string, field string, value string, is_null boolean"
 _PATCH = [("k", "2'", "is_terminal", "true", False), ("k", "2'", "terminal_name", "Psidium", False), ("k", "2'", "leads_to", None, True), ("k", "4", "leads_to", "6", False), ("k", "99", "leads_to", "1", False), ("zz", "1", "terminal_name", "X", False)]
 _pt = lambda s: values(s, _PS, _PATCH)
-_q("j_patch", lambda s, d: K.patched(_graph(s).select("key_id", "node_key", "is_terminal", "terminal_name", "leads_to"), _pt(s)),
-   f"WITH p AS (SELECT * FROM {sql_values(_PS, _PATCH)}) SELECT key_id, node_key, coalesce((SELECT value = 'true' FROM p WHERE p.key_id = g.key_id AND p.node_key = g.node_key AND field = 'is_terminal'), is_terminal) AS is_terminal, coalesce((SELECT value FROM p WHERE p.key_id = g.key_id AND p.node_key = g.node_key AND field = 'terminal_name'), terminal_name) AS terminal_name, CASE WHEN EXISTS (FROM p WHERE p.key_id = g.key_id AND p.node_key = g.node_key AND field = 'leads_to') THEN (SELECT CAST(value AS INTEGER) FROM p WHERE p.key_id = g.key_id AND p.node_key = g.node_key AND field = 'leads_to') ELSE leads_to END AS leads_to FROM {sql_values(_GS, GRAPH)} g")
-_q("f_restrict", lambda s, d: _pt(s).select("key_id", "node_key").distinct().join(_graph(s), ["key_id", "node_key"], "left_anti"), f"SELECT DISTINCT key_id, node_key FROM {sql_values(_PS, _PATCH)} p WHERE NOT EXISTS (FROM {sql_values(_GS, GRAPH)} g WHERE g.key_id = p.key_id AND g.node_key = p.node_key)")
+_q("j_patch", lambda s, d: K.patched(_graph(s, d).select("key_id", "node_key", "is_terminal", "terminal_name", "leads_to"), _pt(s)),
+   f"WITH p AS (SELECT * FROM {sql_values(_PS, _PATCH)}) SELECT key_id, node_key, coalesce((SELECT value = 'true' FROM p WHERE p.key_id = g.key_id AND p.node_key = g.node_key AND field = 'is_terminal'), is_terminal) AS is_terminal, coalesce((SELECT value FROM p WHERE p.key_id = g.key_id AND p.node_key = g.node_key AND field = 'terminal_name'), terminal_name) AS terminal_name, CASE WHEN EXISTS (FROM p WHERE p.key_id = g.key_id AND p.node_key = g.node_key AND field = 'leads_to') THEN (SELECT CAST(value AS INTEGER) FROM p WHERE p.key_id = g.key_id AND p.node_key = g.node_key AND field = 'leads_to') ELSE leads_to END AS leads_to FROM {_GRAPH} g")
+_q("f_restrict", lambda s, d: _pt(s).select("key_id", "node_key").distinct().join(_graph(s, d), ["key_id", "node_key"], "left_anti"), f"SELECT DISTINCT key_id, node_key FROM {sql_values(_PS, _PATCH)} p WHERE NOT EXISTS (FROM {_GRAPH} g WHERE g.key_id = p.key_id AND g.node_key = p.node_key)")
 _q("s_patch", lambda s, d: _from_json(s), "SELECT a AS key_id, b AS node_key, c AS field, d AS value FROM (VALUES ('genera_x', '2', 'terminal_name', 'Psidium'), ('genera_x', '2', 'leads_to', NULL), ('genera_x', '3', 'is_terminal', 'true')) v(a, b, c, d)")
 
 
@@ -186,6 +211,6 @@ def _key_stats(s: SparkSession, d: str) -> DataFrame:
     return nested.key_tables(table(s, d, "key_datasets"))["keys"].groupBy(F.col("rec_id").alias("dataset_id")).agg(F.countDistinct("own_key").alias("n_keys"))
 
 
-_q("a_mapagg", lambda s, d: _graph(s).groupBy("key_id").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("node_key", F.coalesce("terminal_name", F.lit("-")).alias("v")))))).alias("nodes")),
-   f"SELECT key_id, concat('{{', string_agg(concat('\"', node_key, '\":\"', coalesce(terminal_name, '-'), '\"'), ',' ORDER BY node_key), '}}') AS nodes FROM {sql_values(_GS, GRAPH)} GROUP BY key_id")
-_q("k_keys", lambda s, d: _graph(s).groupBy("key_id").agg(F.to_json(F.struct(F.array_sort(F.collect_list("node_key")).alias("nodes"), F.min("num").alias("start"))).alias("doc")), f"SELECT key_id, concat('{{\"nodes\":[', string_agg(concat('\"', node_key, '\"'), ',' ORDER BY node_key), '],\"start\":', min(num), '}}') AS doc FROM {sql_values(_GS, GRAPH)} GROUP BY key_id")
+_q("a_mapagg", lambda s, d: _graph(s, d).groupBy("key_id").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("node_key", F.coalesce("terminal_name", F.lit("-")).alias("v")))))).alias("nodes")),
+   f"SELECT key_id, concat('{{', string_agg(concat('\"', node_key, '\":\"', coalesce(terminal_name, '-'), '\"'), ',' ORDER BY node_key), '}}') AS nodes FROM {_GRAPH} GROUP BY key_id")
+_q("k_keys", lambda s, d: _graph(s, d).groupBy("key_id").agg(F.to_json(F.struct(F.array_sort(F.collect_list("node_key")).alias("nodes"), F.min("num").alias("start"))).alias("doc")), f"SELECT key_id, concat('{{\"nodes\":[', string_agg(concat('\"', node_key, '\"'), ',' ORDER BY node_key), '],\"start\":', min(num), '}}') AS doc FROM {_GRAPH} GROUP BY key_id")

@@ -38,6 +38,7 @@ heads = (lambda s, d: lines(s, d).filter(F.col("line").rlike("^#{1,6} ")).select
 names = (lambda s, d: table(s, d, "wiki_species").select(F.col("name").alias("x"))), "SELECT name AS x FROM wiki_species"
 captions = (lambda s, d: table(s, d, "figures").select(F.col("caption").alias("x")).filter("x is not null")), "SELECT caption AS x FROM figures WHERE caption IS NOT NULL"
 families = (lambda s, d: table(s, d, "documents_md").select(F.col("family").alias("x")).unionByName(table(s, d, "run_metadata").select(F.col("family").alias("x"))).filter("x is not null")), "SELECT family AS x FROM documents_md WHERE family IS NOT NULL UNION ALL SELECT family FROM run_metadata WHERE family IS NOT NULL"
+doc_ids = (lambda s, d: table(s, d, "documents_md").select(F.col("doc_id").alias("x"))), "SELECT doc_id AS x FROM documents_md"
 every_line = (lambda s, d: lines(s, d).select(F.col("line").alias("x"))), f"SELECT line AS x FROM {LINES}"
 
 _add("p_letters", _with(["MYRT ACEAE", "Été 12", ""], *names), S.letters, "lower(regexp_replace(input, '[^A-Za-z]+', '', 'g'))")
@@ -58,7 +59,7 @@ _add("p_stem", _with(["EBENAC", "EBENACE", "EBENACEE", "EBENACÉE", "ABCAC", "EB
 _plates = (lambda s, d: captions[0](s, d).select(F.regexp_extract("x", V.PLATE, 1).alias("x")).filter("x <> ''")), f"SELECT regexp_extract(x, '(?i)\\bPL\\.?\\s*([IVXLC]+)\\b', 1) AS x FROM ({captions[1]}) WHERE regexp_matches(x, '(?i)\\bPL\\.?\\s*[IVXLC]+\\b')"
 _v = "list_transform(string_split(upper(input), ''), lambda c: CASE c WHEN 'I' THEN 1 WHEN 'V' THEN 5 WHEN 'X' THEN 10 WHEN 'L' THEN 50 WHEN 'C' THEN 100 ELSE 0 END)"
 _add("p_roman", _with(["XIV", "IX", "IIII", "A", "xc"], *_plates), S.roman, f"CAST(list_sum(list_transform(range(1, len({_v}) + 1), lambda i: CASE WHEN coalesce({_v}[i + 1], 0) > {_v}[i] THEN -{_v}[i] ELSE {_v}[i] END)) AS INTEGER)")
-_add("p_termname", _strings(["cotyledons fused..... 3. Eugenia.", "arbuste ou arbre..... 3", "young twigs quadrangular. Ps. Friedrichstahlianum.", "no taxon here 12", "a .. b .... 2'. Garcinia kola.", "leaves opposite..... Syzygium  gillettii . "]), S.terminal_name,
+_add("p_termname", _with(["cotyledons fused..... 3. Eugenia.", "arbuste ou arbre..... 3", "young twigs quadrangular. Ps. Friedrichstahlianum.", "no taxon here 12", "a .. b .... 2'. Garcinia kola.", "leaves opposite..... Syzygium  gillettii . "], *every_line), S.terminal_name,
      "CASE WHEN regexp_matches(input, '\\.{2,}\\s*.+?\\.?\\s*$') THEN trim(regexp_replace(rtrim(trim(regexp_extract(input, '\\.{2,}\\s*(.+?)\\.?\\s*$', 1)), '.'), '^[0-9]+[''\"]?\\.\\s+', '')) WHEN regexp_matches(input, '[A-Z][a-z]*\\.?\\s+[A-Z]?[a-z]+[a-z.]*\\.?\\s*$') THEN rtrim(trim(regexp_extract(input, '([A-Z][a-z]*\\.?\\s+[A-Z]?[a-z]+[a-z.]*)\\.?\\s*$', 1)), '.') ELSE trim(input) END")
 
 _RANK = ["MYRTACÉES", "INDEX DES MYRTACÉES", "MYRTACEAE Juss.", "1. PSIDIUM L.", "TAXA NOUVEAUX", "EUGENIA GABON", "1. Psidium cattleanum Sabine", "Psidium cattleanum Sabine", "IV. Xylopia aethiopica", "Eugenia sp. A", "a) var. guineense Keay", "CLÉ DES ESPÈCES", "GENRE Aub."]
@@ -80,7 +81,7 @@ _add("p_taxlevel", _with(_LEVEL, lambda s, d: heads[0](s, d).unionByName(names[0
      f"WHEN regexp_matches(trim(input), '^[A-Z][a-z]{{2,30}}\\s+[a-z]{{3,30}}(-[a-z]+)?([\\s,(]|$)') AND regexp_extract(trim(input), '^([A-Z][a-z]{{2,30}})', 1) NOT IN {_list(V.NON_GENUS)} THEN '### ' "
      f"WHEN NOT regexp_matches(trim(input), '\\s') AND regexp_matches(trim(input), '^[A-Z][a-z]{{3,24}}\\.?$') AND rtrim(trim(input), '.') NOT IN {_list(V.NON_GENUS)} THEN '## ' END")
 _add("p_slug", _with(["Foo – Bar (1998)", "Été", "---", "a__b"], *names), S.slug, "coalesce(nullif(regexp_replace(regexp_replace(lower(input), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g'), ''), 'article')")
-_add("p_truncref", _strings(["6. E. obanensis.", "2. S. Gilletii.", "3. Ovary glabrous", "9. Ps. Friedrichstahlianum.", "E. obanensis", "4. E. " + "a" * 60]), S.truncated_reference,
+_add("p_truncref", _with(["6. E. obanensis.", "2. S. Gilletii.", "3. Ovary glabrous", "9. Ps. Friedrichstahlianum.", "E. obanensis", "4. E. " + "a" * 60], *every_line), S.truncated_reference,
      "(regexp_matches(input, '^[0-9]{1,2}(''|\"|[’′])*\\.\\s') AND regexp_matches(trim(regexp_replace(input, '^[0-9]{1,2}(''|\"|[’′])*\\.\\s', '')), '^[A-Z][a-z]*\\.\\s+[A-Z]?[a-z]') AND length(trim(regexp_replace(input, '^[0-9]{1,2}(''|\"|[’′])*\\.\\s', ''))) <= 50)")
 _q = "[''\"’′]*"
 _fix = "regexp_replace(input, '[．・·]', '.', 'g')"
@@ -93,9 +94,9 @@ _add("p_figref", _with(["see [Figure 3 (p.4)] and [Figure 12 (p.9)], [Figure 3 (
 for _n in ("p_figref",):
     QUERIES[_n] = (lambda q: lambda s, d: q(s, d).select(F.md5("input").alias("input"), "output"))(QUERIES[_n])
     SQL[_n] = SQL[_n].replace("SELECT input,", "SELECT md5(input) AS input,", 1)
-_add("p_mixed", _strings(["BiBliographie du GaBon", "ABCd normal Words", "McDonald LeTestui x", "aBCD EsPèce"]), S.mixed_case,
+_add("p_mixed", _with(["BiBliographie du GaBon", "ABCd normal Words", "McDonald LeTestui x", "aBCD EsPèce"], *every_line), S.mixed_case,
      "array_to_string(list_transform(string_split(input, ' '), lambda t: CASE WHEN regexp_matches(t, '^[A-Z][a-z]+[A-Z][A-Za-z]{2,}$') THEN concat(t[1], lower(t[2:])) ELSE t END), ' ')")
-_add("p_caption", _strings(["![](figures/fig_1.png)\n*Caption:* PL. I. — Eugenia x\n", "*Caption:* (no caption)", "nothing", "*Caption:*   spaced  "]), S.caption_of,
+_add("p_caption", _with(["![](figures/fig_1.png)\n*Caption:* PL. I. — Eugenia x\n", "*Caption:* (no caption)", "nothing", "*Caption:*   spaced  "], *captions), S.caption_of,
      "CASE WHEN contains(trim(regexp_extract(input, '\\*Caption:\\*\\s*(.+)', 1)), '(no caption') THEN '' ELSE trim(regexp_extract(input, '\\*Caption:\\*\\s*(.+)', 1)) END")
 _add("p_figname_key", _with(["3. Eugenia whytei", "IV. Syzygium gillettii.", "Eugenia", "2'. Psidium Guajava."], *names), S.figure_epithet,
      "CASE WHEN len(string_split_regex(trim(regexp_replace(input, '^([0-9]+|[IVX]+)[''\"]?\\.\\s+', '')), '\\s+')) >= 2 THEN lower(rtrim(string_split_regex(trim(regexp_replace(input, '^([0-9]+|[IVX]+)[''\"]?\\.\\s+', '')), '\\s+')[-1], '.')) END")
@@ -107,7 +108,7 @@ _add("f_skipword", _with(["De", "Garcinia"], lambda s, d: captions[0](s, d).sele
 _add("f_nongenus", _with(["La", "Garcinia", "Feuilles"], lambda s, d: heads[0](s, d).select(F.element_at(F.split("x", " "), 1).alias("x")), f"SELECT string_split(x, ' ')[1] AS x FROM ({heads[1]})"), lambda x: ~x.isin(V.NON_GENUS), f"input NOT IN {_list(V.NON_GENUS)}")
 _add("f_blank", _with(["", "  ", "---", "<!-- page 3 -->", "x"], *every_line), lambda x: (F.trim(x) != "") & (F.trim(x) != "---") & ~F.trim(x).startswith("<!-- page"), "(trim(input) <> '' AND trim(input) <> '---' AND NOT starts_with(trim(input), '<!-- page'))")
 _add("p_leaders", _with(["a .. b", "a . b"], *every_line), lambda x: x.rlike(V.LEADERS), "regexp_matches(input, '\\.{2,}')")
-_add("p_srctype", _strings(["Buxaceae_vol57_paddle", "vol57_marker", "x"]), lambda x: F.when(x.contains("_paddle"), "paddle").otherwise("marker"), "CASE WHEN contains(input, '_paddle') THEN 'paddle' ELSE 'marker' END")
+_add("p_srctype", _with(["Buxaceae_vol57_paddle", "vol57_marker", "x"], *doc_ids), lambda x: F.when(x.contains("_paddle"), "paddle").otherwise("marker"), "CASE WHEN contains(input, '_paddle') THEN 'paddle' ELSE 'marker' END")
 _add("p_mask", _strings(["<< /ImageMask true >>", "<< /ImageMask false >>"]), lambda x: x.contains("/ImageMask true"), "contains(input, '/ImageMask true')")
 _add("p_ext", _with(["a.JPG", "b.tiff", "c"], lambda s, d: table(s, d, "figures").select(F.col("filename").alias("x")).filter("x is not null"), "SELECT filename AS x FROM figures WHERE filename IS NOT NULL"), lambda x: F.when(F.lower(F.regexp_extract(x, r"\.([A-Za-z0-9]+)$", 1)).isin("png", "jpg", "jpeg"), "kept").otherwise("png"), "CASE WHEN lower(regexp_extract(input, '\\.([A-Za-z0-9]+)$', 1)) IN ('png', 'jpg', 'jpeg') THEN 'kept' ELSE 'png' END")
 
