@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from scriptorium.functions import scalars as S
 from scriptorium.functions import vocab as V
 from scriptorium.operators import documents as D
+from scriptorium.operators.lineage import shared_folder
 from scriptorium.plans.base import PAGED, Query, lines, paged, sql_values, table, values
 from scriptorium.plans.documents import DROPPED, KEPT, TAXA, corrupt, decorated
 from scriptorium.sources import engines, files, sinks
@@ -34,10 +35,9 @@ _q("t_session", lambda s, d: sessions.folded(table(s, d, "nav_events")),
 def _streamed(s: SparkSession, d: str) -> DataFrame:
     """The stream form of the fold over the whole table, run to its end into a table in the shared checkpoint folder."""
     import os
-    import tempfile
     import uuid
 
-    shared = s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.gettempdir()
+    shared = shared_folder(s, "scriptorium-runs")
     place = os.path.join(shared, f"t_session_{uuid.uuid4().hex}")
     events = table(s, d, "nav_events").select("event_id", "session_key", "ord", "nav_action", "key_id").filter("session_key is not null")
     stream = s.readStream.schema(events.schema).option("maxFilesPerTrigger", 64).parquet(f"{d}/nav_events.parquet").select(*events.columns) if os.path.isdir(f"{d}/nav_events.parquet") else s.readStream.schema(events.schema).option("pathGlobFilter", "nav_events.parquet").parquet(d).select(*events.columns)
@@ -179,10 +179,9 @@ _q("f_dryrun", lambda s, d: paged(s, d).groupBy("engine").agg(F.count("*").alias
 def _cached(s: SparkSession, d: str) -> DataFrame:
     """Raw results written to the shared folder and read again, as a run from the cache does."""
     import os
-    import tempfile
     import uuid
 
-    shared = s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.gettempdir()
+    shared = shared_folder(s, "scriptorium-runs")
     place = os.path.join(shared, f"cache_{uuid.uuid4().hex}")
     sinks.write_cache(table(s, d, "documents_md").select("doc_id", "engine", F.md5("text").alias("digest")), place)
     return s.read.parquet(place)

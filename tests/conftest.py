@@ -36,3 +36,14 @@ def data():
     if not DATA.exists():
         pytest.skip("no test tables")
     return str(DATA)
+
+
+@pytest.fixture(scope="session")
+def duck(data):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for f in os.listdir(data):
+        con.execute(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{data}/{f}'")
+    return con
