@@ -39,14 +39,16 @@ def paged(lines: DataFrame) -> DataFrame:
 def paged_lines(docs: DataFrame, *keep: str) -> DataFrame:
     """The lines of documents with their page, without a shuffle: (keep columns, line_no, line, page).
 
-    The markers of a text are found once in its row and carried past the split;
-    a line's page is that of the last marker up to it.
+    A text is parted at its markers in its own row, page by page, and each page
+    into its lines; a line's page is that of the last marker up to it.
     """
-    ls = F.split("text", "\n")
-    found = F.filter(F.transform(ls, lambda x, i: F.struct(i.alias("i"), S.page_number(x).alias("p"))), lambda m: m["p"].isNotNull())
-    split = docs.filter("text is not null").select(*keep, ls.alias("ls_"), found.alias("marks_")).select(*keep, "marks_", F.posexplode("ls_").alias("pos_", "line"))
-    upto = F.filter("marks_", lambda m: m["i"] <= F.col("pos_"))
-    return split.select(*keep, (F.col("pos_") + 1).alias("line_no"), "line", F.coalesce(F.try_element_at(upto, F.lit(-1))["p"], F.lit(0)).alias("page"))
+    ls = docs.filter("text is not null").select(*keep, F.split("text", "\n").alias("ls_"))
+    marks = F.filter(F.transform("ls_", lambda x, i: F.struct(i.alias("at"), S.page_number(x).alias("page"))), lambda m: m["page"].isNotNull())
+    begins = ls.withColumn("marks_", F.concat(F.array(F.struct(F.lit(0).alias("at"), F.lit(0).alias("page"))), marks))
+    ends = F.concat(F.transform(F.slice("marks_", 2, F.size("marks_")), lambda m: m["at"]), F.array(F.size("ls_")))
+    parts = F.zip_with("marks_", ends, lambda m, end: F.struct(m["at"].alias("at"), m["page"].alias("page"), F.slice("ls_", m["at"] + 1, end - m["at"]).alias("ls")))
+    pages = begins.select(*keep, F.explode(parts).alias("p_"))
+    return pages.select(*keep, F.col("p_.at").alias("at_"), F.col("p_.page").alias("page"), F.posexplode("p_.ls").alias("pos_", "line")).select(*keep, (F.col("at_") + F.col("pos_") + 1).alias("line_no"), "line", "page")
 
 
 def segments(lines: DataFrame) -> DataFrame:

@@ -125,6 +125,7 @@ def figure_blocks(docs: DataFrame) -> DataFrame:
     return blocks.filter(path != "").select("doc_id", "block_no", path.alias("path"), cap.alias("caption"), F.upper(F.nullif(F.regexp_extract(cap, V.PLATE, 1), F.lit(""))).alias("plate"), F.array_distinct(named).alias("species"))
 
 
+# Fixed value: how a text names a plate.
 PLATE_REF = r"(?i)(?:^#{1,6}\s+[0-9]+\.\s+)?([A-Z][a-z]+)\s+([A-Za-z][a-z]{2,})[^()\n]*\(PL\.?\s*([IVXLC]+)\)"
 
 

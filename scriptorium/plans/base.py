@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scriptorium.operators.documents import paged_lines
+from scriptorium.operators.lineage import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,16 +43,19 @@ def sql_values(schema: str, rows: Sequence[tuple]) -> str:
     return f"(SELECT {cols} FROM (VALUES " + ", ".join("(" + ", ".join(map(lit, r)) + ")" for r in rows) + f") AS v({', '.join(n for n, _ in fields)}))"
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extracts, dealt out by document where they come in few files; windows by document need no further shuffle then."""
+    return spread(table(spark, sf_dir, "documents_md").select("doc_id", "volume", "family", "engine", "text"), "doc_id")
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of the extracts: doc_id, volume, family, engine, line_no (from 1), line."""
-    docs = table(spark, sf_dir, "documents_md")
-    return docs.select("doc_id", F.trim("volume").alias("volume"), "family", "engine", F.posexplode(F.split("text", "\n")).alias("p", "line")).select("doc_id", "volume", "family", "engine", (F.col("p") + 1).alias("line_no"), "line")
+    return _texts(spark, sf_dir).select("doc_id", F.trim("volume").alias("volume"), "family", "engine", F.posexplode(F.split("text", "\n")).alias("p", "line")).select("doc_id", "volume", "family", "engine", (F.col("p") + 1).alias("line_no"), "line")
 
 
 def paged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same lines with the page they stand on."""
-    docs = table(spark, sf_dir, "documents_md").withColumn("volume", F.trim("volume"))
-    return paged_lines(docs, "doc_id", "volume", "family", "engine")
+    return paged_lines(_texts(spark, sf_dir).withColumn("volume", F.trim("volume")), "doc_id", "volume", "family", "engine")
 
 
 #: The same lines in SQL.
