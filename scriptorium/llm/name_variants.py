@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scriptorium.operators.lineage import cut
+from scriptorium.operators.lineage import WAVES, cut
 
 #: Letters from which a pair of near tokens stands for itself; a shorter pair needs one of at most this share of the other's copies.
 LONG, RARE_SHORT = 5, 0.2
@@ -116,7 +116,7 @@ def near_tokens(tokens: DataFrame, long_from: int = 10, short_from: int = 3) ->
                     rows.append((a, b, d))
             yield pd.DataFrame(rows, columns=["a", "b", "dist"])
 
-    parts = max(tokens.sparkSession.sparkContext.defaultParallelism, int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = WAVES * tokens.sparkSession.sparkContext.defaultParallelism
     # dealt out before they are multiplied, so that no task gets the index of all
     keys = tokens.select("token").filter("token is not null").repartition(parts, "token").distinct().mapInPandas(index, "k string, token string")
     pairs = keys.alias("x").join(keys.alias("y"), F.expr("x.k = y.k and x.token < y.token")).select(F.col("x.token").alias("a"), F.col("y.token").alias("b")).distinct()
