@@ -95,7 +95,7 @@ for _n in ("p_figref",):
     QUERIES[_n] = (lambda q: lambda s, d: q(s, d).select(F.md5("input").alias("input"), "output"))(QUERIES[_n])
     SQL[_n] = SQL[_n].replace("SELECT input,", "SELECT md5(input) AS input,", 1)
 _add("p_mixed", _with(["BiBliographie du GaBon", "ABCd normal Words", "McDonald LeTestui x", "aBCD EsPèce"], *every_line), S.mixed_case,
-     "array_to_string(list_transform(string_split(input, ' '), lambda t: CASE WHEN regexp_matches(t, '^[A-Z][a-z]+[A-Z][A-Za-z]{2,}$') THEN concat(t[1], lower(t[2:])) ELSE t END), ' ')")
+     "array_to_string(list_transform(regexp_extract_all(input, '[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_]+'), lambda t: CASE WHEN regexp_matches(t, '^[A-Z][a-z]+[A-Z][A-Za-z]{2,}$') THEN concat(t[1], lower(t[2:])) ELSE t END), '')")
 _add("p_caption", _with(["![](figures/fig_1.png)\n*Caption:* PL. I. — Eugenia x\n", "*Caption:* (no caption)", "nothing", "*Caption:*   spaced  "], *captions), S.caption_of,
      "CASE WHEN contains(trim(regexp_extract(input, '\\*Caption:\\*\\s*(.+)', 1)), '(no caption') THEN '' ELSE trim(regexp_extract(input, '\\*Caption:\\*\\s*(.+)', 1)) END")
 _add("p_figname_key", _with(["3. Eugenia whytei", "IV. Syzygium gillettii.", "Eugenia", "2'. Psidium Guajava."], *names), S.figure_epithet,
