@@ -10,9 +10,8 @@ is shuffled.
 
 Which objects are maps is not given but learned, by the name under which they
 stand: their members are objects that look alike, or are many under ever other
-names.  It is learned on LEARN_RECORDS records chosen by a hash of their id; a
-name that is not among them is judged as a struct, so that nothing is lost but
-that its members are fields.  All records are read in full.
+names.  It is learned on all records, in a pass of its own whose counts are added
+up and judged by name; only names of containers reach the driver.
 
 A record is held by one task until its end, for a cut-off one must give nothing.
 Null, blank or malformed records give no rows, nor do null entries; strings that
@@ -24,7 +23,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -32,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Records on which the maps are learned.
-LEARN_RECORDS = 1000
+#: Different members counted in a task before they are given out.
+COUNTED = 400_000
 #: An object is a map if so large a share of its members hold the commonest field of all, or if no member stands in so large a share of its instances.
 ALIKE, RECURRING = 0.8, 0.5
 
@@ -191,75 +190,162 @@ def grouped(rec: int, text: str | None, maps: frozenset[str], containers: frozen
 # --- which names hold maps ---------------------------------------------------
 
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(name, kind, member, n) of the objects of some records, by the name under which they stand."""
-    seen: Counter = Counter()
+class _Members(list):
+    """An object with all its members, those of one name too."""
+
+    __slots__ = ()
+
+
+class _Seen:
+    """What is counted of the objects that stand under one name."""
 
-    def members(name: str, pairs: list[tuple]) -> None:
-        seen[name, "instance", ""] += 1
+    __slots__ = ("instances", "objects", "others", "arrays", "members", "fields")
+
+    def __init__(self) -> None:
+        self.instances = self.objects = self.others = self.arrays = 0
+        self.members: dict[str, int] = {}
+        self.fields: dict[str, int] = {}
+
+    def add(self, pairs: _Members) -> int:
+        """Count an object; gives how many members and fields were not there before."""
+        self.instances += 1
+        members, fields = self.members, self.fields
+        before = len(members) + len(fields)
         for k, v in pairs:
-            seen[name, "member", k] += 1
-            if isinstance(v, _Members):
-                seen[name, "object", ""] += 1
-                seen.update((name, "field", f) for f, _ in v.pairs)
+            members[k] = members.get(k, 0) + 1
+            if v.__class__ is _Members:
+                self.objects += 1
+                for f, _ in v:
+                    fields[f] = fields.get(f, 0) + 1
             elif v is not None:
-                seen[name, "other", ""] += 1
+                self.others += 1
+        return len(members) + len(fields) - before
+
+    def rows(self, name: str) -> list[tuple]:
+        single = (("instance", self.instances), ("object", self.objects), ("other", self.others), ("array", self.arrays))
+        return [(name, k, "", n) for k, n in single if n] + [(name, "member", k, n) for k, n in self.members.items()] + [(name, "field", k, n) for k, n in self.fields.items()]
+
+
+def _no_constant(token: str) -> None:
+    raise ValueError(token)
+
+
+_decode = json.JSONDecoder(object_pairs_hook=_Members, parse_constant=_no_constant).decode
+
+
+def parsed(text: str) -> object:
+    """The value of a JSON text; None if it is none."""
+    try:
+        return _decode(text)
+    except ValueError:
+        return None
+    except RecursionError:
+        return _deep(text)
+
+
+def _deep(text: str) -> list | None:
+    """As parsed, for a text nested too deep for a parser that calls itself; numbers stay text."""
+    m = OPEN.match(text)
+    if not m:
+        return None
+    whole = here = _Members() if m.group(1) == "{" else []
+    stack: list[list] = []
+    at, opened, n = m.end(), True, len(text)
+    while True:
+        closer = "}" if here.__class__ is _Members else "]"
+        if opened and text[at : at + 1] == closer:
+            after, at = closer, at + 1
+        else:
+            m = (MEMBER if closer == "}" else ELEMENT).match(text, at)
+            if not m:
+                return None
+            *field, opened, scalar, after = m.groups()
+            at = m.end()
+            value = (_Members() if opened == "{" else []) if opened else None if scalar == "null" else unquote(scalar) if scalar[0] == '"' else scalar
+            here.append((unquote(field[0]), value) if field else value)
+            if opened:
+                stack.append(here)
+                here = value
+                continue
+        while after != ",":
+            if after != ("}" if here.__class__ is _Members else "]"):
+                return None
+            if not stack:
+                return whole if not text[at:].strip(" \t\n\r") else None
+            here = stack.pop()
+            while at < n and text[at] in " \t\n\r":
+                at += 1
+            after = text[at : at + 1]
+            at += 1
+        opened = None
+        while at < n and text[at] in " \t\n\r":
+            at += 1
+
 
-    def look(value: object, name: str) -> None:
-        stack = [(value, name)]
+def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(name, kind, member, n) of the objects of records, by the name under which they stand."""
+    seen: dict[str, _Seen] = defaultdict(_Seen)
+
+    def look(value: object) -> int:
+        """Count a record; gives how many members and fields were not there before."""
+        fresh, stack = 0, [(value, "")]
         while stack:
             value, name = stack.pop()
-            if isinstance(value, str) and value.lstrip()[:1] in ("{", "["):
-                try:
-                    value = json.loads(value, object_pairs_hook=_Members)
-                except (ValueError, RecursionError):
-                    continue
-            if isinstance(value, _Members):
-                members(name, value.pairs)
-                for k, v in value.pairs:
-                    if isinstance(v, _Members):
-                        members(f"{name}/*", v.pairs)  # as what the entries of a map count, should this be one
-                    stack.append((v, k))
-            elif isinstance(value, list):
-                seen[name, "array", ""] += 1
-                stack += [(v, f"{name}/[]") for v in value if isinstance(v, (_Members, list))]
-
+            if value.__class__ is str:
+                value = parsed(value)
+            if value.__class__ is _Members:
+                fresh += seen[name].add(value)
+                entry = f"{name}/*"
+                for k, v in value:
+                    if v.__class__ is _Members:
+                        fresh += seen[entry].add(v)  # as what the entries of a map count, should this be one
+                        stack.append((v, k))
+                    elif v.__class__ is list or v.__class__ is str and v.lstrip()[:1] in ("{", "["):
+                        stack.append((v, k))
+            elif value.__class__ is list:
+                if "/" not in name:
+                    seen[name].arrays += 1
+                stack += [(v, f"{name}/[]") for v in value if isinstance(v, list)]
+        return fresh
+
+    def out() -> pd.DataFrame:
+        rows = [r for name, s in seen.items() for r in s.rows(name)]
+        seen.clear()
+        return pd.DataFrame([(_whole(name), kind, _whole(k), n) for name, kind, k, n in rows], columns=["name", "kind", "member", "n"])
+
+    fresh = 0
     for pdf in batches:
         for text in pdf["doc"]:
-            try:
-                whole = json.loads(text, object_pairs_hook=_Members)
-            except (ValueError, RecursionError):
-                continue
-            look(whole, "")
-    yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["name", "kind", "member", "n"])
-
+            fresh += look(parsed(text))
+            if fresh > COUNTED:
+                yield out()
+                fresh = 0
+    yield out()
 
-class _Members:
-    """An object with all its members, those of one name too."""
 
-    def __init__(self, pairs: list[tuple]) -> None:
-        self.pairs = pairs
+def _whole(text: str) -> str:
+    """A name as unquote gives it."""
+    return text if text.isascii() else text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
 
 
-def learned(records: DataFrame, id_col: str, json_col: str, learn_records: int = LEARN_RECORDS) -> tuple[frozenset[str], frozenset[str]]:
-    """(names of maps, names of containers), learned on so many records."""
-    some = records.filter(F.col(id_col).isNotNull() & F.col(json_col).isNotNull()).select(F.col(json_col).alias("doc"), F.xxhash64(id_col).alias("h")).orderBy("h", "doc").limit(learn_records).select("doc")
-    counts: dict[str, dict[str, Counter]] = defaultdict(lambda: defaultdict(Counter))
-    for r in some.mapInPandas(_count, "name string, kind string, member string, n long").collect():  # the names of learn_records records
-        counts[r.name][r.kind][r.member] += r.n
-    maps = {k for k, c in counts.items() if is_map(c)}
-    return frozenset(k for k in maps if not k.endswith("/*") or k[:-2] in maps), frozenset(k for k in counts if "/" not in k)
+def learned(records: DataFrame, id_col: str, json_col: str) -> tuple[frozenset[str], frozenset[str]]:
+    """(names of maps, names of containers), learned on all records."""
+    whole = records.filter(F.col(id_col).isNotNull() & F.col(json_col).isNotNull()).select(F.col(json_col).alias("doc"))
+    counts = whole.mapInPandas(_count, "name string, kind string, member string, n long").groupBy("name", "kind", "member").agg(F.sum("n").alias("n"))
+    of = lambda kind: F.when(F.col("kind") == kind, F.col("n"))
+    single = [F.coalesce(F.sum(of(k)), F.lit(0)).alias(k) for k in ("instance", "object", "other")]
+    judged = counts.groupBy("name").agg(*single, F.count(of("member")).alias("members"), F.coalesce(F.max(of("member")), F.lit(0)).alias("most"), F.coalesce(F.max(of("field")), F.lit(0)).alias("alike"))
+    told = judged.select("name", is_map().alias("map")).filter(F.col("map") | ~F.contains("name", F.lit("/"))).collect()  # the names of containers
+    maps = {r.name for r in told if r.map}
+    return frozenset(k for k in maps if not k.endswith("/*") or k[:-2] in maps), frozenset(r.name for r in told if "/" not in r.name)
 
 
-def is_map(counts: dict[str, Counter]) -> bool:
+def is_map() -> Column:
     """Whether objects of these counts are maps: see ALIKE, RECURRING."""
-    instances, objects, others = counts["instance"][""], counts["object"][""], counts["other"][""]
-    members = counts["member"]
-    if not members or not instances:
-        return False
-    if objects and not others:
-        return len(members) > 1 and max(counts["field"].values(), default=0) >= ALIKE * objects
-    return instances > 1 and not objects and len(members) > 1 and max(members.values()) < RECURRING * instances
+    several = (F.col("instance") > 0) & (F.col("members") > 1)
+    alike = (F.col("object") > 0) & (F.col("other") == 0)
+    changing = (F.col("instance") > 1) & (F.col("object") == 0) & (F.col("most") < RECURRING * F.col("instance"))
+    return several & F.when(alike, F.col("alike") >= ALIKE * F.col("object")).otherwise(changing)
 
 
 # --- tables ------------------------------------------------------------------

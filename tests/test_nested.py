@@ -155,3 +155,19 @@ def test_reads_what_a_parser_reads():
 
         if want and rng.random() < 1 and "crew" not in text:
             assert sum(len(r[4]) for r in groups.rows) == leaves(json.loads(text))
+
+
+def test_maps_are_learned_on_all_records(spark):
+    rng = random.Random(4)
+    docs = [json.dumps({"no": i, "ship": {"name": f"s{i}"}}) for i in range(3000)] + [json.dumps({"no": i, "rare": {f"k{rng.randint(0, 10**6)}": {"at": i, "n": 1} for _ in range(3)}}) for i in range(2)]
+    df = spark.createDataFrame([(i, d, "", "", "") for i, d in enumerate(docs)], SCHEMA)
+    maps, containers = nested.learned(df, "dataset_id", "payload")
+    assert maps == {"rare"} and {"ship", "rare"} <= containers
+    assert nested.flatten(df, "dataset_id", "payload").filter("tab = 'rare'").count() == 6
+
+
+def test_maps_are_learned_on_records_too_deep_for_a_parser_that_calls_itself(spark):
+    deep = '{"no": 1, "deep": ' + '{"a": ' * 60_000 + "1" + "}" * 60_000 + ', "crew": {"p1": {"age": 1}, "p2": {"age": 2}}}'
+    df = spark.createDataFrame([(1, deep, "", "", ""), (2, '{"b": {"\\ud800": 1, "c": [NaN]}}', "", "", ""), (3, '{"\\ud800": {}}', "", "", "")], SCHEMA)
+    maps, containers = nested.learned(df, "dataset_id", "payload")
+    assert maps == {"crew"} and "b" not in containers
