@@ -35,7 +35,7 @@ from scriptorium.operators.lineage import cut
 SHARD_CONTAINERS, REPACK = 3000, 0.985
 #: A container takes a document for each so many tokens of its capacity, and an attention cost of this share of the square of its capacity.
 DOC_TOKENS, COST_SHARE = 64, 0.98
-#: Containers that are scored for an item, from the tightest in tokens on.
+#: Containers that are scored for an item one by one, from the tightest in tokens on; if the best may still be behind them, all are scored together.
 LOOK = 16
 #: Weights of tokens, documents and attention cost in the dot product.
 WEIGHTS = np.array([1.0, 0.02, 0.1])
@@ -49,14 +49,16 @@ def tokens(text: str) -> Column:
 def best_fit(sizes: np.ndarray, capacity: int, max_docs: int | None = None, max_cost: float | None = None) -> np.ndarray:
     """The container number of each item, all sizes at most the capacity.
 
-    Items come in falling order of size.  Open containers are kept by residual
-    tokens; of the LOOK tightest that fit in every constraint, the one with the
-    least weighted dot product of item and residual takes the item, ties going
-    to the least norm of what is left.  A container whose residual cost is too
-    low for the items now coming is laid aside until they are small enough, and
-    one that can take no item at all is closed, so no search passes over it
-    twice: an item takes a logarithmic search and at most LOOK scores.  An item
-    whose own cost exceeds the limit gets a container for itself.
+    Items come in falling order of size.  Of all open containers that fit in
+    every constraint, the one with the least weighted dot product of item and
+    residual takes the item, ties going to the least norm of what is left, then
+    to the tightest.  They are kept by residual tokens and scored from the
+    tightest on until the least that any behind could score is more than the
+    best; where LOOK scores do not settle it, one pass over arrays scores all.
+    A container whose residual cost is too low for the items now coming is laid
+    aside until they are small enough, and one that can take no item at all is
+    closed, so that no search passes over it twice.  An item whose own cost
+    exceeds the limit gets a container for itself.
     """
     max_cost = float(capacity) ** 2 if max_cost is None else float(max_cost)
     max_docs = max(1, capacity // DOC_TOKENS) if max_docs is None else max_docs
@@ -67,6 +69,20 @@ def best_fit(sizes: np.ndarray, capacity: int, max_docs: int | None = None, max_
     residual: list[tuple[int, int, float]] = []  # tokens, documents, cost
     open_: list[tuple[int, int]] = []  # (residual tokens, container), ascending
     aside: list[tuple[float, int]] = []  # (-residual cost, container), a heap
+    # residuals once more, by container; those of closed ones are -1
+    all_tokens, all_docs, all_costs = (np.full(len(sizes), -1.0) for _ in range(3))
+
+    def best_of_all(size: int, cost: float) -> int:
+        """The place in open_ of the best container for an item that fits into one."""
+        n = len(residual)
+        at = np.flatnonzero((all_tokens[:n] >= size) & (all_costs[:n] >= cost))
+        dots = w_tokens * size * all_tokens[at] + (w_docs * all_docs[at] + w_cost * cost * all_costs[at])
+        at = at[dots == dots.min()]
+        x, y, z = (all_tokens[at] - size) / capacity, (all_docs[at] - 1) / max_docs, (all_costs[at] - cost) / max_cost
+        norms = x * x + y * y + z * z
+        at = at[norms == norms.min()]
+        b = int(at[all_tokens[at].argmin()])
+        return bisect_left(open_, (residual[b][0], b))
 
     for k, size in zip(order.tolist(), sizes[order].tolist()):
         cost = float(size) ** 2
@@ -74,7 +90,8 @@ def best_fit(sizes: np.ndarray, capacity: int, max_docs: int | None = None, max_
             b = heappop(aside)[1]
             insort(open_, (residual[b][0], b))
         i, best, score, looked = bisect_left(open_, (size, -1)), None, None, 0
-        while i < len(open_) and looked < LOOK:
+        further = w_docs + w_cost * cost * cost  # what documents and cost add at least
+        while i < len(open_):
             b = open_[i][1]
             tokens_, docs_, cost_ = residual[b]
             if cost_ < cost:
@@ -82,10 +99,14 @@ def best_fit(sizes: np.ndarray, capacity: int, max_docs: int | None = None, max_
                 heappush(aside, (-cost_, b))
                 continue
             dot = w_tokens * size * tokens_
-            if score is not None and dot > score[0]:
+            if score is not None and dot + further > score[0]:
+                break
+            if looked == LOOK:
+                best = best_of_all(size, cost)
                 break
             dot += w_docs * docs_ + w_cost * cost * cost_
-            norm = ((tokens_ - size) / capacity) ** 2 + ((docs_ - 1) / max_docs) ** 2 + ((cost_ - cost) / max_cost) ** 2
+            x, y, z = (tokens_ - size) / capacity, (docs_ - 1) / max_docs, (cost_ - cost) / max_cost
+            norm = x * x + y * y + z * z
             if score is None or (dot, norm) < score:
                 score, best = (dot, norm), i
             i, looked = i + 1, looked + 1
@@ -99,6 +120,9 @@ def best_fit(sizes: np.ndarray, capacity: int, max_docs: int | None = None, max_
         out[k] = b
         if left[0] >= least and left[1] >= 1 and left[2] >= float(least) ** 2:
             insort(open_, (left[0], b))
+            all_tokens[b], all_docs[b], all_costs[b] = left
+        else:
+            all_tokens[b] = -1.0
     return out
 
 

@@ -120,3 +120,30 @@ def test_the_edge_of_a_mix_is_refined(spark):
     got = [r.doc_id for r in M.cut_off(timed, 3005, 100.0, edge_rows=20).collect()]
     assert got == list(range(301)) or got == list(range(300))
     assert M.cut_off(timed, 10**9, 100.0).count() == 550
+
+
+def plain_best_fit(sizes, capacity, max_docs, max_cost):
+    """Best-fit that scores every container for every item."""
+    w, out, left = P.WEIGHTS / np.array([capacity, max_docs, max_cost]) ** 2, {}, []
+    for k in np.argsort(-sizes, kind="stable").tolist():
+        s, c = int(sizes[k]), float(sizes[k]) ** 2
+        fits = []
+        for b, (t, d, q) in enumerate(left):
+            if t >= s and d >= 1 and q >= c:
+                x, y, z = (t - s) / capacity, (d - 1) / max_docs, (q - c) / max_cost
+                fits.append((float(w[0]) * s * t + (float(w[1]) * d + float(w[2]) * c * q), x * x + y * y + z * z, t, b))
+        if not fits:
+            left.append((capacity, max_docs, max_cost))
+        b = out[k] = min(fits)[3] if fits else len(left) - 1
+        t, d, q = left[b]
+        left[b] = (t - s, d - 1, q - c)
+    return [out[k] for k in range(len(sizes))]
+
+
+def test_best_fit_scores_every_container():
+    rng = np.random.default_rng(6)
+    for capacity, n, top, max_docs, share in ((1000, 900, 300, 5, 0.98), (1000, 900, 30, 20, 0.98), (4096, 1500, 2500, 64, 0.4), (600, 700, 600, 3, 0.5), (100, 1200, 4, 40, 0.98)):
+        sizes = rng.integers(1, top, n)
+        sizes[rng.random(n) < 0.5] = rng.integers(1, max(2, top // 8))
+        want = plain_best_fit(sizes, capacity, max_docs, share * capacity**2)
+        assert P.best_fit(sizes, capacity, max_docs, share * capacity**2).tolist() == want
