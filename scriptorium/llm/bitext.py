@@ -13,7 +13,9 @@ than COMMON pairs speaks in the gaps only, which are scored anew by themselves.
 
 Two passes.  The first links by anchors alone and counts which words are left
 over in linked clauses together; from these counts a lexicon is trained.  The
-second links by anchors and lexicon.  A document pair is read by one task.  The
+second links by anchors and lexicon.  All clauses left over in one gap, or in
+linked lines, are counted together, however many; the more pairs they make, the
+less each counts.  A document pair is read by one task.  The
 lexicon is broadcast while it has at most LEXICON_ROWS entries; a larger one is
 joined with the words of each document pair, with the same result.  The shares
 of frequent words are broadcast; a word below FREQUENT of all words has the
@@ -49,8 +51,10 @@ RARE, FREQUENT = 2.2, 6e-6
 IN_GAP, MOVED, ANCHOR, SECOND = 0.30, 0.42, 0.50, 0.62
 #: The same before a lexicon is trained, and the least score of a link that it is trained on; score of a pair that shares a word found once on either side.
 FIRST_IN_GAP, FIRST_MOVED, FIRST_ANCHOR, FIRM, UNIQUE = 0.25, 0.30, 0.22, 0.16, 0.32
-#: Pairs of clauses that one word may make outside a gap; pairs of clauses without link that may be counted together in training.
+#: Pairs of clauses that one word may make outside a gap; pairs of clauses without link up to which they count in full in training, beyond that as so large a share of their pairs.
 COMMON, NEAR = 400, 9
+#: Parts of one count in training; pairs of words of clauses without link up to which a task counts them itself.
+UNIT, BAG_PAIRS = 1_000_000_000, 100_000
 
 # Number words of both languages.
 NUMBER_WORDS = {
@@ -329,7 +333,7 @@ def lines_of(fr: list[Clause], en: list[Clause], links: list[tuple[int, int]], m
 
 
 def left_over(fr: list[Clause], en: list[Clause], links: list[tuple[int, int]]) -> list[tuple[list[int], list[int]]]:
-    """Clauses without a link that probably render one another, for training: all of a pair if they are few, else those of a gap or of linked lines."""
+    """Clauses without a link that probably render one another, for training: all of a pair if they are few, else those of each gap and of linked lines, however many."""
     li, lj = {i for i, _ in links}, {j for _, j in links}
     free_i, free_j = [i for i in range(len(fr)) if i not in li], [j for j in range(len(en)) if j not in lj]
     if len(free_i) * len(free_j) <= NEAR:
@@ -346,13 +350,17 @@ def left_over(fr: list[Clause], en: list[Clause], links: list[tuple[int, int]])
     for j in free_j:
         by_e[en[j][0]].append(j)
     bags = [*places.values(), *((by_f[f], by_e[e]) for f, e in lines if f in by_f and e in by_e)]
-    return [(i, j) for i, j in bags if i and j and len(i) * len(j) <= NEAR]
+    return [(i, j) for i, j in bags if i and j]
 
 
-def count_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(kind, f, e, n): w words of either language; of the clauses linked by anchors, F and E the words that nothing explains, p their pairs."""
+def count_batches(batches: Iterator[pd.DataFrame], bag_pairs: int = BAG_PAIRS) -> Iterator[pd.DataFrame]:
+    """(kind, f, e, n): w words of either language; of the clauses linked by anchors or left over, F and E the words that nothing explains, p their pairs, in parts of UNIT.
+
+    The pairs of clauses whose words make more than bag_pairs are not counted here: B has the words of either side.
+    """
     scorer = Scorer()
     seen: dict[str, Counter] = {k: Counter() for k in "wFEp"}
+    parts: dict[str, Counter] = {k: Counter() for k in "FEpB"}
     for pdf in batches:
         for text, text_en in zip(pdf["text"], pdf["text_en"]):
             fr, en = clauses(text), clauses(text_en)
@@ -375,31 +383,60 @@ def count_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     else:
                         f.append(w)
                 e = [v for v in vs if v not in shown]
-                seen["F"].update(f)
-                seen["E"].update(e)
-                if f and e:
+                n = len(at_f) * len(at_e)
+                here = len(f) * len(e) <= bag_pairs
+                if n <= NEAR and here:
+                    seen["F"].update(f)
+                    seen["E"].update(e)
                     seen["p"].update((x, y) for x in f for y in e)
-        if sum(map(len, seen.values())) > 500_000:
-            yield from _frames(seen)
-    yield from _frames(seen)
+                else:
+                    part = max(1, UNIT * NEAR // max(n, NEAR))
+                    for x in f:
+                        parts["F"][x] += part
+                    for y in e:
+                        parts["E"][y] += part
+                    if here:
+                        for key in ((x, y) for x in f for y in e):
+                            parts["p"][key] += part
+                    else:
+                        parts["B"]["\n".join(f), "\n".join(e)] += part
+                if sum(map(len, seen.values())) + sum(map(len, parts.values())) > 500_000:
+                    yield from _frames(seen, UNIT)
+                    yield from _frames(parts, 1)
+    yield from _frames(seen, UNIT)
+    yield from _frames(parts, 1)
 
 
-def _frames(seen: dict[str, Counter]) -> Iterator[pd.DataFrame]:
+def _frames(seen: dict[str, Counter], unit: int) -> Iterator[pd.DataFrame]:
     for kind, counts in seen.items():
         if not counts:
             continue
         keys = list(counts)
-        pairs = kind == "p"
-        yield pd.DataFrame({"kind": kind, "f": [k[0] for k in keys] if pairs else keys, "e": [k[1] for k in keys] if pairs else "", "n": list(counts.values())})
+        pairs = kind in "pB"
+        times = 1 if kind == "w" else unit
+        yield pd.DataFrame({"kind": kind, "f": [k[0] for k in keys] if pairs else keys, "e": [k[1] for k in keys] if pairs else "", "n": [n * times for n in counts.values()]})
         counts.clear()
 
 
-def train(pairs: DataFrame) -> tuple[DataFrame, dict[str, float]]:
+def train(pairs: DataFrame, bag_pairs: int = BAG_PAIRS) -> tuple[DataFrame, dict[str, float]]:
     """The lexicon (f, e, score) of all document pairs as linked by anchors, and the shares of frequent words."""
-    counts = cut(pairs.select("text", "text_en").mapInPandas(count_batches, "kind string, f string, e string, n long").groupBy("kind", "f", "e").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_COUNT))
-    nf = counts.filter("kind = 'F'").select("f", F.col("n").alias("nf"))
-    ne = counts.filter("kind = 'E'").select(F.col("f").alias("e"), F.col("n").alias("ne"))
-    both = counts.filter("kind = 'p'").select("f", "e", "n").join(nf, "f").join(ne, "e")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from count_batches(batches, bag_pairs)
+
+    every = pairs.select("text", "text_en").mapInPandas(run, "kind string, f string, e string, n long").groupBy("kind", "f", "e").agg(F.sum("n").alias("n"))
+    counts = cut(every.filter(F.col("n") >= F.when(F.col("kind") == "w", MIN_COUNT).when(F.col("kind") == "B", 1).otherwise(MIN_COUNT * UNIT)))
+    nf = counts.filter("kind = 'F'").select("f", (F.col("n") / UNIT).alias("nf"))
+    ne = counts.filter("kind = 'E'").select(F.col("f").alias("e"), (F.col("n") / UNIT).alias("ne"))
+    both = counts.filter("kind = 'p'").select("f", "e", "n")
+    bags = counts.filter("kind = 'B'").select(F.monotonically_increasing_id().alias("bag"), "f", "e", "n")
+    if not bags.isEmpty():
+        # a pair counts no more often than either of its words, so words that do not count often enough make none
+        fs = bags.select("bag", "n", F.explode(F.split("f", "\n")).alias("f")).join(nf.select("f"), "f")
+        es = bags.select("bag", F.explode(F.split("e", "\n")).alias("e")).join(ne.select("e"), "e")
+        more = fs.join(es, "bag").groupBy("f", "e").agg(F.sum("n").alias("n"))
+        both = every.filter("kind = 'p'").select("f", "e", "n").unionByName(more.select("f", "e", "n")).groupBy("f", "e").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_COUNT * UNIT)
+    both = both.withColumn("n", F.col("n") / UNIT).join(nf, "f").join(ne, "e")
     dice = 2 * F.col("n") / (F.col("nf") + F.col("ne"))
     lexicon = both.filter((dice >= MIN_DICE) | (F.col("n") / F.least("nf", "ne") >= MIN_SHARE)).select("f", "e", F.when(dice >= 0.2, F.least(F.lit(1.0), 0.35 + dice)).otherwise(0.3).alias("score"))
     words = counts.filter("kind = 'w'")

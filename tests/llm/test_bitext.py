@@ -113,3 +113,20 @@ def test_very_long_pair_takes_no_square_time():
     began = time.perf_counter()
     links, m = B.align(fr, fr, B.Scorer())
     assert len(links) >= 0.99 * len(fr) and time.perf_counter() - began < 60
+
+
+def unlinked(n):
+    """Documents of four clauses that nothing ties together."""
+    return [(k, "\n".join(f"mul{x} tor{x}" for x in "abcd"), "\n".join(f"gek{x} fos{x}" for x in "abcd")) for k in range(n)]
+
+
+def test_clauses_left_over_are_all_trained_on(spark):
+    lexicon, _ = B.train(spark.createDataFrame(unlinked(12), "pair_id long, text string, text_en string"))
+    assert {(r.f, r.e) for r in lexicon.collect()} == {(f + x, e + y) for f in ("mul", "tor") for e in ("gek", "fos") for x in "abcd" for y in "abcd"}
+
+
+def test_words_of_large_gaps_are_counted_the_same_in_spark(spark):
+    rows = unlinked(12) + noisy(5, 20)[0] + corpus()
+    df = spark.createDataFrame(rows, "pair_id long, text string, text_en string")
+    want, got = (sorted(map(tuple, B.train(df, n)[0].collect())) for n in (B.BAG_PAIRS, 20))
+    assert want and got == want
