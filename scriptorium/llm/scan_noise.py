@@ -12,7 +12,8 @@ each record once more against those that stand MIN_COUNT times, however many
 records there are.  They are broadcast: in a group of forms of one skeleton only
 those count that are not rare beside the commonest, so more text adds names and
 pairs but hardly ordinary words.  If there are more than LEXICON_ROWS entries,
-the commonest so many are kept; rarer words are then no target of corrections.
+nothing is broadcast: each record is joined with the entries that it asks for,
+until it asks for none that it was not given, with the same result.
 
 Null, empty or blank texts give no rows.  A repeated record gives its rows once.
 """
@@ -20,9 +21,10 @@ Null, empty or blank texts give no rows.  A repeated record gives its rows once.
 from __future__ import annotations
 
 import itertools
+import json
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.operators.lineage import cut, spread
 
-#: Times that a word or pair, a masked page-edge line, and a word of such lines must be counted; entries that are broadcast.
+#: Times that a word or pair, a masked page-edge line, and a word of such lines must be counted; entries up to which they are broadcast.
 MIN_COUNT, MIN_LINES, MIN_HEAD_WORDS, LEXICON_ROWS = 4, 2, 3, 2_000_000
 #: Pages of one record at whose edge a line not in capitals must stand to be a running head.
 OWN_HEADS = 3
@@ -298,6 +300,22 @@ def statistics(records: DataFrame) -> DataFrame:
     return counts.groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
 
 
+def near_forms(word: str) -> Iterator[str]:
+    """What a word is without one character, or with one confusable glyph read otherwise."""
+    for i in range(len(word)):
+        yield word[:i] + word[i + 1 :]
+    for right, wrong in SWAPS:
+        at = word.find(wrong)
+        while at >= 0:
+            yield word[:at] + right + word[at + len(wrong) :]
+            at = word.find(wrong, at + 1)
+
+
+def is_plain(word: str) -> bool:
+    """Whether a word has the shape of an ordinary one."""
+    return word[0].islower() and all(ch.isalpha() or ch == "-" for ch in word)
+
+
 class Lexicon:
     """The frequent words by skeleton, the pairs that support them and the running heads."""
 
@@ -324,7 +342,7 @@ class Lexicon:
         self.ordinary = set()
         self.counts = self.all
         for w, n in self.all.items():
-            if not w[0].islower() or not all(ch.isalpha() or ch == "-" for ch in w) or self.is_name(w, n, named[w], total):
+            if not is_plain(w) or self.is_name(w, n, named[w], total):
                 continue
             groups.setdefault(skeleton(w), []).append(w)
         self.by_skeleton: dict[str, list[str]] = {}
@@ -375,16 +393,9 @@ class Lexicon:
 
     def near(self, word: str) -> Iterator[str]:
         """Ordinary words one foreign character or one confusable glyph away."""
-        for i in range(len(word)):
-            if word[:i] + word[i + 1 :] in self.ordinary:
-                yield word[:i] + word[i + 1 :]
-        for right, wrong in SWAPS:
-            at = word.find(wrong)
-            while at >= 0:
-                form = word[:at] + right + word[at + len(wrong) :]
-                if form in self.ordinary:
-                    yield form
-                at = word.find(wrong, at + 1)
+        for form in near_forms(word):
+            if form in self.ordinary:
+                yield form
 
     def known(self, word: str) -> bool:
         return word in self.ordinary or word.lower() in self.ordinary
@@ -459,6 +470,59 @@ class Lexicon:
         return fixed is not None or not (self.known(a) and self.known(b))
 
 
+class Part:
+    """What one of the tables of a lexicon holds for a record, by (kind, a, b); what is asked besides is noted in missing and taken for absent."""
+
+    def __init__(self, given: dict[tuple, dict | None], missing: list[tuple], kind: str, of: Callable[[dict], object]) -> None:
+        self.given, self.missing, self.kind, self.of = given, missing, kind, of
+
+    def get(self, key: str | tuple[str, str], absent: object = None) -> object:
+        at = (self.kind, *key) if isinstance(key, tuple) else (self.kind, key, "")
+        if at not in self.given:
+            self.missing.append(at)
+            return absent
+        entry = self.given[at]
+        return absent if entry is None else self.of(entry)
+
+    def __contains__(self, key: str | tuple[str, str]) -> bool:
+        return bool(self.get(key))
+
+    def __getitem__(self, key: str) -> object:
+        return self.get(key, 0)
+
+
+class Asked(Lexicon):
+    """The entries of a lexicon that were given to one record, and what it asks besides.
+
+    A record that asks for nothing besides is read as by the whole lexicon.
+    """
+
+    def __init__(self, given: dict[tuple, dict | None]) -> None:
+        self.given = given
+        self.missing: list[tuple] = []
+
+        def part(kind: str, of: Callable[[dict], object]) -> Part:
+            return Part(given, self.missing, kind, of)
+
+        self.all, self.ordinary, self.names = part("w", lambda x: x["n"]), part("w", lambda x: x["ordinary"]), part("w", lambda x: x["name"])
+        self.by_skeleton = part("s", lambda x: [f["w"] for f in sorted(x["forms"], key=lambda f: (-f["n"], f["w"]))])
+        self.pairs = part("b", lambda x: True)
+        self.heads = Heads(part("h", lambda x: True), part("k", lambda x: True))
+        self.cached, self.clean = {}, set()
+
+    def is_clean(self, frag: str) -> bool:
+        """As in a lexicon; a piece of which that is not known yet is let be, so that nothing is asked in vain."""
+        before = len(self.missing)
+        return super().is_clean(frag) or len(self.missing) > before
+
+
+class Reading(Asked):
+    """As Asked, for a record: what a word may misread is asked as a whole, so that it is looked for once for each different word."""
+
+    def candidates(self, word: str) -> tuple[tuple[str, bool], ...]:
+        return tuple((form, must) for form, must in Part(self.given, self.missing, "c", lambda x: x).get(word, ()))
+
+
 def read(text: str, lex: Lexicon) -> list[tuple[int, str, str, set[str], bool]]:
     """Of each line: number, kind, repaired text, defects, and whether the next body line is to be joined without space."""
     lines = text.split("\n")
@@ -582,13 +646,15 @@ def read(text: str, lex: Lexicon) -> list[tuple[int, str, str, set[str], bool]]:
     return [(i + 1, ks[i], fixed[i], defects[i], close[i]) for i in range(len(lines))]
 
 
-def lexicon(records: DataFrame, lexicon_rows: int = LEXICON_ROWS) -> Lexicon:
-    """The entries of all records that were counted often enough, the commonest lexicon_rows of them if there are more."""
+def counted(records: DataFrame) -> DataFrame:
+    """The entries of all records that were counted often enough: kind, a, b, n."""
     least = F.when(F.col("kind") == "h", MIN_LINES).when(F.col("kind") == "k", MIN_HEAD_WORDS).otherwise(MIN_COUNT)
-    counts = cut(statistics(records).filter(F.col("n") >= least))
-    if counts.count() > lexicon_rows:
-        counts = counts.orderBy(F.desc("n"), "kind", "a", "b").limit(lexicon_rows)
-    return Lexicon([tuple(r) for r in counts.collect()])
+    return cut(statistics(records).filter(F.col("n") >= least))
+
+
+def lexicon(records: DataFrame) -> Lexicon:
+    """The lexicon of all records."""
+    return Lexicon([tuple(r) for r in counted(records).collect()])
 
 
 def scanned_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -598,9 +664,15 @@ def scanned_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.unionByName(figs).filter(F.col("rec_id").isNotNull() & (F.trim("text") != "") & (F.col("text") != "(no caption)"))
 
 
-def read_lines(records: DataFrame) -> DataFrame:
+LINE = "src string, rec_id string, line_no int, kind string, repaired string, defects array<string>, closes boolean"
+
+
+def read_lines(records: DataFrame, lexicon_rows: int = LEXICON_ROWS) -> DataFrame:
     """Every line of every record: src, rec_id, line_no, kind, repaired, defects, closes (the next body line continues its last word)."""
-    lex = records.sparkSession.sparkContext.broadcast(lexicon(records))
+    counts = counted(records)
+    if counts.limit(lexicon_rows + 1).count() > lexicon_rows:
+        return joined(records, entries(counts))
+    lex = records.sparkSession.sparkContext.broadcast(Lexicon([tuple(r) for r in counts.collect()]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = lex.value
@@ -613,12 +685,127 @@ def read_lines(records: DataFrame) -> DataFrame:
             for at in range(0, max(1, len(rows)), 20_000):
                 yield pd.DataFrame(rows[at : at + 20_000], columns=["src", "rec_id", "line_no", "kind", "repaired", "defects", "closes"])
 
-    return spread(usable(records), "src", "rec_id").mapInPandas(run, "src string, rec_id string, line_no int, kind string, repaired string, defects array<string>, closes boolean")
+    return spread(usable(records), "src", "rec_id").mapInPandas(run, LINE)
+
+
+def entries(counts: DataFrame) -> DataFrame:
+    """What a Lexicon of these counts holds, as a table (kind, a, b, entry): w words and s skeletons with what they are; b, h and k as counted."""
+    named = F.col("kind") == "n"
+    words = counts.filter(F.col("kind").isin("u", "n")).groupBy(F.col("a").alias("w")).agg(F.sum("n").alias("n"), F.sum(F.when(named, F.col("n")).otherwise(0)).alias("named"))
+    total = words.agg(F.sum("n")).first()[0] or 0
+
+    def tell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for w, n, k in zip(pdf["w"].tolist(), pdf["n"].tolist(), pdf["named"].tolist()):
+                name = Lexicon.is_name(w, n, k, total)
+                rows.append((w, n, skeleton(w), is_plain(w) and not name, w[0].isupper() or k > 0 and name))
+            yield pd.DataFrame(rows, columns=["w", "n", "skeleton", "plain", "name"])
+
+    def forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(w, n, form, low) for w, n, kept in zip(pdf["w"], pdf["n"], pdf["kept"]) for low in ((True, False) if kept else (True,)) for form in dict.fromkeys(near_forms(w.lower() if low else w))]
+            yield pd.DataFrame(rows, columns=["w", "n", "form", "low"])
+
+    told = cut(words.mapInPandas(tell, "w string, n long, skeleton string, plain boolean, name boolean"))
+    groups = told.groupBy("skeleton").agg(F.max("n").alias("top"), F.max(F.when(F.col("plain"), F.col("n"))).alias("most"))
+    told = cut(told.join(groups, "skeleton").withColumn("kept", F.col("plain") & (F.col("n") >= VARIANT_SHARE * F.col("most"))))
+    ordinary = told.filter("kept").select(F.col("w").alias("form"), F.col("n").alias("m"))
+    n, m, low = F.col("n"), F.col("m"), F.col("low")
+    near = told.select("w", "n", "kept").mapInPandas(forms, "w string, n long, form string, low boolean").join(ordinary, "form")
+    near = near.groupBy("w").agg(F.max(low & (F.length("form") > 3) & (m > 50 * n)).alias("lesser"), F.max(~low & (F.col("form") != F.col("w")) & (n < 0.02 * m) & (F.length("w") > 3) & (m > 60)).alias("rare"))
+    no = F.lit(False)
+    misread = (n < VARIANT_SHARE * F.col("top")) | F.coalesce("lesser", no)
+    whole = told.join(near, "w", "left").select(F.lit("w").alias("kind"), F.col("w").alias("a"), F.lit("").alias("b"), F.to_json(F.struct("n", (F.col("kept") & ~F.coalesce("rare", no)).alias("ordinary"), (F.col("name") & ~misread).alias("name"))).alias("entry"))
+    alike = told.filter("kept").groupBy("skeleton").agg(F.collect_list(F.struct("n", "w")).alias("forms")).select(F.lit("s"), "skeleton", F.lit(""), F.to_json(F.struct("forms")))
+    return cut(whole.union(alike).union(counts.filter(F.col("kind").isin("b", "h", "k")).select("kind", "a", "b", F.lit("{}"))))
+
+
+def _read_record(given: dict[tuple, dict | None], src: str, rec: str, text: str) -> tuple[list[tuple], list[tuple]]:
+    lex = Reading(given)
+    lines = read(text, lex)
+    return lex.missing, [(src, rec, n, kind, fixed, sorted(bad), close) for n, kind, fixed, bad, close in lines]
+
+
+def _read_word(given: dict[tuple, dict | None], word: str) -> tuple[list[tuple], list[tuple]]:
+    lex = Asked(given)
+    forms = lex.candidates(word)
+    return lex.missing, [(word, json.dumps(forms))]
+
 
+def joined(records: DataFrame, table: DataFrame) -> DataFrame:
+    """As read_lines, by a lexicon too large to broadcast."""
 
-def found(records: DataFrame) -> DataFrame:
+    def candidates(asked: DataFrame) -> DataFrame:
+        words = asked.filter("kind = 'c'").select("a").distinct()
+        return _answered(words, table, _read_word, "a string, entry string").select(F.lit("c").alias("kind"), "a", F.lit("").alias("b"), "entry")
+
+    return _answered(spread(usable(records), "src", "rec_id"), table, _read_record, LINE, candidates)
+
+
+def _answered(rows: DataFrame, table: DataFrame, work: Callable, schema: str, further: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """What work gives for each row, by the entries (kind, a, b, entry) of a table that it asks for.
+
+    work: gives, by what is known, what it asks besides, and its result.  It is
+    done again and again, each time with the entries that it asked for before,
+    until it asks for no other.  Only entries that are there are handed to a
+    row; what it asked before is found by asking once more.
+    further: gives the entries of what is asked that stand in no table.
+    """
+    held, cols = rows.columns, [x.split()[0] for x in schema.split(", ")]
+
+    def at_step(step: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+        def frame(out: list[tuple]) -> pd.DataFrame:
+            made = pd.DataFrame(out, columns=["row", "ask", "x", "y", *cols])
+            return made.astype({"line_no": "Int32"}) if "line_no" in cols else made
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                out: list[tuple] = []
+                for row, entries_, *values in zip(pdf["row"], pdf["given"], *[pdf[c] for c in held]):
+                    there = {(kind, a, b): json.loads(entry) for kind, a, b, entry in json.loads(entries_ or "[]")}
+                    known: dict[tuple, dict | None] = {}
+                    for _ in range(step + 1):
+                        missing, result = work(known, *values)
+                        if not missing:
+                            out += [(row, None, None, None, *r) for r in result]
+                            break
+                        fresh = dict.fromkeys(missing)
+                        known.update((at, there.get(at)) for at in fresh)
+                    else:
+                        out += [(row, *at, *[None] * len(cols)) for at in fresh]
+                    if len(out) > 20_000:
+                        yield frame(out)
+                        out = []
+                yield frame(out)
+
+        return run
+
+    todo = cut(rows.withColumn("row", F.monotonically_increasing_id()))
+    given = todo.select("row", F.lit("").alias("kind"), F.lit("").alias("a"), F.lit("").alias("b"), F.lit("").alias("entry")).limit(0)
+    done: list[DataFrame] = []
+    while True:
+        handed = given.groupBy("row").agg(F.to_json(F.collect_list(F.array("kind", "a", "b", "entry"))).alias("given"))
+        out = cut(todo.join(handed, "row", "left").select("row", "given", *held).mapInPandas(at_step(len(done)), f"row long, ask string, x string, y string, {schema}"))
+        done.append(out.filter("ask is null").select(cols))
+        asked = out.filter("ask is not null").select("row", F.col("ask").alias("kind"), F.col("x").alias("a"), F.col("y").alias("b"))
+        if asked.isEmpty():
+            break
+        open_ = asked.select("row").distinct()
+        there = asked.join(table, ["kind", "a", "b"])
+        if further is not None:
+            there = there.unionByName(asked.join(further(asked), ["kind", "a", "b"]))
+        given = cut(given.join(open_, "row", "left_semi").unionByName(there.select("row", "kind", "a", "b", "entry")))
+        todo = cut(todo.join(open_, "row", "left_semi"))
+    whole = done[0]
+    for some in done[1:]:
+        whole = whole.union(some)
+    return whole
+
+
+def found(records: DataFrame, lexicon_rows: int = LEXICON_ROWS) -> DataFrame:
     """One row per line and defect: src, rec_id, line_no, defect."""
-    lines = read_lines(records)
+    lines = read_lines(records, lexicon_rows)
     return lines.select("src", "rec_id", "line_no", F.explode("defects").alias("defect")).distinct()
 
 

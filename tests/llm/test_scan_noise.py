@@ -119,3 +119,14 @@ def test_reflow_keeps_hyphens_that_belong(spark):
     text = "La plante est connue de Pogi-\nSud ; les poils sont à la fois sous-\net sus-\nfoliaires dans la région."
     rows = S.reflow(spark.createDataFrame(corpus([("text", "x", text)]), "src string, rec_id string, text string")).filter("rec_id = 'x'").collect()
     assert [r.text for r in rows] == ["La plante est connue de Pogi-Sud ; les poils sont à la fois sous- et sus-foliaires dans la région."]
+
+
+def test_a_lexicon_too_large_to_broadcast_gives_the_same(spark):
+    noisy = [
+        "Les feuil-\nles sont glabrcs et luis;antes.\nLe f r u i t est charnu et la co¬\nrolle verdatre, long", "temps connue de Pogi-\nSud. Le fru- it est petit, les pcils sus-\nfoliaires.",
+        "<!-- page 7 -->\nFL0RE DE TIJONGO 7\nLe ca1ice est str1é et la p1ante ra meaux.\n— 8 —\n<!-- page 8 -->\nFLORE DE T1JONGO\nGUGANACEES\nL'étaminc est drcssée.", "", None,
+    ]
+    rows = corpus([("text", f"x{i}", t) for i, t in enumerate(noisy)] + [("caption", "y", "Fig. 3. Guganus abruii : 1, feuil-\nle glabre.\nGUGANACÉES 12\n14")])
+    df = spark.createDataFrame(rows, "src string, rec_id string, text string")
+    want, got = (sorted(map(str, S.read_lines(df, n).collect())) for n in (S.LEXICON_ROWS, 10))
+    assert len({r.defect for r in S.found(df).collect()}) == 4 and got == want
